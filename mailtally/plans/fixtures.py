@@ -83,6 +83,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores one task per core.
+
+    Parsing is heavy on CPU and test tables come in one split; at scale a scan has far
+    more splits than cores and this does nothing. Only for frames that are plain scans.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _pick(index: Column, values: list[str]) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), index.cast("int") + 1)
 
