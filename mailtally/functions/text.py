@@ -27,6 +27,9 @@ SIGNED_LINE_AMOUNT = (
 )
 SIGNED_SYMBOL_AMOUNT = r"\(?[$€£¥￥₹₩△▲\-]*[$€£¥￥₹₩△▲][\-△▲]?\s*[\d,]{3,}(?:\.\d+)?\)?"
 
+# A whole amount with its signs, symbols and unit, for labels without amounts.
+_AMOUNT_TOKEN = r"[$€£¥￥₹₩△▲\-(]*\s*[\d,]{3,}(?:\.\d+)?\s*[円)]?|\b\d+(?:\.\d+)?\s*円"
+
 _FULL_WIDTH = "０１２３４５６７８９，．（）－：　"
 _ASCII_WIDTH = "0123456789,.()-: "
 
@@ -135,4 +138,4 @@ def extract_amount(
 
 def normalized_label(label: Column) -> Column:
     """A label line without its amounts, so that a corrected amount keeps the same key."""
-    return strip(F.regexp_replace(label, java_pattern(LINE_AMOUNT, ignore_case=False), ""))
+    return strip(F.regexp_replace(label, java_pattern(_AMOUNT_TOKEN, ignore_case=False), ""))

@@ -247,6 +247,13 @@ def compare_formulas(df: DataFrame, a: Column, b: Column, tolerance: float = 0.0
     )
 
 
+def _median(ordered: Column) -> Column:
+    """Median of a short sorted array; null for an empty one."""
+    n = F.size(ordered)
+    low, high = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
+    return F.when(n > 0, (F.get(ordered, low) + F.get(ordered, high)) / 2)
+
+
 def partial_days(
     source: DataFrame, target: DataFrame, day: str, share: float = 0.5, trailing: int = 7
 ) -> DataFrame:
@@ -267,14 +274,16 @@ def partial_days(
     # One row per calendar date by now (thirty years are 11,000 rows), so one ordered
     # window over all of them is bounded by the calendar and not by the data.
     before = Window.orderBy("load_date").rowsBetween(-trailing, -1)
+
+    def usual(rows: str) -> Column:
+        return _median(F.sort_array(F.collect_list(rows).over(before)))
+
     judged = both.select(
-        "*",
-        F.median("source_rows").over(before).alias("_s"),
-        F.median("target_rows").over(before).alias("_t"),
+        "*", usual("source_rows").alias("_s"), usual("target_rows").alias("_t")
     )
 
-    def low(rows: str, usual: str) -> Column:
-        return F.coalesce(F.col(rows) < F.col(usual) * share, F.lit(False)) | (F.col(rows) == 0)
+    def low(rows: str, median: str) -> Column:
+        return F.coalesce(F.col(rows) < F.col(median) * share, F.lit(False)) | (F.col(rows) == 0)
 
     return judged.select(
         "load_date",
