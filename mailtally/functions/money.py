@@ -1,8 +1,10 @@
-"""Currency text to double, as pure Column expressions."""
+"""Currency text to double, as native expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column
+
+from mailtally.functions.bind import over, quote
 
 # --- fixed values: what counts as empty, which characters an amount may hold ---
 STRICT_NULLS = ["", "-", "―", "ー", "/", "#DIV/0!", "#N/A", "#VALUE!", "nan", "None", "null"]
@@ -11,51 +13,66 @@ STRICT_SHAPE = r"(?diU)^(?:[0-9,\.\s$€£¥￥₹₩△▲\(\)\-円]|JPY|USD|EU
 LENIENT_REMOVED = r"(?U)[¥￥\\,△▲\(\)\s円-]"
 # --- end of fixed values ---
 
+_BLANK = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 _NUMBER = r"^[+]?(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:[eE]\+?\d+(?:_\d+)*)?$"
 _INFINITY = r"^(?i)\+?inf(?:inity)?$"
 
 
-def strip(col: Column) -> Column:
+def strip_sql(x: str) -> str:
     """Trim every Unicode blank at both ends (``trim`` keeps U+3000 and NBSP)."""
-    return F.regexp_replace(col, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return f"regexp_replace({x}, {quote(_BLANK)}, '')"
 
 
-def is_negative(text: Column) -> Column:
+def _negative_sql(x: str) -> str:
     """Minus sign, accounting triangle, or a text fully in parentheses."""
-    wrapped = text.startswith("(") & text.endswith(")")
-    return text.contains("-") | text.contains("△") | text.contains("▲") | wrapped
+    wrapped = f"(startswith({x}, '(') AND endswith({x}, ')'))"
+    return f"({x} RLIKE '[-△▲]' OR {wrapped})"
 
 
-def _signed(text: Column, number: Column) -> Column:
-    return F.when(is_negative(text), -number).otherwise(number)
+def _among(x: str, values: list[str]) -> str:
+    return f"{x} IN ({', '.join(map(quote, values))})"
 
 
-def clean_stripped(text: Column) -> Column:
+def strict_sql(x: str) -> str:
     """Strict cleaning of a text that has no outer blanks."""
-    number = F.regexp_replace(text, r"[^0-9.]", "").try_cast("double")
-    return F.when(~text.isin(STRICT_NULLS) & text.rlike(STRICT_SHAPE), _signed(text, number))
+    number = f"try_cast(regexp_replace({x}, '[^0-9.]', '') AS DOUBLE)"
+    return (
+        f"CASE WHEN NOT {_among(x, STRICT_NULLS)} AND {x} RLIKE {quote(STRICT_SHAPE)} "
+        f"THEN IF({_negative_sql(x)}, -{number}, {number}) END"
+    )
+
+
+def yen_sql(x: str) -> str:
+    """Lenient yen cleaning of a text that has no outer blanks."""
+    digits = (
+        f"translate(regexp_replace({x}, {quote(LENIENT_REMOVED)}, ''), '０１２３４５６７８９', '0123456789')"
+    )
+    number = (
+        f"CASE WHEN {digits} RLIKE {quote(_NUMBER)} THEN try_cast(replace({digits}, '_', '') AS DOUBLE) "
+        f"WHEN {digits} RLIKE {quote(_INFINITY)} THEN double('inf') END"
+    )
+    return (
+        f"CASE WHEN NOT {_among(x, LENIENT_NULLS)} "
+        f"THEN IF({_negative_sql(x)}, -({number}), {number}) END"
+    )
+
 
+def strip(col: Column | str) -> Column:
+    return over(col, strip_sql)
 
-def clean_amount(col: Column) -> Column:
+
+def clean_amount(col: Column | str) -> Column:
     """International amount text to double; anything that is not an amount is null."""
-    return clean_stripped(strip(col))
+    return over(col, lambda x: strict_sql(strip_sql(x)))
 
 
-def clean_number(col: Column) -> Column:
+def clean_number(col: Column | str) -> Column:
     """The same for a column that is already numeric: NaN is null."""
-    return F.when(~F.isnan(col), col.cast("double"))
+    return over(col, lambda x: f"CASE WHEN NOT isnan({x}) THEN CAST({x} AS DOUBLE) END")
 
 
-def clean_amount_yen(col: Column) -> Column:
+def clean_amount_yen(col: Column | str) -> Column:
     """Yen cell text to double: backslash counts as a yen sign, other symbols are refused."""
-    return clean_yen_stripped(strip(col))
+    return over(col, lambda x: yen_sql(strip_sql(x)))
 
 
-def clean_yen_stripped(text: Column) -> Column:
-    digits = F.translate(
-        F.regexp_replace(text, LENIENT_REMOVED, ""), "０１２３４５６７８９", "0123456789"
-    )
-    number = F.when(
-        digits.rlike(_NUMBER), F.regexp_replace(digits, "_", "").try_cast("double")
-    ).when(digits.rlike(_INFINITY), F.lit(float("inf")))
-    return F.when(~text.isin(LENIENT_NULLS), _signed(text, number))

@@ -1,4 +1,4 @@
-"""Column helpers for text: Unicode strip, width folding, code and amount search."""
+"""Text search over message lines: width folding, codes and amounts near labels."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
-from mailtally.functions.money import clean_stripped, strip
+from mailtally.functions.bind import each, keep_if, let, only, over, present, quote, variable
+from mailtally.functions.money import strict_sql, strip_sql
 from mailtally.functions.regex import java_pattern
 
 # --- fixed values: default label patterns and number shapes of the message formats ---
@@ -22,10 +23,12 @@ NOT_AN_AMOUNT_LINE = r"コード|日付|番号|ID|No|締日|明細|様"
 # --- end of fixed values ---
 
 # Wider forms used with strict_sign=True: any run of signs and symbols, optional parentheses.
-SIGNED_LINE_AMOUNT = (
-    r"\(?[$€£¥￥₹₩△▲\-]*\s*[$€£¥￥₹₩△▲\-]*\s*[\d,]{3,}(?:\.\d+)?\)?|[△▲\-]?\b\d+(?:\.\d+)?\s*円"
+_SIGNED_LINE_AMOUNT = (
+    r"\(?[$€£¥￥₹₩△▲\-]*\s*[\d,]{3,}(?:\.\d+)?\)?|[△▲\-]?\b\d+(?:\.\d+)?\s*円"
+)
+_SIGNED_SYMBOL_AMOUNT = (
+    r"\(?[△▲\-]*[$€£¥￥₹₩△▲][△▲\-]*\s*[\d,]{3,}(?:\.\d+)?\)?"
 )
-SIGNED_SYMBOL_AMOUNT = r"\(?[$€£¥￥₹₩△▲\-]*[$€£¥￥₹₩△▲][\-△▲]?\s*[\d,]{3,}(?:\.\d+)?\)?"
 
 # A whole amount with its signs, symbols and unit, for labels without amounts.
 _AMOUNT_TOKEN = r"[$€£¥￥₹₩△▲\-(]*\s*[\d,]{3,}(?:\.\d+)?\s*[円)]?|\b\d+(?:\.\d+)?\s*円"
@@ -34,16 +37,20 @@ _FULL_WIDTH = "０１２３４５６７８９，．（）－：　"
 _ASCII_WIDTH = "0123456789,.()-: "
 
 
-def _first(arr: Column) -> Column:
-    return F.get(arr, F.lit(0))
+def _exact(pattern: str) -> str:
+    return quote(java_pattern(pattern, ignore_case=False))
+
+
+def _folded(pattern: str) -> str:
+    return quote(java_pattern(pattern))
 
 
-def lines_of(text: Column) -> Column:
+def lines_of(text: Column | str) -> Column:
     """Lines of a normalised text (already stripped, no blank line)."""
     return F.split(text, "\n")
 
 
-def fold_width(col: Column) -> Column:
+def fold_width(col: Column | str) -> Column:
     """Full-width digits and number punctuation to ASCII, JVM side."""
     return F.translate(col, _FULL_WIDTH, _ASCII_WIDTH)
 
@@ -57,85 +64,81 @@ def normalize_width(values: pa.Array) -> pa.Array:
     )
 
 
-def prefix_code(code: Column, prefix: str | None) -> Column:
+def prefix_sql(code: str, prefix: str | None) -> str:
     """Put ``prefix`` before a code that does not have it yet."""
     if not prefix:
         return code
-    return F.when(code.startswith(prefix) | (code == ""), code).otherwise(F.concat(F.lit(prefix), code))
+    p = quote(prefix)
+    return f"IF({code} = '' OR startswith({code}, {p}), {code}, concat({p}, {code}))"
+
+
+def prefix_code(code: Column | str, prefix: str | None) -> Column:
+    return over(code, lambda x: prefix_sql(x, prefix))
 
 
-def extract_code(text: Column, lines: Column, pattern: str = DEFAULT_CODE_REGEX) -> Column:
+def code_sql(text: str, lines: str, pattern: str) -> str:
     """Code after a label anywhere in the text, else the whole line below a label line."""
-    direct = F.regexp_extract(
-        text, java_pattern(rf"(?:{pattern})\s*[:：\s]*({CODE_TOKEN})"), 1
+    near = _folded(rf"(?:{pattern})\s*[:：\s]*({CODE_TOKEN})")
+    direct = keep_if(f"regexp_extract({text}, {near}, 1)", lambda c: f"{c} <> ''")
+    line, i = variable("line"), variable("i")
+    below = (
+        f"transform({lines}, ({line}, {i}) -> CASE WHEN {line} RLIKE {_folded(pattern)} "
+        f"AND get({lines}, {i} + 1) RLIKE {_exact(f'^{CODE_TOKEN}$')} THEN get({lines}, {i} + 1) END)"
     )
-    label = java_pattern(pattern)
-    exact = java_pattern(rf"^{CODE_TOKEN}$", ignore_case=False)
+    return f"coalesce({direct}, get({present(below)}, 0))"
 
-    def below(line: Column, i: Column) -> Column:
-        following = F.get(lines, i + 1)
-        return F.when(line.rlike(label) & following.rlike(exact), following)
 
-    fallback = _first(F.filter(F.transform(lines, below), lambda c: c.isNotNull()))
-    return F.coalesce(F.when(direct != "", direct), fallback)
+def extract_code(text: str, lines: str, pattern: str = DEFAULT_CODE_REGEX) -> Column:
+    """Code near a label; ``text`` and ``lines`` are column names."""
+    return F.expr(code_sql(text, lines, pattern))
 
 
-def extract_amount(
-    lines: Column, pattern: str = DEFAULT_AMOUNT_REGEX, strict_sign: bool = False
-) -> Column:
-    """``struct<amount double, label string>`` of the labelled amount, or null.
+def amount_sql(lines: str, pattern: str, strict_sign: bool = False) -> str:
+    """``struct<amount, label>`` of the labelled amount, or null.
 
     Label lines are tried in order: number on the line, number after a colon, then a
     next line that is an amount as a whole. Without any, the first number that carries
     a currency symbol counts. The label is the whole line.
     """
-    label = java_pattern(pattern)
-    on_line = java_pattern(SIGNED_LINE_AMOUNT if strict_sign else LINE_AMOUNT, ignore_case=False)
-    after_colon = java_pattern(COLON_AMOUNT, ignore_case=False)
-    symbol = java_pattern(SIGNED_SYMBOL_AMOUNT if strict_sign else SYMBOL_AMOUNT, ignore_case=False)
-    excluded = java_pattern(NOT_AN_AMOUNT_LINE)
-
-    def candidates(line: Column, i: Column) -> Column:
-        following = F.get(lines, i + 1)
-        return F.when(
-            line.rlike(label),
-            F.struct(
-                line.alias("label"),
-                strip(F.regexp_substr(line, F.lit(on_line))).alias("a"),
-                strip(F.regexp_extract(line, after_colon, 1)).alias("b"),
-                F.when(~following.rlike(excluded), following).alias("c"),
-            ),
-        )
-
-    def value(x: Column) -> Column:
-        amount = F.coalesce(
-            clean_stripped(x["a"]), clean_stripped(x["b"]), clean_stripped(x["c"])
-        )
-        return F.struct(amount.alias("amount"), x["label"].alias("label"))
-
-    def has_amount(x: Column) -> Column:
-        return x["amount"].isNotNull()
-
-    labelled = F.filter(F.transform(lines, candidates), lambda x: x.isNotNull())
-    by_label = _first(F.filter(F.transform(labelled, value), has_amount))
-
-    def symbol_value(line: Column) -> Column:
-        found = strip(F.regexp_substr(line, F.lit(symbol)))
-        return F.struct(found.alias("a"), line.alias("label"))
-
-    with_symbol = F.filter(F.transform(lines, symbol_value), lambda x: x["a"].isNotNull())
-    by_symbol = _first(
-        F.filter(
-            F.transform(
-                with_symbol,
-                lambda x: F.struct(clean_stripped(x["a"]).alias("amount"), x["label"].alias("label")),
-            ),
-            has_amount,
-        )
+    on_line = _exact(_SIGNED_LINE_AMOUNT if strict_sign else LINE_AMOUNT)
+    symbol = _exact(_SIGNED_SYMBOL_AMOUNT if strict_sign else SYMBOL_AMOUNT)
+    line, i = variable("line"), variable("i")
+    following = f"get({lines}, {i} + 1)"
+    candidates = (
+        f"transform({lines}, ({line}, {i}) -> CASE WHEN {line} RLIKE {_folded(pattern)} THEN named_struct("
+        f"'label', {line}, "
+        f"'a', {strip_sql(f'regexp_substr({line}, {on_line})')}, "
+        f"'b', {strip_sql(f'regexp_extract({line}, {_exact(COLON_AMOUNT)}, 1)')}, "
+        f"'c', IF({following} RLIKE {_folded(NOT_AN_AMOUNT_LINE)}, NULL, {following})) END)"
     )
-    return F.coalesce(by_label, by_symbol)
 
+    def value(x: str) -> str:
+        tries = ", ".join(strict_sql(f"{x}.{f}") for f in "abc")
+        return f"named_struct('amount', coalesce({tries}), 'label', {x}.label)"
+
+    def symbol_value(x: str) -> str:
+        found = strip_sql(f"regexp_substr({x}, {symbol})")
+        return let(found, lambda a: f"named_struct('amount', {strict_sql(a)}, 'label', {x})")
+
+    def first_amount(array: str) -> str:
+        return f"get({only(array, lambda x: f'{x}.amount IS NOT NULL')}, 0)"
 
-def normalized_label(label: Column) -> Column:
+    by_label = first_amount(each(present(candidates), value))
+    by_symbol = first_amount(each(only(lines, lambda x: f"{x} RLIKE {symbol}"), symbol_value))
+    return f"coalesce({by_label}, {by_symbol})"
+
+
+def extract_amount(
+    lines: str, pattern: str = DEFAULT_AMOUNT_REGEX, strict_sign: bool = False
+) -> Column:
+    """Amount near a label as ``struct<amount, label>``; ``lines`` is a column name."""
+    return F.expr(amount_sql(lines, pattern, strict_sign))
+
+
+def short_label_sql(label: str) -> str:
     """A label line without its amounts, so that a corrected amount keeps the same key."""
-    return strip(F.regexp_replace(label, java_pattern(_AMOUNT_TOKEN, ignore_case=False), ""))
+    return strip_sql(f"regexp_replace({label}, {_exact(_AMOUNT_TOKEN)}, '')")
+
+
+def normalized_label(label: Column | str) -> Column:
+    return over(label, short_label_sql)

@@ -11,6 +11,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mailtally.functions.bind import inline_rows, non_empty
 from mailtally.functions.html import drop_spacer_tables, html_tables, html_to_text
 from mailtally.functions.regex import java_pattern
 from mailtally.functions.text import lines_of
@@ -48,7 +49,7 @@ def matched_rules(messages: DataFrame, rules: list[Rule]) -> DataFrame:
         ),
         lambda hit: hit.isNotNull(),
     )
-    return messages.select("*", F.inline(hits))
+    return inline_rows(messages, hits, "rule_name", "*")
 
 
 def parse_bodies(messages: DataFrame, rules: list[Rule], drop_spacers: bool = False) -> DataFrame:
@@ -73,9 +74,7 @@ def _extracts(
     messages: DataFrame, rules: list[Rule], drop_spacers: bool, strict_sign: bool, label_mode: str
 ) -> tuple[DataFrame, list[Column]]:
     parsed = parse_bodies(matching(messages, rules), rules, drop_spacers)
-    body = Body(
-        F.col("_text"), F.col("_lines"), F.col("_tables"), F.col, strict_sign, label_mode
-    )
+    body = Body(strict_sign=strict_sign, label_mode=label_mode)
     per_rule = [
         F.when(rule_matches(r, F.col("subject"), F.col("email_sender")), apply_strategy(body, r))
         for r in rules
@@ -84,8 +83,10 @@ def _extracts(
 
 
 def _records(parsed: DataFrame, extracts: Column) -> DataFrame:
-    return parsed.select(
-        F.inline(extracts),
+    return inline_rows(
+        parsed,
+        extracts,
+        "customer_name",
         F.col("id").alias("email_unique_id"),
         F.col("subject").alias("email_subject"),
         "email_sender",
@@ -105,7 +106,7 @@ def route_first(
     if not rules:
         raise ValueError("no rules")
     parsed, per_rule = _extracts(messages, rules, drop_spacers, strict_sign, label_mode)
-    successes = [F.when(F.size(e) > 0, e) for e in per_rule]
+    successes = [non_empty(e) for e in per_rule]
     return _records(parsed, F.coalesce(*successes))
 
 

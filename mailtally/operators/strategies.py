@@ -11,9 +11,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from mailtally.functions.money import clean_yen_stripped
+from mailtally.functions.bind import each, last, let, only, present, quote, variable
+from mailtally.functions.money import yen_sql
 from mailtally.functions.regex import java_pattern
-from mailtally.functions.text import extract_amount, extract_code, normalized_label, prefix_code
+from mailtally.functions.text import amount_sql, code_sql, prefix_sql, short_label_sql
 from mailtally.schemas import EXTRACT
 from mailtally.sources.rules import Rule
 
@@ -27,12 +28,11 @@ EXTRACTS = f"array<{EXTRACT.simpleString()}>"
 
 @dataclass(frozen=True)
 class Body:
-    """What a strategy may read of a message, plus the options of the run."""
+    """Names of the parsed columns of a message, plus the options of the run."""
 
-    text: Column
-    lines: Column
-    tables: Column
-    message: Callable[[str], Column] = F.col
+    text: str = "_text"
+    lines: str = "_lines"
+    tables: str = "_tables"
     strict_sign: bool = False
     label_mode: str = "line"
 
@@ -56,133 +56,145 @@ def apply_strategy(body: Body, rule: Rule) -> Column:
     return _REGISTRY[rule.strategy](body, rule).cast(EXTRACTS)
 
 
-def _record(rule: Rule, code: Column, amount: Column, label: Column, currency: str) -> Column:
-    return F.struct(
-        F.lit(rule.name).alias("customer_name"),
-        prefix_code(code, rule.prefix_code).alias("customer_code"),
-        amount.alias("payment_amount"),
-        label.alias("payment_due_label"),
-        F.lit(currency).alias("currency"),
+def _record(rule: Rule, code: str, amount: str, label: str, currency: str) -> str:
+    return (
+        f"named_struct('customer_name', {quote(rule.name)}, "
+        f"'customer_code', {prefix_sql(code, rule.prefix_code)}, 'payment_amount', {amount}, "
+        f"'payment_due_label', {label}, 'currency', {quote(currency)})"
     )
 
 
 def key_value(body: Body, rule: Rule) -> Column:
-    """One record from the labelled code and the labelled amount of the text."""
-    found = F.struct(
-        extract_code(body.text, body.lines, rule.code_regex).alias("code"),
-        extract_amount(body.lines, rule.amount_regex, body.strict_sign).alias("due"),
-    )
+    """One record from the labelled code and the labelled amount of the text.
+
+    The amount is searched only when there is a code.
+    """
 
-    def record(x: Column) -> Column:
-        label = x["due"]["label"]
+    def record(code: str, due: str) -> str:
+        label = f"{due}.label"
         if body.label_mode == "normalized":
-            label = normalized_label(label)
-        label = F.when(label != "", label).otherwise(F.lit(rule.default_label))
-        return _record(rule, x["code"], x["due"]["amount"], label, rule.currency)
+            label = short_label_sql(label)
+        label = let(label, lambda x: f"IF({x} <> '', {x}, {quote(rule.default_label)})")
+        return _record(rule, code, f"{due}.amount", label, rule.currency)
 
-    complete = F.filter(
-        F.array(found),
-        lambda x: (x["code"] != "") & x["due"]["amount"].isNotNull(),
-    )
-    return F.transform(complete, record)
+    def with_code(code: str) -> str:
+        due = amount_sql(body.lines, rule.amount_regex, body.strict_sign)
+        return each(present(f"array({due})"), lambda d: record(code, d))
+
+    code = code_sql(body.text, body.lines, rule.code_regex)
+    return F.expr(_when_present(code, with_code))
+
+
+def _when_present(value: str, then: Callable[[str], str]) -> str:
+    return let(value, lambda x: f"CASE WHEN {x} IS NOT NULL THEN {then(x)} END")
 
 
 # --- table strategies ---------------------------------------------------------------------
 
 
-def _filled_rows(body: Body, table: int) -> Column:
+def _filled_rows(body: Body, table: int | None) -> str:
     """Rows of a table with the blank cells left out."""
-    rows = F.filter(body.tables, lambda r: r["table_index"] == table)
-    return F.transform(rows, lambda r: F.filter(r["cells"], lambda c: c != ""))
+    rows = only(body.tables, lambda r: f"{r}.table_index = {table or 0}")
+    return each(rows, lambda r: only(f"{r}.cells", lambda c: f"{c} <> ''"))
 
 
-def _matched(rows: Column, pattern: str) -> Column:
-    """Rows with a matching cell: the first match, and the cells after it."""
-    regex = java_pattern(pattern, ignore_case=False)
+def _cell_matches(pattern: str) -> Callable[[str], str]:
+    regex = quote(java_pattern(pattern, ignore_case=False))
+    return lambda c: f"{c} RLIKE {regex}"
 
-    def at(cells: Column) -> Column:
-        hit = F.array_position(F.transform(cells, lambda c: c.rlike(regex)), F.lit(True))
-        return F.struct(hit.cast("int").alias("hit"), cells.alias("cells"))
 
-    def after(x: Column) -> Column:
-        return F.struct(
-            F.get(x["cells"], x["hit"] - 1).alias("label"),
-            F.slice(x["cells"], x["hit"] + 1, F.size(x["cells"])).alias("rest"),
-        )
+def _matched(rows: str, pattern: str) -> str:
+    """Rows with a matching cell: the first match, and the cells after it."""
+    hits = _cell_matches(pattern)
 
-    return F.transform(F.filter(F.transform(rows, at), lambda x: x["hit"] > 0), after)
+    def at(cells: str) -> str:
+        place = f"CAST(array_position({each(cells, hits)}, true) AS INT)"
+        return f"named_struct('hit', {place}, 'cells', {cells})"
 
+    def after(x: str) -> str:
+        return (
+            f"named_struct('label', get({x}.cells, {x}.hit - 1), "
+            f"'rest', slice({x}.cells, {x}.hit + 1, size({x}.cells)))"
+        )
 
-def _last(arr: Column) -> Column:
-    return F.try_element_at(arr, F.lit(-1))
+    return each(only(each(rows, at), lambda x: f"{x}.hit > 0"), after)
 
 
-def _zip(rule: Rule, codes: Column, amounts: Column, label: Column) -> Column:
+def _zip(rule: Rule, codes: str, amounts: str, label: str) -> str:
     """Pair codes with amount cells up to the shorter list; drop totals and bad amounts."""
-    pairs = F.transform(
-        F.arrays_zip(codes.alias("code"), amounts.alias("cell")),
-        lambda p: F.struct(p["code"].alias("code"), clean_yen_stripped(p["cell"]).alias("amount")),
-    )
-    kept = F.filter(
-        pairs,
-        lambda p: p["amount"].isNotNull() & ~p["code"].isin(NOT_A_CODE),
+    code, cell = variable("code"), variable("cell")
+    pairs = (
+        f"zip_with({codes}, {amounts}, ({code}, {cell}) -> "
+        f"named_struct('code', {code}, 'amount', {yen_sql(cell)}))"
     )
-    return F.transform(kept, lambda p: _record(rule, p["code"], p["amount"], label, TABLE_CURRENCY))
+    totals = ", ".join(map(quote, NOT_A_CODE))
+    kept = only(pairs, lambda p: f"{p}.amount IS NOT NULL AND {p}.code NOT IN ({totals})")
+    return each(kept, lambda p: _record(rule, f"{p}.code", f"{p}.amount", label, TABLE_CURRENCY))
 
 
 def vertical(body: Body, rule: Rule) -> Column:
     """Label cell, value cell: the last matching row wins for the code and for the amount."""
-    code_regex = java_pattern(rule.code_regex, ignore_case=False)
+    hits = _cell_matches(rule.code_regex)
 
-    def code_in(cells: Column) -> Column:
-        pairs = F.transform(
-            cells, lambda c, i: F.when(c.rlike(code_regex), F.get(cells, i + 1))
-        )
-        return F.get(F.filter(pairs, lambda c: c.isNotNull()), F.lit(0))
-
-    codes = F.transform(_filled_rows(body, rule.code_table or 0), code_in)
-    due = _matched(_filled_rows(body, rule.amount_table or 0), rule.amount_regex)
-    found = F.struct(
-        _last(F.filter(codes, lambda c: c.isNotNull())).alias("code"),
-        _last(due)["label"].alias("label"),
-        clean_yen_stripped(
-            F.get(_last(F.filter(due, lambda d: F.size(d["rest"]) > 0))["rest"], F.lit(0))
-        ).alias("amount"),
-    )
-    complete = F.filter(
-        F.array(found), lambda x: x["code"].isNotNull() & x["amount"].isNotNull()
-    )
-    return F.transform(
-        complete, lambda x: _record(rule, x["code"], x["amount"], x["label"], TABLE_CURRENCY)
-    )
+    def code_in(cells: str) -> str:
+        c, i = variable("c"), variable("i")
+        after = f"transform({cells}, ({c}, {i}) -> CASE WHEN {hits(c)} THEN get({cells}, {i} + 1) END)"
+        return f"get({present(after)}, 0)"
+
+    def with_code(code: str) -> str:
+        due = _matched(_filled_rows(body, rule.amount_table), rule.amount_regex)
+        return let(due, lambda d: labelled(code, d))
+
+    def labelled(code: str, due: str) -> str:
+        cell = f"get({last(only(due, lambda d: f'size({d}.rest) > 0'))}.rest, 0)"
+        amounts = present(f"array({let(cell, yen_sql)})")
+        return each(amounts, lambda a: _record(rule, code, a, f"{last(due)}.label", TABLE_CURRENCY))
+
+    codes = present(each(_filled_rows(body, rule.code_table), code_in))
+    return F.expr(_when_present(last(codes), with_code))
 
 
 def zip_headers(body: Body, rule: Rule) -> Column:
     """Codes in the header row, amounts in the first row with the label."""
-    rows = _filled_rows(body, rule.amount_table or 0)
-    headers = F.get(rows, F.lit(0))
-    due = F.get(_matched(rows, rule.amount_regex), F.lit(0))
-    codes = F.when(
-        F.size(headers) > F.size(due["rest"]), F.slice(headers, 2, F.size(headers))
-    ).otherwise(headers)
-    return _zip(rule, codes, due["rest"], due["label"])
+
+    def from_rows(rows: str) -> str:
+        first = f"get({_matched(rows, rule.amount_regex)}, 0)"
+        return _when_present(first, lambda due: let(f"get({rows}, 0)", lambda h: from_due(h, due)))
+
+    def from_due(headers: str, due: str) -> str:
+        longer = f"size({headers}) > size({due}.rest)"
+        codes = f"IF({longer}, slice({headers}, 2, size({headers})), {headers})"
+        return _zip(rule, codes, f"{due}.rest", f"{due}.label")
+
+    return F.expr(let(_filled_rows(body, rule.amount_table), from_rows))
 
 
 def zip_rows(body: Body, rule: Rule) -> Column:
     """A row of codes and a row of amounts in one table; the last of each counts."""
-    rows = _filled_rows(body, rule.amount_table or 0)
-    code_regex = java_pattern(rule.code_regex, ignore_case=False)
-    others = F.filter(rows, lambda cells: ~F.exists(cells, lambda c: c.rlike(code_regex)))
-    code_row = _last(_matched(rows, rule.code_regex))
-    due = _last(_matched(others, rule.amount_regex))
-    return _zip(rule, code_row["rest"], due["rest"], due["label"])
+    hits = _cell_matches(rule.code_regex)
+
+    def from_rows(rows: str) -> str:
+        c = variable("c")
+        others = only(rows, lambda cells: f"NOT exists({cells}, {c} -> {hits(c)})")
+        return _pair_rows(
+            rule, _matched(rows, rule.code_regex), _matched(others, rule.amount_regex)
+        )
+
+    return F.expr(let(_filled_rows(body, rule.amount_table), from_rows))
 
 
 def zip_columns(body: Body, rule: Rule) -> Column:
     """A row of codes in one table, a row of amounts in another."""
-    code_row = _last(_matched(_filled_rows(body, rule.code_table or 0), rule.code_regex))
-    due = _last(_matched(_filled_rows(body, rule.amount_table or 0), rule.amount_regex))
-    return _zip(rule, code_row["rest"], due["rest"], due["label"])
+    code_rows = _matched(_filled_rows(body, rule.code_table), rule.code_regex)
+    due_rows = _matched(_filled_rows(body, rule.amount_table), rule.amount_regex)
+    return F.expr(_pair_rows(rule, code_rows, due_rows))
+
+
+def _pair_rows(rule: Rule, code_rows: str, due_rows: str) -> str:
+    def from_codes(codes: str) -> str:
+        return let(last(due_rows), lambda due: _zip(rule, codes, f"{due}.rest", f"{due}.label"))
+
+    return _when_present(f"{last(code_rows)}.rest", from_codes)
 
 
 def _vertical_or_text(body: Body, rule: Rule) -> Column:

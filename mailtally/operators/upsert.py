@@ -29,9 +29,9 @@ def newest_per_merge_key(
 ) -> DataFrame:
     """One source row per merge key; rows with a null key are all kept, as MERGE does."""
     ordered = [F.col(c).desc() for c in order if c in source.columns]
-    null_key = _any_null(keys)
-    keyed = latest_per_key(source.filter(~null_key), keys, ordered or [F.lit(0).asc()])
-    return keyed.unionByName(source.filter(null_key))
+    # A row with a null key gets a tag of its own and so is the first of its group.
+    tagged = source.withColumn("_own", F.when(_any_null(keys), F.monotonically_increasing_id()))
+    return latest_per_key(tagged, [*keys, "_own"], ordered or [F.lit(0).asc()]).drop("_own")
 
 
 def _any_null(keys: Sequence[str], prefix: str = "") -> Column:

@@ -125,7 +125,7 @@ FROM customer
 )
 def t_currency(spark: SparkSession, sf: str) -> DataFrame:
     mails = fx.emails_amounts(fx.table(spark, sf, "customer"))
-    return mails.select("c_custkey", money.clean_amount(F.col("amount_text")).alias("amount"))
+    return mails.select("c_custkey", money.clean_amount("amount_text").alias("amount"))
 
 
 @query(
@@ -136,7 +136,7 @@ FROM customer
 )
 def t_currency_jp(spark: SparkSession, sf: str) -> DataFrame:
     mails = fx.emails_amounts(fx.table(spark, sf, "customer"))
-    return mails.select("c_custkey", money.clean_amount_yen(F.col("amount_text")).alias("amount"))
+    return mails.select("c_custkey", money.clean_amount_yen("amount_text").alias("amount"))
 
 
 def _read(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,7 +147,7 @@ def _read(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {KV} SELECT id, CAST(100000 + c AS VARCHAR) AS code FROM kv")
 def t_code(spark: SparkSession, sf: str) -> DataFrame:
-    code = text.extract_code(F.col("text"), F.col("lines"), "請求先コード|コード")
+    code = text.extract_code("text", "lines", "請求先コード|コード")
     return _read(spark, sf).select("id", code.alias("code"))
 
 
@@ -158,7 +158,7 @@ WITH {KV} SELECT id, CASE WHEN has_due THEN amount END AS amount,
 """
 )
 def t_amount(spark: SparkSession, sf: str) -> DataFrame:
-    due = text.extract_amount(F.col("lines"), "支払額")
+    due = text.extract_amount("lines", "支払額")
     read = _read(spark, sf).select("id", due.alias("due"))
     return read.select("id", "due.amount", "due.label")
 
@@ -232,7 +232,7 @@ def t_strategy_column(spark: SparkSession, sf: str) -> DataFrame:
     mails = table_mails(spark, sf).filter(F.col("subject").startswith("rows"))
     read = mails.select("id", html.html_tables("html_body").alias("tables"))
     read = read.withColumn("tables", html.drop_spacer_tables(F.col("tables")))
-    body = Body(F.lit(""), F.array().cast("array<string>"), F.col("tables"))
+    body = Body(tables="tables")
     found = read.select("id", apply_strategy(body, table_rules("Rows")[0]).cast(EXTRACTS).alias("r"))
     total = F.aggregate("r", F.lit(0.0), lambda acc, r: acc + r["payment_amount"])
     return found.select("id", F.size("r").cast("long").alias("records"), total.alias("amount"))

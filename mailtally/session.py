@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python call site of every Column costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
