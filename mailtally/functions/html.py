@@ -317,6 +317,20 @@ def html_tables(bodies: pa.Array) -> pa.Array:
     return pa.array([read_tables(b) for b in bodies.to_pylist()], _ARROW_TABLES)
 
 
+@F.arrow_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("tables", TABLES)]))
+def html_body(bodies: pa.Array) -> pa.Array:
+    """Text and tables of a body from one reading, for rule sets that need both."""
+
+    def both(html: str | None) -> dict:
+        body = _read(html) if html else _Body()
+        if body is None:
+            return {"text": None, "tables": None}
+        return {"text": _text(body), "tables": _tables(html or "", body)}
+
+    kind = pa.struct([("text", pa.string()), ("tables", _ARROW_TABLES)])
+    return pa.array([both(b) for b in bodies.to_pylist()], kind)
+
+
 def explode_tables(df: DataFrame, tables: str = "tables") -> DataFrame:
     """One row per table row: the other columns plus table_index, row_index, cells."""
     rest = [c for c in df.columns if c != tables]

@@ -103,22 +103,26 @@ def amount_sql(lines: str, pattern: str, strict_sign: bool = False) -> str:
     on_line = _exact(_SIGNED_LINE_AMOUNT if strict_sign else LINE_AMOUNT)
     symbol = _exact(_SIGNED_SYMBOL_AMOUNT if strict_sign else SYMBOL_AMOUNT)
     line, i = variable("line"), variable("i")
-    following = f"get({lines}, {i} + 1)"
     candidates = (
-        f"transform({lines}, ({line}, {i}) -> CASE WHEN {line} RLIKE {_folded(pattern)} THEN named_struct("
-        f"'label', {line}, "
-        f"'a', {strip_sql(f'regexp_substr({line}, {on_line})')}, "
-        f"'b', {strip_sql(f'regexp_extract({line}, {_exact(COLON_AMOUNT)}, 1)')}, "
-        f"'c', IF({following} RLIKE {_folded(NOT_AN_AMOUNT_LINE)}, NULL, {following})) END)"
+        f"transform({lines}, ({line}, {i}) -> CASE WHEN {line} RLIKE {_folded(pattern)} "
+        f"THEN named_struct('label', {line}, 'below', get({lines}, {i} + 1)) END)"
     )
 
+    def number(found: str) -> str:
+        return let(strip_sql(found), strict_sql)
+
     def value(x: str) -> str:
-        tries = ", ".join(strict_sql(f"{x}.{f}") for f in "abc")
-        return f"named_struct('amount', coalesce({tries}), 'label', {x}.label)"
+        # coalesce stops at the first amount, so the later searches seldom run.
+        tries = [
+            number(f"regexp_extract({x}.label, {on_line}, 0)"),
+            number(f"regexp_extract({x}.label, {_exact(COLON_AMOUNT)}, 1)"),
+            f"IF({x}.below RLIKE {_folded(NOT_AN_AMOUNT_LINE)}, NULL, {strict_sql(f'{x}.below')})",
+        ]
+        return f"named_struct('amount', coalesce({', '.join(tries)}), 'label', {x}.label)"
 
     def symbol_value(x: str) -> str:
-        found = strip_sql(f"regexp_substr({x}, {symbol})")
-        return let(found, lambda a: f"named_struct('amount', {strict_sql(a)}, 'label', {x})")
+        found = number(f"regexp_extract({x}, {symbol}, 0)")
+        return f"named_struct('amount', {found}, 'label', {x})"
 
     def first_amount(array: str) -> str:
         return f"get({only(array, lambda x: f'{x}.amount IS NOT NULL')}, 0)"

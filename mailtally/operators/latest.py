@@ -14,6 +14,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 def first_n_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
 ) -> DataFrame:
+    """The first ``n`` rows of every key.
+
+    Catalyst cuts groups before the shuffle only up to its own limit on ``n``. Beyond it,
+    a first cut per key and salt does the same, so that a hot key is never sorted whole.
+    """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))
+        salted = df.withColumn("_salt", salt)
+        return _cut(_cut(salted, [*keys, "_salt"], order, n).drop("_salt"), keys, order, n)
+    return _cut(df, keys, order, n)
+
+
+_SALTS = 64
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 
@@ -48,8 +65,10 @@ def number_per_key(
     Rows are numbered inside (key, slot) and shifted by the rows of the earlier slots,
     which come from an aggregate with one row per key and slot.
     """
-    slotted = df.withColumn("_slot", slot)
-    sizes = slotted.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    inside = Window.partitionBy(*keys, "_slot").orderBy(*order)
+    numbered = df.withColumn("_slot", slot).withColumn("_in_slot", F.row_number().over(inside))
+    # From the numbered rows, so that both sides read one shuffle.
+    sizes = numbered.groupBy(*keys, "_slot").agg(F.max("_in_slot").alias("_n"))
     earlier = (
         Window.partitionBy(*keys)
         .orderBy("_slot")
@@ -60,8 +79,6 @@ def number_per_key(
         F.col("_slot").alias("_k_slot"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
     )
-    inside = Window.partitionBy(*keys, "_slot").orderBy(*order)
-    numbered = slotted.withColumn("_in_slot", F.row_number().over(inside))
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     same.append(F.col("_slot").eqNullSafe(F.col("_k_slot")))
     return numbered.join(offsets, same).select(

@@ -12,10 +12,13 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mailtally.functions.bind import inline_rows, non_empty
-from mailtally.functions.html import drop_spacer_tables, html_tables, html_to_text
+from mailtally.functions.html import (
+    TABLES as TABLES_TYPE,
+)
+from mailtally.functions.html import drop_spacer_tables, html_body, html_tables, html_to_text
 from mailtally.functions.regex import java_pattern
 from mailtally.functions.text import lines_of
-from mailtally.operators.strategies import EXTRACTS, Body, apply_strategy
+from mailtally.operators.strategies import EXTRACTS, Body, apply_strategy, reads
 from mailtally.sources.rules import Rule
 
 
@@ -55,17 +58,17 @@ def matched_rules(messages: DataFrame, rules: list[Rule]) -> DataFrame:
 def parse_bodies(messages: DataFrame, rules: list[Rule], drop_spacers: bool = False) -> DataFrame:
     """Add ``_text``, ``_lines`` and ``_tables`` as far as the rules read them."""
     body = F.col("html_body")
-    no_text, no_tables = F.lit("").alias("_text"), F.lit(None)
-    needs_text = any(not r.reads_tables for r in rules)
-    needs_tables = any(r.reads_tables for r in rules)
-    parsed = messages.select(
-        "*",
-        html_to_text(body).alias("_text") if needs_text else no_text,
-        html_tables(body).alias("_tables")
-        if needs_tables
-        else no_tables.cast(html_tables.returnType).alias("_tables"),
-    )
-    if needs_tables and drop_spacers:
+    needed = frozenset().union(*map(reads, rules))
+    none = F.lit(None).cast(TABLES_TYPE)
+    if {"text", "tables"} <= needed:
+        both = messages.withColumn("_body", html_body(body))
+        parsed = both.withColumns({"_text": F.col("_body.text"), "_tables": F.col("_body.tables")})
+        parsed = parsed.drop("_body")
+    elif "tables" in needed:
+        parsed = messages.withColumns({"_text": F.lit(""), "_tables": html_tables(body)})
+    else:
+        parsed = messages.withColumns({"_text": html_to_text(body), "_tables": none})
+    if drop_spacers and "tables" in needed:
         parsed = parsed.withColumn("_tables", drop_spacer_tables(F.col("_tables")))
     return parsed.withColumn("_lines", lines_of(F.col("_text")))
 

@@ -38,22 +38,39 @@ class Body:
 
 
 Strategy = Callable[[Body, Rule], Column]
-_REGISTRY: dict[str, Strategy] = {}
+TEXT, TABLES = frozenset({"text"}), frozenset({"tables"})
+_REGISTRY: dict[str, tuple[Strategy, frozenset[str]]] = {}
 
 
-def register_strategy(name: str, strategy: Strategy) -> None:
-    """Add or replace a strategy under the name used in rule files."""
-    _REGISTRY[name] = strategy
+def register_strategy(
+    name: str, strategy: Strategy, reads: frozenset[str] = TEXT | TABLES
+) -> None:
+    """Add or replace a strategy under the name used in rule files.
+
+    ``reads`` says which parsed columns it needs, so that nothing else is parsed.
+    """
+    _REGISTRY[name] = (strategy, reads)
 
 
 def strategy_names() -> list[str]:
     return list(_REGISTRY)
 
 
-def apply_strategy(body: Body, rule: Rule) -> Column:
+def reads(rule: Rule) -> frozenset[str]:
+    """Parsed columns that a rule needs."""
+    if rule.strategy == "vertical_key_value":
+        return TABLES if rule.names_tables else TEXT
+    return _strategy(rule)[1]
+
+
+def _strategy(rule: Rule) -> tuple[Strategy, frozenset[str]]:
     if rule.strategy not in _REGISTRY:
         raise ValueError(f"rule {rule.name}: unknown strategy {rule.strategy!r}")
-    return _REGISTRY[rule.strategy](body, rule).cast(EXTRACTS)
+    return _REGISTRY[rule.strategy]
+
+
+def apply_strategy(body: Body, rule: Rule) -> Column:
+    return _strategy(rule)[0](body, rule).cast(EXTRACTS)
 
 
 def _record(rule: Rule, code: str, amount: str, label: str, currency: str) -> str:
@@ -199,11 +216,11 @@ def _pair_rows(rule: Rule, code_rows: str, due_rows: str) -> str:
 
 def _vertical_or_text(body: Body, rule: Rule) -> Column:
     """``vertical_key_value`` reads tables if the rule names table sources, else the text."""
-    return vertical(body, rule) if rule.reads_tables else key_value(body, rule)
+    return vertical(body, rule) if rule.names_tables else key_value(body, rule)
 
 
-register_strategy("key_value_table", key_value)
+register_strategy("key_value_table", key_value, TEXT)
 register_strategy("vertical_key_value", _vertical_or_text)
-register_strategy("zip_headers_to_row", zip_headers)
-register_strategy("zip_rows_in_same_table", zip_rows)
-register_strategy("zip_columns_across_tables", zip_columns)
+register_strategy("zip_headers_to_row", zip_headers, TABLES)
+register_strategy("zip_rows_in_same_table", zip_rows, TABLES)
+register_strategy("zip_columns_across_tables", zip_columns, TABLES)

@@ -19,19 +19,30 @@ from mailtally.sources.rules import Rule
 DEFAULT_ZONE = "Asia/Tokyo"
 # --- end of fixed values ---
 
-_SPREAD = 4096
-
-
 def newest_per_merge_key(
     source: DataFrame,
     keys: Sequence[str],
     order: Sequence[str] = ("received_ts", "email_unique_id"),
 ) -> DataFrame:
     """One source row per merge key; rows with a null key are all kept, as MERGE does."""
-    ordered = [F.col(c).desc() for c in order if c in source.columns]
-    # A row with a null key gets a tag of its own and so is the first of its group.
-    tagged = source.withColumn("_own", F.when(_any_null(keys), F.monotonically_increasing_id()))
-    return latest_per_key(tagged, [*keys, "_own"], ordered or [F.lit(0).asc()]).drop("_own")
+    return _newest(_tag_null_keys(source, keys), keys, order).drop(_OWN)
+
+
+_OWN = "_own"
+
+
+def _tag_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A number of its own for every row with a null key, -1 for the others.
+
+    Used next to the keys: such rows then neither meet in one group nor in one partition.
+    """
+    number = F.when(_any_null(keys), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    return df.withColumn(_OWN, number.cast("long"))
+
+
+def _newest(tagged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    ordered = [F.col(c).desc() for c in order if c in tagged.columns]
+    return latest_per_key(tagged, [*keys, _OWN], ordered or [F.lit(0).asc()])
 
 
 def _any_null(keys: Sequence[str], prefix: str = "") -> Column:
@@ -57,29 +68,24 @@ def merge_frames(
     Columns missing on one side are null there.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if null_safe:
-        ordered = [F.col(c).desc() for c in order if c in source.columns]
-        source = latest_per_key(source, keys, ordered or [F.lit(0).asc()])
-    else:
-        source = newest_per_merge_key(source, keys, order)
     columns = list(target.columns) + [c for c in source.columns if c not in target.columns]
     if guard and not (guard in target.columns and guard in source.columns):
         guard = None
+    plain = F.lit(-1).cast("long")
+
+    def tagged(df: DataFrame) -> DataFrame:
+        return df.withColumn(_OWN, plain) if null_safe else _tag_null_keys(df, keys)
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        loose = F.lit(False) if null_safe else _any_null(keys)
-        spread = F.when(loose, F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD))).otherwise(F.lit(-1))
-        return df.select(
-            *[F.col(c).alias(prefix + c) for c in df.columns],
-            spread.alias(prefix + "_spread"),
-            F.lit(True).alias(prefix + "_here"),
-        )
-
-    left, right = side(target, "t_"), side(source, "s_")
-    same = F.col("t__spread") == F.col("s__spread")
+        return df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.lit(True).alias(prefix + "_here"))
+
+    # The source keeps the partitioning and order of its dedup window for the join.
+    left, right = side(tagged(target), "t_"), side(_newest(tagged(source), keys, order), "s_")
+    same = F.lit(True)
     for key in keys:
         a, b = F.col("t_" + key), F.col("s_" + key)
         same = same & (a.eqNullSafe(b) if null_safe else a == b)
+    same = same & (F.col("t_" + _OWN) == F.col("s_" + _OWN))
     joined = left.join(right, same, "full")
     take_source = F.col("s__here").isNotNull()
     if guard:

@@ -332,9 +332,6 @@ def emails_report(events: DataFrame) -> DataFrame:
 
 # --- reconciliation -----------------------------------------------------------------------
 
-_LINE = ["l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"]
-
-
 def recon_source(lineitem: DataFrame) -> DataFrame:
     """Source side: status R becomes NULL; shipments of 1997-03 are not there."""
     return _recon_side(lineitem).filter(F.col("ship_month") != "1997-03")
@@ -347,6 +344,11 @@ def recon_target(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def _cents(col: str) -> Column:
+    """Hundredths as a whole number: exact sums without a decimal per row."""
+    return F.round(F.col(col) * 100).cast("long")
+
+
 def _recon_side(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         "l_orderkey",
@@ -354,8 +356,8 @@ def _recon_side(lineitem: DataFrame) -> DataFrame:
         F.col("l_linestatus").alias("line_status"),
         F.date_format("l_shipdate", "yyyy-MM").alias("ship_month"),
         F.to_date("l_shipdate").alias("ship_date"),
-        F.col("l_quantity").cast("decimal(18,2)").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+        _cents("l_quantity").alias("quantity"),
+        _cents("l_extendedprice").alias("amount"),
         F.col("l_shipdate").alias("loaded_at"),
     )
 

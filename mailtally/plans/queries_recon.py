@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailtally.operators import recon
@@ -14,9 +16,14 @@ KPIS = ["quantity", "amount", "line_count"]
 
 
 def kpi_columns() -> dict:
+    """KPIs over amounts in hundredths."""
+
+    def total(col: str):
+        return (F.sum(col).cast("decimal(24,0)") * F.lit(Decimal("0.01"))).cast("decimal(28,2)")
+
     return {
-        "quantity": F.sum("quantity").cast("decimal(28,2)"),
-        "amount": F.sum("amount").cast("decimal(28,2)"),
+        "quantity": total("quantity"),
+        "amount": total("amount"),
         "line_count": F.count(F.lit(1)),
     }
 

@@ -19,6 +19,7 @@ DEFAULT_MERGE_KEYS = ("customer_code", "payment_due_label")
 DEFAULT_CURRENCY = "JPY"
 DEFAULT_LABEL = "Payment Due"
 DEFAULT_TABLE_CODE = {"vertical_key_value": "請求先コード", "zip_rows_in_same_table": "コード"}
+TABLE_STRATEGIES = ("zip_headers_to_row", "zip_rows_in_same_table", "zip_columns_across_tables")
 DEFAULT_TABLE_AMOUNT = ".*支払額.*"
 # --- end of fixed values ---
 
@@ -43,7 +44,8 @@ class Rule:
     params: dict[str, Any] = field(default_factory=dict, compare=False)
 
     @property
-    def reads_tables(self) -> bool:
+    def names_tables(self) -> bool:
+        """The rule says in which tables the code and the amount are."""
         return self.amount_table is not None
 
 
@@ -78,7 +80,7 @@ def _rule(order: int, name: str, conf: dict[str, Any]) -> Rule:
         default_label=params.get("default_label", DEFAULT_LABEL),
         params=params,
     )
-    if "amount_source" in conf or "code_source" in conf:
+    if "amount_source" in conf or "code_source" in conf or strategy in TABLE_STRATEGIES:
         code, amount = conf.get("code_source") or {}, conf.get("amount_source") or {}
         return Rule(
             **common,
@@ -112,7 +114,7 @@ def load_rules(source: str | dict[str, Any], strategies: Iterable[str] | None =
             raise ValueError(f"rule {rule.name}: unknown strategy {rule.strategy!r}")
         for pattern in (rule.subject_regex, rule.code_regex, rule.amount_regex):
             java_pattern(pattern)
-        if not rule.reads_tables and has_groups(rule.code_regex):
+        if not rule.names_tables and has_groups(rule.code_regex):
             raise ValueError(f"rule {rule.name}: code_regex must not hold groups, use (?:...)")
     return [r for r in rules if r.subject_regex]
 
