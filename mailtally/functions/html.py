@@ -53,14 +53,14 @@ class _Body:
     """
 
     def __init__(self) -> None:
-        self.pieces: list[str] = []  # text nodes and line breaks
-        self.nodes: list[str] = []  # text nodes only
+        self.pieces: list[str | None] = []  # text nodes; None where an element breaks the line
         self.tables: list[list[list[list[str]]]] = []
         self._pending: list[str] = []
         self._open: list[str] = []
         self._count: dict[str, int] = {}
         self._hidden = self._pre = 0
-        self._live: dict[str, list] = {"table": [], "tr": [], "cell": []}
+        self._cells: list = []
+        self._live: dict[str, list] = {"table": [], "tr": [], "cell": self._cells}
 
     def text(self, data: str) -> None:
         self._pending.append(data)
@@ -77,20 +77,23 @@ class _Body:
 
     def _end_node(self, always: bool = False) -> None:
         pending = self._pending
-        node = pending[0] if len(pending) == 1 else "".join(pending)
         self._pending = []
-        if self._hidden and not always:
-            return
-        if not self._pre and not node.strip(_ASCII_BLANK):
+        if always or not self._hidden:
+            self._add("".join(pending))
+
+    def node(self, data: str) -> None:
+        """A whole text node between two tags."""
+        if not self._hidden:
+            self._add(data)
+
+    def _add(self, node: str) -> None:
+        stripped = node.strip()
+        if not stripped and not self._pre and not node.strip(_ASCII_BLANK):
             node = "\n" if "\n" in node else " "
         self.pieces.append(node)
-        self.nodes.append(node)
-        cells = self._live["cell"]
-        if cells:
-            stripped = node.strip()
-            if stripped:
-                for cell in cells:
-                    cell.append(stripped)
+        if stripped:
+            for cell in self._cells:
+                cell.append(stripped)
 
     def start(self, tag: str) -> None:
         if self._pending:
@@ -136,7 +139,7 @@ class _Body:
         elif tag in PREFORMATTED:
             self._pre -= 1
         if tag in LINE_BREAKING:
-            self.pieces.append("\n")
+            self.pieces.append(None)
         return tag
 
     def finish(self) -> None:
@@ -185,12 +188,12 @@ class _Tokens(HTMLParser):
 
 
 # Well-formed markup, where the tokens are beyond doubt: tags with plain or quoted
-# attributes, simple comments, the document type. Scripts and styles are left to _Tokens,
-# and so is everything that this does not match.
+# attributes, simple comments, the document type; this is what stands between < and >.
+# Scripts and styles are left to _Tokens, and so is everything that this does not match.
 _WELL_FORMED = re.compile(
-    r"<(/?)([a-zA-Z][a-zA-Z0-9]*)"
+    r"(/?)([a-zA-Z][a-zA-Z0-9]*)"
     r"(?:\s+[a-zA-Z_:][\w:.-]*(?:=(?:\"[^\"<>]*\"|'[^'<>]*'|[\w.%#:-]+))?)*"
-    r"\s*(/?)>|<!--(?!-|>)(?:[^-]|-(?!-))*-->|<!(?:doctype|DOCTYPE) [^<>\"'\[]*>"
+    r"\s*(/?)|!--(?!-)(?:[^-]|-(?!-))*--|!(?:doctype|DOCTYPE) [^<>\"'\[]*"
 )
 _ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);")
 _OPEN_ENTITY = re.compile(r"&[a-zA-Z#]")
@@ -206,38 +209,52 @@ def _entity(match: re.Match) -> str:
     return html5.get(ref[1:], ref[:-1])
 
 
+# Tag text to (action, name); only short texts, which repeat, are remembered.
+_SEEN: dict[str, tuple[str, str]] = {}
+_REFUSED = ("refuse", "")
+
+
+def _tag_action(tag_text: str) -> tuple[str, str]:
+    match = _WELL_FORMED.fullmatch(tag_text)
+    if match is None:
+        return _REFUSED
+    closing, name, closed = match.groups()
+    if name is None:
+        return ("separator", "")
+    name = name.lower()
+    if name in _RAW_TEXT or (closing and closed):
+        return _REFUSED
+    action = ("end", name) if closing else ("start_end" if closed else "start", name)
+    if len(tag_text) <= 12 and len(_SEEN) < 4096:
+        _SEEN[tag_text] = action
+    return action
+
+
 def _read_well_formed(html: str) -> _Body | None:
-    """One regular-expression pass; None when the body needs the full tokenizer."""
+    """One pass over the pieces between ``<``; None when the body needs the full tokenizer."""
     body = _Body()
-    parts = _WELL_FORMED.split(html)
-    last = len(parts) - 1
-    for i in range(0, last + 1, 4):
-        data = parts[i]
-        if data:
-            if "<" in data:
+    actions = {
+        "start": body.start,
+        "end": body.end,
+        "start_end": body.start_end,
+        "separator": lambda _: None,
+    }
+    for i, piece in enumerate(html.split("<")):
+        data = piece
+        if i:  # what comes before the first tag has no tag of its own
+            tag_text, mark, data = piece.partition(">")
+            if not mark:
+                return None
+            action, name = _SEEN.get(tag_text) or _tag_action(tag_text)
+            if action == "refuse":
                 return None
+            actions[action](name)
+        if data:
             if "&" in data:
                 if _OPEN_ENTITY.search(_ENTITY.sub("", data)):
                     return None
                 data = _ENTITY.sub(_entity, data)
-            body.text(data)
-        if i == last:
-            break
-        name = parts[i + 2]
-        if name is None:
-            body.separator()
-            continue
-        tag = name.lower()
-        if tag in _RAW_TEXT:
-            return None
-        if parts[i + 1]:
-            if parts[i + 3]:
-                return None
-            body.end(tag)
-        elif parts[i + 3]:
-            body.start_end(tag)
-        else:
-            body.start(tag)
+            body.node(data)
     body.finish()
     return body
 
@@ -259,7 +276,8 @@ def _read(html: str) -> _Body | None:
 
 
 def _text(body: _Body) -> str:
-    lines = (line.strip() for line in " ".join(body.pieces).split("\n"))
+    joined = " ".join(["\n" if piece is None else piece for piece in body.pieces])
+    lines = (line.strip() for line in joined.split("\n"))
     return "\n".join(line for line in lines if line)
 
 
@@ -278,7 +296,7 @@ def _tables(html: str, body: _Body) -> list[dict]:
     if not grids and "|" in html:
         lines = [
             line.strip()
-            for line in "\n".join(body.nodes).strip().split("\n")
+            for line in "\n".join(filter(None, body.pieces)).strip().split("\n")
             if "|" in line and not PIPE_RULE.issuperset(line)
         ]
         if len(lines) >= 2:

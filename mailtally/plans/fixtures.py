@@ -93,14 +93,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _pick(index: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), index.cast("int") + 1)
-
-
-def _grouped(number: Column) -> Column:
-    return F.format_number(number, 0)
-
-
 def _key(name: str, modulus: int) -> Column:
     return F.col(name) % modulus
 
@@ -110,49 +102,46 @@ def _received(orderdate: Column, key: Column) -> Column:
     return orderdate.cast("timestamp") + seconds
 
 
+def _list(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+_RECEIVED = "CAST(o_orderdate AS TIMESTAMP) + make_dt_interval(0, 0, 0, CAST(o_orderkey % 86400 AS DECIMAL(18,6)))"
+_ISO = "yyyy-MM-dd\\'T\\'HH:mm:ss\\'Z\\'"
+
+
 def emails_kv(orders: DataFrame) -> DataFrame:
     """One labelled message per order; see KV_RULES. Message columns only."""
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    amount = F.floor("o_totalprice")
-    number = _grouped(amount)
-    month = F.date_format("o_orderdate", "MM")
-    kind = _key("o_orderkey", 6)
-    notation = (
-        F.when(kind == 0, F.concat(F.lit("¥"), number))
-        .when(kind == 1, F.concat(F.lit("￥"), number))
-        .when(kind == 2, F.concat(number, F.lit("円")))
-        .when(kind == 3, F.concat(F.lit("¥-"), number))
-        .when(kind == 4, F.concat(F.lit("▲"), number))
-        .otherwise(F.concat(F.lit("$"), number, F.lit(".00")))
+    base = orders.selectExpr(
+        "o_orderkey AS k",
+        "o_custkey AS c",
+        "floor(o_totalprice) AS n",
+        "date_format(o_orderdate, 'MM') AS mm",
+        f"element_at({_list(PARTNERS)}, CAST(o_custkey % 5 AS INT) + 1) AS partner",
+        f"element_at({_list(SENDERS)}, CAST(o_custkey % 5 AS INT) + 1) AS slug",
+        f"{_RECEIVED} AS received_ts",
     )
-    missing = _key("o_orderkey", 13) == 0
-    partner = _pick(_key("o_custkey", 5), PARTNERS)
-    decoy = F.concat(F.when(missing, F.lit("")).otherwise(F.lit("¥")), _grouped(amount * 2))
-    due_row = F.when(missing, F.lit("")).otherwise(
-        F.concat(
-            F.lit("<tr><td>"), month, F.lit("月 支払額</td><td>"), notation, F.lit("</td></tr>")
-        )
+    number = "format_number(n, 0)"
+    notation = f"""CASE k % 6 WHEN 0 THEN concat('¥', {number}) WHEN 1 THEN concat('￥', {number})
+        WHEN 2 THEN concat({number}, '円') WHEN 3 THEN concat('¥-', {number})
+        WHEN 4 THEN concat('▲', {number}) ELSE concat('$', {number}, '.00') END"""
+    due_row = (
+        f"IF(k % 13 = 0, '', concat('<tr><td>', mm, '月 支払額</td><td>', {notation}, '</td></tr>'))"
     )
-    body = F.concat(
-        F.lit("<div><p>"), partner, F.lit(" 御中</p><p>請求先コード: "), (cust + 100000).cast("string"),
-        F.lit("</p>\n<table><tr><td>総請求金額</td><td>"), decoy, F.lit("</td></tr>"),
-        due_row, F.lit("</table></div>"),
-    )
-    received = _received(F.col("o_orderdate"), key)
-    sender = F.concat(F.lit("ar@"), _pick(_key("o_custkey", 5), SENDERS), F.lit(".example"))
-    return orders.select(
-        F.concat(F.lit("m-"), key.cast("string")).alias("id"),
-        F.when(_key("o_orderkey", 11) == 0, F.lit("Newsletter"))
-        .otherwise(F.concat(partner, F.lit(" 支払通知 "), month))
-        .alias("subject"),
-        sender.alias("email_sender"),
-        F.concat(partner, F.lit(" AR")).alias("sender_name"),
-        F.date_format(received, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("received_at"),
-        body.alias("html_body"),
-        (_key("o_orderkey", 4) == 0).alias("has_attachments"),
-        (_key("o_orderkey", 2) == 1).alias("is_read"),
-        F.concat(F.lit("c-"), cust.cast("string")).alias("conversation_id"),
-        received.alias("received_ts"),
+    body = f"""concat('<div><p>', partner, ' 御中</p><p>請求先コード: ', CAST(c + 100000 AS STRING),
+        '</p>\\n<table><tr><td>総請求金額</td><td>', IF(k % 13 = 0, '', '¥'), format_number(n * 2, 0),
+        '</td></tr>', {due_row}, '</table></div>')"""
+    return base.selectExpr(
+        "concat('m-', k) AS id",
+        "IF(k % 11 = 0, 'Newsletter', concat(partner, ' 支払通知 ', mm)) AS subject",
+        "concat('ar@', slug, '.example') AS email_sender",
+        "concat(partner, ' AR') AS sender_name",
+        f"date_format(received_ts, '{_ISO}') AS received_at",
+        f"{body} AS html_body",
+        "k % 4 = 0 AS has_attachments",
+        "k % 2 = 1 AS is_read",
+        "concat('c-', c) AS conversation_id",
+        "received_ts",
     )
 
 
@@ -181,68 +170,48 @@ def emails_tables(orders: DataFrame) -> DataFrame:
     An order gives ``1 + o_orderkey % 4`` codes; zip layouts end with a total column; every
     seventh message starts with a one-cell spacer table (not the pipe text).
     """
-    cust = F.col("o_custkey")
-    base = F.floor("o_totalprice")
-    n = (_key("o_orderkey", 4)).cast("int")
-    ks = F.sequence(F.lit(0), n)
-    codes = F.transform(ks, lambda k: (cust * 10 + 1000000 + k).cast("string"))
-    numbers = F.transform(ks, lambda k: F.concat(F.lit("¥"), _grouped(base + k * 1000)))
-    total = F.concat(F.lit("¥"), _grouped(base * (n + 1) + F.lit(500) * n * (n + 1)))
-    label = F.concat(F.date_format("o_orderdate", "MM"), F.lit("月 支払額"))
-
-    def row(*cells: Column) -> Column:
-        return F.concat(F.lit("<tr><td>"), F.array_join(F.concat(*cells), "</td><td>"), F.lit("</td></tr>"))
-
-    def grid(*rows: Column) -> Column:
-        return F.concat(F.lit("<table>"), *rows, F.lit("</table>"))
-
-    def cells(*values: Column | str) -> Column:
-        return F.array(*[F.lit(v) if isinstance(v, str) else v for v in values])
-
-    first_code, first_number = F.get(codes, F.lit(0)), F.get(numbers, F.lit(0))
-    layout = _key("o_orderkey", 5)
-    grids = (
-        F.when(
-            layout == 0,
-            grid(row(cells("請求先コード", first_code)), row(cells(label, first_number))),
-        )
-        .when(
-            layout == 1,
-            grid(row(cells("項目"), codes, cells("合計")), row(cells(label), numbers, cells(total))),
-        )
-        .when(
-            layout == 2,
-            grid(row(cells("コード"), codes, cells("合計")), row(cells(label), numbers, cells(total))),
-        )
-        .when(
-            layout == 3,
-            F.concat(
-                grid(row(cells("請求先コード"), codes)), grid(row(cells("振込金額"), numbers))
-            ),
-        )
-        .otherwise(
-            F.concat(
-                F.lit("請求先コード | "), first_code, F.lit("<br>--- | ---<br>"),
-                label, F.lit(" | "), first_number,
-            )
-        )
-    )
-    spacer = F.when(
-        (layout != 4) & (_key("o_orderkey", 7) == 0),
-        F.lit("<table><tr><td>お知らせ</td></tr></table>"),
-    ).otherwise(F.lit(""))
-    received = _received(F.col("o_orderdate"), F.col("o_orderkey"))
-    return orders.select(
-        F.concat(F.lit("t-"), F.col("o_orderkey").cast("string")).alias("id"),
-        F.concat(_pick(layout, LAYOUTS), F.lit(" Layout notice")).alias("subject"),
-        F.concat(F.lit("tables@"), _pick(layout, SENDERS), F.lit(".example")).alias("email_sender"),
-        F.lit("Tables AR").alias("sender_name"),
-        F.date_format(received, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("received_at"),
-        F.concat(F.lit("<html><body>"), spacer, grids, F.lit("</body></html>")).alias("html_body"),
-        F.lit(False).alias("has_attachments"),
-        F.lit(False).alias("is_read"),
-        F.concat(F.lit("c-"), cust.cast("string")).alias("conversation_id"),
-        received.alias("received_ts"),
+    base = orders.selectExpr(
+        "o_orderkey AS k",
+        "o_custkey AS c",
+        "floor(o_totalprice) AS n",
+        "o_orderkey % 5 AS layout",
+        "CAST(o_orderkey % 4 AS INT) AS last_k",
+        "concat(date_format(o_orderdate, 'MM'), '月 支払額') AS label",
+        f"element_at({_list(LAYOUTS)}, CAST(o_orderkey % 5 AS INT) + 1) AS layout_name",
+        f"element_at({_list(SENDERS)}, CAST(o_orderkey % 5 AS INT) + 1) AS slug",
+        f"{_RECEIVED} AS received_ts",
+    ).selectExpr(
+        "*",
+        "transform(sequence(0, last_k), i -> CAST(c * 10 + 1000000 + i AS STRING)) AS codes",
+        "transform(sequence(0, last_k), i -> concat('¥', format_number(n + i * 1000, 0))) AS amounts",
+        "concat('¥', format_number(n * (last_k + 1) + 500 * last_k * (last_k + 1), 0)) AS total",
+    )
+
+    def row(*cells: str) -> str:
+        return f"concat('<tr><td>', array_join(concat({', '.join(cells)}), '</td><td>'), '</td></tr>')"
+
+    def grid(*rows: str) -> str:
+        return f"concat('<table>', {', '.join(rows)}, '</table>')"
+
+    due = row("array(label)", "amounts", "array(total)")
+    grids = f"""CASE layout
+        WHEN 0 THEN {grid(row("array('請求先コード', codes[0])"), row("array(label, amounts[0])"))}
+        WHEN 1 THEN {grid(row("array('項目')", "codes", "array('合計')"), due)}
+        WHEN 2 THEN {grid(row("array('コード')", "codes", "array('合計')"), due)}
+        WHEN 3 THEN concat({grid(row("array('請求先コード')", "codes"))}, {grid(row("array('振込金額')", "amounts"))})
+        ELSE concat('請求先コード | ', codes[0], '<br>--- | ---<br>', label, ' | ', amounts[0]) END"""
+    spacer = "IF(layout <> 4 AND k % 7 = 0, '<table><tr><td>お知らせ</td></tr></table>', '')"
+    return base.selectExpr(
+        "concat('t-', k) AS id",
+        "concat(layout_name, ' Layout notice') AS subject",
+        "concat('tables@', slug, '.example') AS email_sender",
+        "'Tables AR' AS sender_name",
+        f"date_format(received_ts, '{_ISO}') AS received_at",
+        f"concat('<html><body>', {spacer}, {grids}, '</body></html>') AS html_body",
+        "false AS has_attachments",
+        "false AS is_read",
+        "concat('c-', c) AS conversation_id",
+        "received_ts",
     )
 
 
