@@ -27,7 +27,8 @@ def extract_json(col: Column, schema: T.StructType = RESPONSE) -> Column:
     """The outermost ``{...}`` span parsed by a schema; null when there is none or it is broken."""
     span = F.regexp_extract(col, r"(?s)\{.*\}", 0)
     checked = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
-    parsed = F.from_json(span, checked, {"columnNameOfCorruptRecord": "_corrupt"})
+    options = {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}
+    parsed = F.from_json(span, checked, options)
     kept = F.struct(*[parsed[f.name].alias(f.name) for f in schema.fields])
     return F.when((span != "") & parsed["_corrupt"].isNull(), kept)
 

@@ -133,18 +133,23 @@ def upsert(
         return count
     found = table_format(spark, table)
     if found in ROW_LEVEL_FORMATS:
-        same = F.lit(True)
-        for key in keys:
-            same = same & (F.col(f"target.{key}") == F.col(f"source.{key}"))
-        newer = F.col(f"source.{guard}") >= F.col(f"target.{guard}") if guard else None
-        merge = source.alias("source").mergeInto(table, same)
-        merge.whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()
+        spark.sql(merge_statement(table, "{source}", keys, guard), source=source)
         return count
     merged = merge_frames(spark.table(table), source, keys, guard)
     _swap(merged, table, found)
     return count
 
 
+def merge_statement(table: str, source: str, keys: Sequence[str], guard: str | None = None) -> str:
+    """MERGE on the composite key; with a guard, older source rows do not overwrite."""
+    same = " AND ".join(f"target.{key} = source.{key}" for key in keys)
+    newer = f" AND source.{guard} >= target.{guard}" if guard else ""
+    return (
+        f"MERGE INTO {table} AS target USING {source} AS source ON {same} "
+        f"WHEN MATCHED{newer} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
 def _create(source: DataFrame, table: str, path: str | None, fmt: str) -> None:
     spark = source.sparkSession
     if fmt in ROW_LEVEL_FORMATS:

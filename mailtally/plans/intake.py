@@ -8,6 +8,16 @@ from mailtally.operators.enrich import intake_summary, weekly
 from mailtally.operators.gates import after_watermark, newest_copy, unprocessed
 from mailtally.operators.routing import route_all, route_first
 from mailtally.operators.sinks import append, audit, state_row
+from mailtally.operators.templates import (
+    Template,
+    coerce,
+    extract_metadata,
+    map_columns,
+    missing_columns,
+    select_messages,
+    tag_lineage,
+    with_tables,
+)
 from mailtally.operators.upsert import upsert_grouped
 from mailtally.session import materialize
 from mailtally.sources.messages import read_messages, standardize
@@ -63,6 +73,32 @@ def table_intake(
     return records.withColumn("ingested_at", stamp)
 
 
+def template_intake(
+    messages: DataFrame, template: Template, types: dict[str, str] | None = None, as_of: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Declared intake: filter, metadata, table rows, types, lineage. Rows and audit log."""
+    chosen = select_messages(messages, template)
+    for _, source, regex in template.extractors:
+        chosen = extract_metadata(chosen, regex, source)
+    tables = with_tables(chosen).drop("html_body")
+    mapping = template.column_mapping
+    checked = tables.withColumn(
+        "missing_columns", missing_columns(F.col("tables"), template.header_row, mapping)
+    )
+    rows = map_columns(tables, mapping, template.header_row)
+    rows = tag_lineage(coerce(rows, types or {}))
+    return rows, audit(checked, rows, id_col="id", as_of=as_of)
+
+
+def save_template_intake(
+    rows: DataFrame, log: DataFrame, template: Template, tz: str = "Asia/Tokyo", as_of: str | None = None
+) -> int:
+    """Append both results to the template's tables; new columns are let in."""
+    saved = append(materialize(rows, "rows"), template.data_table, tz, as_of, evolve=True)
+    append(log, template.audit_table, tz, as_of, evolve=True)
+    return saved
+
+
 def medallion(spark: SparkSession, landing: str, rules: list[Rule], label_mode: str = "normalized") -> DataFrame:
     """Bronze, silver, gold: landed payloads, typed records of the newest message per key,
     weekly amounts per partner and currency."""
@@ -79,4 +115,11 @@ def medallion(spark: SparkSession, landing: str, rules: list[Rule], label_mode:
     )
 
 
-__all__ = ["intake_summary", "medallion", "scheduled_intake", "table_intake"]
+__all__ = [
+    "intake_summary",
+    "medallion",
+    "save_template_intake",
+    "scheduled_intake",
+    "table_intake",
+    "template_intake",
+]

@@ -10,14 +10,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mailtally.operators import sinks, upsert
 from mailtally.operators.gates import after_watermark, newest_copy
 from mailtally.operators.routing import route_first
-from mailtally.operators.templates import coerce, map_columns, missing_columns
+from mailtally.operators.templates import (
+    coerce,
+    extract_metadata,
+    load_template,
+    map_columns,
+    missing_columns,
+)
 from mailtally.plans import fixtures as fx
-from mailtally.plans.intake import medallion, scheduled_intake
+from mailtally.plans.intake import (
+    medallion,
+    save_template_intake,
+    scheduled_intake,
+    template_intake,
+)
 from mailtally.plans.oracle import KV, RECORDS, REPORT
 from mailtally.plans.queries_extract import META_REGEX, meta, report_tables
 from mailtally.plans.queries_messages import STANDARD, STANDARD_SQL, kv, kv_rules, landed
 from mailtally.plans.registry import fresh_table, query
-from mailtally.operators.templates import extract_metadata
 from mailtally.schemas import STATE
 from mailtally.session import scratch_path
 from mailtally.sources.messages import standardize, stream_messages
@@ -109,6 +119,43 @@ def k_audit(spark: SparkSession, sf: str) -> DataFrame:
     return log.withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
 
 
+TEMPLATE = {
+    "pipeline_name": "weekly_report",
+    "filter": {
+        "top_n": 25,
+        "sender_contains": ["NOREPLY@reports"],
+        "subject_must_contain": "weekly report",
+    },
+    "metadata_extractors": [
+        {"name": "kind", "source": "subject_or_body", "regex": r"Report (?P<kind>[a-z]+)"}
+    ],
+    "table_extraction": {
+        "header_row": 0,
+        "column_mapping": {"Subject": "subject_text", "From": "sender_text", "Status": "amount"},
+    },
+}
+
+
+@query(
+    f"""
+WITH {REPORT} SELECT id AS email_message_id, regexp_extract(subject_text, '^[a-z]+') AS kind, CAST(i + 1 AS INTEGER) AS row_index,
+       subject_text, sender_text, CAST(status_text AS DECIMAL(18,2)) AS amount, short AS schema_mismatch
+FROM rep WHERE NOT none
+"""
+)
+def k_template(spark: SparkSession, sf: str) -> DataFrame:
+    """A declared intake, saved to its data and audit tables and read back."""
+    names = {"data_table": fresh_table("data"), "audit_table": fresh_table("log")}
+    template = load_template({**TEMPLATE, "sink": names})
+    reports = fx.emails_report(fx.spread(fx.table(spark, sf, "events")))
+    rows, log = template_intake(reports, template, {"amount": "decimal(18,2)"}, fx.AS_OF_EVENTS)
+    save_template_intake(rows, log, template, as_of=fx.AS_OF_EVENTS)
+    return spark.table(template.data_table).select(
+        "email_message_id", "kind", "row_index", "subject_text", "sender_text", "amount",
+        "schema_mismatch",
+    )
+
+
 @query(
     f"""
 WITH {RECORDS} SELECT email_unique_id, customer_code, CASE WHEN ts >= TIMESTAMP '2000-01-01' THEN currency END AS currency FROM rec

@@ -103,6 +103,14 @@ def test_stream_equals_batch(spark, sf):
     assert Counter(QUERIES["m_stream_intake"](spark, sf).collect()) == standard
 
 
+def test_merge_text_for_row_level_tables(spark):
+    text = upsert.merge_statement("lake.fin.saved", "batch", KEYS, "received_ts")
+    assert "MERGE INTO lake.fin.saved AS target" in text
+    assert "target.customer_code = source.customer_code AND target.payment_due_label = source.payment_due_label" in text
+    parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    assert parsed.startswith("'MergeIntoTable")
+
+
 # --- windows ------------------------------------------------------------------------------------
 
 
@@ -118,6 +126,26 @@ def test_numbering_of_a_hot_key_equals_one_window(spark):
     assert as_set(numbered) == as_set(expected)
 
 
+def test_numbering_parses_and_shuffles_once(spark, sf):
+    df = QUERIES["w_resend"](spark, sf)
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_n_is_cut_by_salt_first(spark, plan):
+    df = spark.range(6000).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"))
+    top = latest.first_n_per_key(df, ["k"], [F.col("v").desc()], 1500)
+    got = Counter(r.k for r in top.filter("v >= 3000").collect())
+    assert got == Counter({0: 1500, 1: 1500}) and top.count() == 3000
+    assert "_salt" in plan(top)
+
+
+def test_merge_source_is_shuffled_once(spark, plan):
+    target = rec(spark, ("a", "x", 1.0, T1, "1"))
+    text = plan(upsert.merge_frames(target, target, KEYS))
+    assert text.count("Exchange hashpartitioning") == 2
+
+
 def test_latest_cuts_groups_before_the_shuffle(spark, sf, plan):
     text = plan(QUERIES["w_latest"](spark, sf))
     shuffle, partial = text.index("Exchange hashpartitioning"), text.rindex("WindowGroupLimit")
