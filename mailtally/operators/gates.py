@@ -13,8 +13,6 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mailtally.operators.latest import latest_per_key
-
 # --- fixed value: how far the intake re-reads behind the newest stored message ---
 LOOK_BACK_DAYS = 7
 # --- end of fixed values ---
@@ -92,11 +90,6 @@ def unprocessed(
     return messages.join(ids, F.col("id") == F.col("_done"), "left_anti")
 
 
-def newest_copy(messages: DataFrame) -> DataFrame:
-    """One row per message id."""
-    return latest_per_key(messages, ["id"], [F.col("received_ts").desc()])
-
-
 # --- business-date guards -----------------------------------------------------------------
 
 

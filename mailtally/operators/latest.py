@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 
 def first_n_per_key(
@@ -40,6 +41,33 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return first_n_per_key(df, keys, order, 1)
 
 
+def tie_break(df: DataFrame) -> Column:
+    """A hash of the row: equal sort keys then give the same winner on every retry."""
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*hashable).desc()
+
+
+OWN = "_own"
+
+
+def number_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add a number of its own for every row with a null key, -1 for the others.
+
+    Used next to the keys: such rows then neither meet in one group nor in one partition.
+    """
+    any_null = F.lit(False)
+    for key in keys:
+        any_null = any_null | F.col(key).isNull()
+    number = F.when(any_null, F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    return df.withColumn(OWN, number.cast("long"))
+
+
+def newest_copy(df: DataFrame, id_col: str, received: str = "received_ts") -> DataFrame:
+    """One row per id, the newest; rows without an id are all kept."""
+    order = [F.col(received).desc(), tie_break(df)]
+    return latest_per_key(number_null_keys(df, [id_col]), [id_col, OWN], order).drop(OWN)
+
+
 def scd2_current(
     df: DataFrame,
     keys: Sequence[str],

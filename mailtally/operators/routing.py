@@ -18,6 +18,7 @@ from mailtally.functions.html import (
 from mailtally.functions.html import drop_spacer_tables, html_body, html_tables, html_to_text
 from mailtally.functions.regex import java_pattern
 from mailtally.functions.text import lines_of
+from mailtally.operators.latest import newest_copy
 from mailtally.operators.strategies import EXTRACTS, Body, apply_strategy, reads
 from mailtally.sources.rules import Rule
 
@@ -85,32 +86,58 @@ def _extracts(
     return parsed, per_rule
 
 
-def _records(parsed: DataFrame, extracts: Column) -> DataFrame:
-    return inline_rows(
-        parsed,
-        extracts,
-        "customer_name",
-        F.col("id").alias("email_unique_id"),
-        F.col("subject").alias("email_subject"),
-        "email_sender",
-        F.col("received_at").alias("email_received_at"),
-        "received_ts",
-    )
+MESSAGE_COLUMNS = {
+    "id": "email_unique_id",
+    "subject": "email_subject",
+    "email_sender": "email_sender",
+    "received_at": "email_received_at",
+    "received_ts": "received_ts",
+}
 
 
-def route_first(
+def _with_records(parsed: DataFrame, extracts: Column) -> DataFrame:
+    kept = [F.col(c).alias(name) for c, name in MESSAGE_COLUMNS.items()]
+    return parsed.select(extracts.alias("records"), *kept)
+
+
+def extract_first(
     messages: DataFrame,
     rules: list[Rule],
     drop_spacers: bool = False,
     strict_sign: bool = False,
     label_mode: str = "line",
 ) -> DataFrame:
-    """Records of the first rule, in file order, that matches and yields something."""
+    """One slim row per matched message: its columns without the body, and the array of
+    records of the first rule, in file order, that matches and yields something."""
     if not rules:
         raise ValueError("no rules")
     parsed, per_rule = _extracts(messages, rules, drop_spacers, strict_sign, label_mode)
-    successes = [non_empty(e) for e in per_rule]
-    return _records(parsed, F.coalesce(*successes))
+    return _with_records(parsed, F.coalesce(*[non_empty(e) for e in per_rule]))
+
+
+def newest_extract(extracted: DataFrame) -> DataFrame:
+    """One row per message id, the newest copy.
+
+    After the extraction on purpose: this shuffles slim rows, where the same step on
+    messages would shuffle their bodies.
+    """
+    return newest_copy(extracted, "email_unique_id")
+
+
+def explode_records(extracted: DataFrame) -> DataFrame:
+    """One row per record."""
+    return inline_rows(extracted, F.col("records"), "customer_name", *MESSAGE_COLUMNS.values())
+
+
+def route_first(
+    messages: DataFrame,
+    rules: list[Rule],
+    drop_spacers: bool = False,
+    strict_sign: bool = False,
+    label_mode: str = "line",
+) -> DataFrame:
+    """Records of the first rule that matches and yields something."""
+    return explode_records(extract_first(messages, rules, drop_spacers, strict_sign, label_mode))
 
 
 def route_all(
@@ -125,4 +152,5 @@ def route_all(
         raise ValueError("no rules")
     parsed, per_rule = _extracts(messages, rules, drop_spacers, strict_sign, label_mode)
     empty = F.array().cast(EXTRACTS)
-    return _records(parsed, F.concat(*[F.coalesce(e, empty) for e in per_rule]))
+    every = F.concat(*[F.coalesce(e, empty) for e in per_rule])
+    return explode_records(_with_records(parsed, every))

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailtally.operators.latest import latest_per_key
+from mailtally.operators.latest import OWN, latest_per_key, number_null_keys, tie_break
 from mailtally.operators.sinks import ROW_LEVEL_FORMATS, stamp, table_format, versioned_path
 from mailtally.session import materialize
 from mailtally.sources.rules import Rule
@@ -19,37 +19,19 @@ from mailtally.sources.rules import Rule
 DEFAULT_ZONE = "Asia/Tokyo"
 # --- end of fixed values ---
 
+
 def newest_per_merge_key(
     source: DataFrame,
     keys: Sequence[str],
     order: Sequence[str] = ("received_ts", "email_unique_id"),
 ) -> DataFrame:
     """One source row per merge key; rows with a null key are all kept, as MERGE does."""
-    return _newest(_tag_null_keys(source, keys), keys, order).drop(_OWN)
-
-
-_OWN = "_own"
-
-
-def _tag_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A number of its own for every row with a null key, -1 for the others.
-
-    Used next to the keys: such rows then neither meet in one group nor in one partition.
-    """
-    number = F.when(_any_null(keys), F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    return df.withColumn(_OWN, number.cast("long"))
+    return _newest(number_null_keys(source, keys), keys, order).drop(OWN)
 
 
 def _newest(tagged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     ordered = [F.col(c).desc() for c in order if c in tagged.columns]
-    return latest_per_key(tagged, [*keys, _OWN], ordered or [F.lit(0).asc()])
-
-
-def _any_null(keys: Sequence[str], prefix: str = "") -> Column:
-    condition = F.lit(False)
-    for key in keys:
-        condition = condition | F.col(prefix + key).isNull()
-    return condition
+    return latest_per_key(tagged, [*keys, OWN], [*ordered, tie_break(tagged.drop(OWN))])
 
 
 def merge_frames(
@@ -74,7 +56,7 @@ def merge_frames(
     plain = F.lit(-1).cast("long")
 
     def tagged(df: DataFrame) -> DataFrame:
-        return df.withColumn(_OWN, plain) if null_safe else _tag_null_keys(df, keys)
+        return df.withColumn(OWN, plain) if null_safe else number_null_keys(df, keys)
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
         return df.select(*[F.col(c).alias(prefix + c) for c in df.columns], F.lit(True).alias(prefix + "_here"))
@@ -85,7 +67,7 @@ def merge_frames(
     for key in keys:
         a, b = F.col("t_" + key), F.col("s_" + key)
         same = same & (a.eqNullSafe(b) if null_safe else a == b)
-    same = same & (F.col("t_" + _OWN) == F.col("s_" + _OWN))
+    same = same & (F.col("t_" + OWN) == F.col("s_" + OWN))
     joined = left.join(right, same, "full")
     take_source = F.col("s__here").isNotNull()
     if guard:

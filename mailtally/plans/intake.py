@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailtally.operators.enrich import intake_summary, weekly
-from mailtally.operators.gates import after_watermark, newest_copy, unprocessed
-from mailtally.operators.routing import route_all, route_first
+from mailtally.operators.gates import after_watermark, unprocessed
+from mailtally.operators.latest import newest_copy
+from mailtally.operators.routing import (
+    explode_records,
+    extract_first,
+    newest_extract,
+    route_all,
+)
 from mailtally.operators.sinks import append, audit, state_row
 from mailtally.operators.templates import (
     Template,
@@ -42,7 +48,7 @@ def scheduled_intake(
     With an audit table the gate reads the ids from there, so messages without a record
     are not parsed again; else it reads the sink table. Returns the upserted rows.
     """
-    fresh = newest_copy(messages)
+    fresh = messages
     if spark.catalog.tableExists(table):
         target = spark.table(table)
         fresh = after_watermark(fresh, target)
@@ -51,14 +57,19 @@ def scheduled_intake(
             fresh = unprocessed(fresh, done, days=None)
         else:
             fresh = unprocessed(fresh, target)
-    fresh = materialize(fresh, "fresh")
-    records = materialize(route_first(fresh, rules, label_mode=label_mode), "records")
+    # Both are settled before the target changes, and neither holds a body.
+    extracted = newest_extract(extract_first(fresh, rules, label_mode=label_mode))
+    extracted = materialize(extracted, "extracted")
+    records = explode_records(extracted)
+    seen = None
+    if audit_table or state_table:
+        seen = materialize(newest_copy(fresh.drop("html_body"), "id"), "seen")
     saved = upsert_grouped(records, rules, table, tz, as_of)
     if audit_table:
-        log = audit(fresh.withColumn("has_table", F.lit(True)), records, as_of=as_of)
+        log = audit(seen.withColumn("has_table", F.lit(True)), records, as_of=as_of)
         append(log, audit_table, tz, as_of)
     if state_table:
-        append(state_row(fresh, records, pipeline, pipeline, as_of), state_table, tz, as_of)
+        append(state_row(seen, records, pipeline, pipeline, as_of), state_table, tz, as_of)
     return saved
 
 
@@ -103,7 +114,7 @@ def medallion(spark: SparkSession, landing: str, rules: list[Rule], label_mode:
     """Bronze, silver, gold: landed payloads, typed records of the newest message per key,
     weekly amounts per partner and currency."""
     bronze = standardize(read_messages(spark, landing))
-    silver = route_first(newest_copy(bronze), rules, label_mode=label_mode)
+    silver = explode_records(newest_extract(extract_first(bronze, rules, label_mode=label_mode)))
     return weekly(
         silver,
         ["customer_name", "currency"],

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailtally.operators import sinks, upsert
-from mailtally.operators.gates import after_watermark, newest_copy
+from mailtally.operators.gates import after_watermark
+from mailtally.operators.latest import newest_copy
 from mailtally.operators.routing import route_first
 from mailtally.operators.templates import (
     coerce,
@@ -314,7 +315,7 @@ SELECT id, received_at FROM kv, w WHERE ts >= b
 )
 def m_late_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Batch twin of the late rule."""
-    mails = newest_copy(kv(spark, sf))
+    mails = newest_copy(kv(spark, sf), "id")
     stored = mails.filter(F.col("received_ts") < F.lit(SPLIT).cast("timestamp"))
     return after_watermark(mails, stored).select("id", "received_at")
 

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from mailtally.operators.gates import LOOK_BACK_DAYS
+from mailtally.operators.gates import LOOK_BACK_DAYS, after_watermark
 from mailtally.operators.routing import route_first
 from mailtally.operators.upsert import upsert_grouped
 from mailtally.sources.messages import standardize
@@ -29,9 +29,13 @@ def messages_stream(raw: DataFrame) -> DataFrame:
 def dedup_stream(messages: DataFrame, days: int = LOOK_BACK_DAYS) -> DataFrame:
     """First copy of each message id inside the look-back; older messages are late.
 
-    The state holds one id per message of the look-back and nothing of the body.
+    The state holds one id per message of the look-back and nothing of the body. A message
+    without an id is told apart by its whole content.
     """
-    return messages.withWatermark("received_ts", f"{days} days").dropDuplicatesWithinWatermark(["id"])
+    content = F.sha2(F.to_json(F.struct(*messages.columns)), 256)
+    keyed = messages.withColumn("_key", F.coalesce(F.col("id"), content))
+    late = keyed.withWatermark("received_ts", f"{days} days")
+    return late.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
 def append_stream(
@@ -92,6 +96,4 @@ def drain(query: StreamingQuery) -> None:
 
 def late_corrections(messages: DataFrame, target: DataFrame, days: int = LOOK_BACK_DAYS) -> DataFrame:
     """Batch twin of the watermark: messages behind the look-back are ignored."""
-    from mailtally.operators.gates import after_watermark
-
-    return after_watermark(messages, target, days).filter(F.col("id").isNotNull())
+    return after_watermark(messages, target, days)
