@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from mailtally.operators import gates
@@ -18,7 +18,7 @@ from mailtally.schemas import PAYLOAD_WITH_ATTACHMENTS
 from mailtally.session import scratch_path
 from mailtally.sources import attachments as att
 from mailtally.sources import catalog, messages as msg
-from mailtally.sources.rules import load_rules, select_rules
+from mailtally.sources.rules import load_rules, rules_frame, select_rules
 
 RECORD = [c.strip() for c in RECORD_COLUMNS.split(",")]
 
@@ -93,7 +93,7 @@ def _with_attachments(documents: DataFrame) -> DataFrame:
     """One message per document; the text comes as two attachments, or none for some."""
     key = F.col("doc_id")
 
-    def one(i: int, content) -> F.Column:
+    def one(i: int, content: Column) -> Column:
         return F.struct(
             F.concat(F.lit("a-"), key.cast("string"), F.lit(f"-{i}")).alias("id"),
             F.concat(F.col("source"), F.lit(f"-{i}.txt")).alias("name"),
@@ -253,6 +253,30 @@ def f_matched_rules(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("id", "rule_name", F.col("rule_order").cast("long").alias("rule_order"))
 
 
+@query(
+    f"""
+WITH {KV}, r(rule_order, name, strategy, merge_keys) AS (VALUES
+  (0, 'Decoy', 'key_value_table', 'customer_code,payment_due_label'), (1, 'Aoba', 'key_value_table', 'customer_code,payment_due_label'),
+  (2, 'Birch', 'key_value_table', 'customer_code'), (3, 'Cedar', 'key_value_table', 'customer_code,payment_due_label'),
+  (4, 'Dahlia', 'key_value_table', 'customer_code,payment_due_label'), (5, 'Elm', 'key_value_table', 'customer_code,payment_due_label'))
+SELECT CAST(rule_order AS INTEGER) AS rule_order, name, strategy, merge_keys,
+       (SELECT count(*) FROM kv WHERE is_notice AND (name = 'Decoy' OR rule = name)) AS messages FROM r
+"""
+)
+def s_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The loaded rules with the number of messages each one matches."""
+    rules = kv_rules()
+    counts = matched_rules(kv(spark, sf), rules).groupBy(F.col("rule_name").alias("name")).agg(
+        F.count(F.lit(1)).alias("messages")
+    )
+    table = rules_frame(spark, rules).select(
+        "rule_order", "name", "strategy", F.array_join("merge_keys", ",").alias("merge_keys")
+    )
+    return table.join(counts, "name", "left").select(
+        "rule_order", "name", "strategy", "merge_keys", F.coalesce("messages", F.lit(0)).alias("messages")
+    )
+
+
 @query(f"WITH {RECORDS} SELECT {RECORD_COLUMNS} FROM rec WHERE customer_name = 'Birch'")
 def f_customer(spark: SparkSession, sf: str) -> DataFrame:
     return route_all(kv(spark, sf), select_rules(kv_rules(), "Birch")).select(*RECORD)

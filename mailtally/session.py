@@ -16,6 +16,10 @@ DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Ids of a whole look-back belong on disk and not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Recording the Python call site of every Column costs more than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -11,15 +11,20 @@ from mailtally.operators.latest import first_n_per_key
 from mailtally.schemas import PAYLOAD
 
 
-def read_messages(spark: SparkSession, path: str, schema: T.StructType = PAYLOAD) -> DataFrame:
-    """Landed payloads, one JSON object per line, with a fixed projection."""
-    return spark.read.schema(schema).json(path)
+def read_messages(
+    spark: SparkSession, path: str, schema: T.StructType = PAYLOAD, multiline: bool = False
+) -> DataFrame:
+    """Landed payloads with a fixed projection: one JSON object per line, which splits, or
+    per file."""
+    return spark.read.schema(schema).json(path, multiLine=multiline)
 
 
-def read_wrapped(spark: SparkSession, path: str, schema: T.StructType = PAYLOAD) -> DataFrame:
+def read_wrapped(
+    spark: SparkSession, path: str, schema: T.StructType = PAYLOAD, multiline: bool = False
+) -> DataFrame:
     """Landed service responses ``{"value": [payload, ...]}``."""
     wrapper = T.StructType([T.StructField("value", T.ArrayType(schema))])
-    return spark.read.schema(wrapper).json(path).select(F.inline("value"))
+    return spark.read.schema(wrapper).json(path, multiLine=multiline).select(F.inline("value"))
 
 
 def stream_messages(

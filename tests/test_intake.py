@@ -4,13 +4,14 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mailtally.functions.text import DEFAULT_CODE_REGEX
 from mailtally.operators import gates, routing, strategies, templates
 from mailtally.plans import fixtures as fx
 from mailtally.plans.intake import table_intake
 from mailtally.schemas import MESSAGE
-from mailtally.sources import messages as msg
+from mailtally.sources import attachments, messages as msg
 from mailtally.sources.rules import load_rules, rules_frame, select_rules
 
 
@@ -22,10 +23,8 @@ def mails(spark, *rows):
         }
         for i, row in enumerate(rows)
     ]
-    text = spark.createDataFrame(
-        [tuple(r.get(f.name) for f in MESSAGE.fields[:-1]) for r in filled], MESSAGE.fields and
-        __import__("pyspark").sql.types.StructType(MESSAGE.fields[:-1])
-    )
+    schema = StructType(MESSAGE.fields[:-1])
+    text = spark.createDataFrame([tuple(r.get(f) for f in schema.names) for r in filled], schema)
     return text.withColumn("received_ts", F.to_timestamp("received_at"))
 
 
@@ -229,8 +228,9 @@ def test_payloads_and_wrapper(spark, tmp_path):
         "receivedDateTime": "2025-03-04T05:06:07Z", "body": {"content": "<p>See below</p>"},
         "hasAttachments": False, "isRead": True, "conversationId": "thread-9",
     }
-    (tmp_path / "a.json").write_text(json.dumps({"value": [payload, {"id": "bare"}]}))
-    rows = {r.id: r for r in msg.standardize(msg.read_wrapped(spark, str(tmp_path))).collect()}
+    (tmp_path / "a.json").write_text(json.dumps({"value": [payload, {"id": "bare"}]}, indent=1))
+    raw = msg.read_wrapped(spark, str(tmp_path), multiline=True)
+    rows = {r.id: r for r in msg.standardize(raw).collect()}
     full, bare = rows["p-77"], rows["bare"]
     assert (full.email_sender, full.html_body, full.is_read) == ("ar@client.example", "<p>See below</p>", True)
     assert (bare.subject, bare.email_sender, bare.html_body, bare.has_attachments) == ("", "", "", False)
@@ -295,3 +295,51 @@ def test_gates_on_an_empty_target(spark):
     empty = df.filter("false").select(F.col("id").alias("email_unique_id"), "received_ts")
     assert gates.after_watermark(df, empty).count() == 1
     assert gates.unprocessed(df, empty).count() == 1
+
+
+def test_landed_attachment_files(spark, tmp_path):
+    schema = "store string, qty int"
+    (tmp_path / "a.csv").write_text("store,qty\nx,1\ny,2\n")
+    (tmp_path / "b.bin").write_bytes(b"\x00\x01")
+    read = attachments.read_csv(spark, str(tmp_path / "a.csv"), StructType.fromDDL(schema))
+    assert sorted(tuple(r) for r in read.collect()) == [("x", 1), ("y", 2)]
+    files = attachments.attachment_files(spark, str(tmp_path), "*.bin")
+    assert one(files).length == 2
+
+
+def test_mixed_rules_read_each_body_once(spark, plan):
+    conf = {
+        "Table": {
+            "match": {"subject_regex": "t"}, "strategy": "zip_headers_to_row",
+            "amount_source": {"table_index": 0, "target_regex": "支払額"},
+        },
+        "Text": {"subject_regex": "x"},
+        "Bare": {"subject_regex": "b", "strategy": "zip_rows_in_same_table"},
+    }
+    rules = load_rules({"customers": conf})
+    df = mails(
+        spark,
+        {"subject": "t", "html_body": table(["項目", "A1"], ["支払額", "¥1"])},
+        {"subject": "x", "html_body": "<p>Customer ID: ABC</p><p>Total Due: $2,000</p>"},
+        {"subject": "b", "html_body": table(["コード", "B2"], ["支払額", "¥3"])},
+        {"subject": "t", "html_body": ""},
+    )
+    routed = routing.route_first(df, rules)
+    assert sorted((r.customer_code, r.payment_amount) for r in routed.collect()) == [
+        ("A1", 1.0), ("ABC", 2000.0), ("B2", 3.0),
+    ]
+    assert plan(routed).count("html_body(") == 1
+
+
+def test_messages_without_an_id_are_kept(spark):
+    df = mails(
+        spark,
+        {"id": None, "subject": "x", "html_body": "<p>Customer ID: ABC</p><p>Total Due: $2,000</p>"},
+        {"id": None, "subject": "x", "html_body": "<p>Customer ID: DEF</p><p>Total Due: $3,000</p>"},
+        {"id": "m", "subject": "x", "html_body": "<p>Customer ID: GHI</p><p>Total Due: $4,000</p>"},
+        {"id": "m", "subject": "x", "html_body": "<p>Customer ID: GHI</p><p>Total Due: $4,000</p>"},
+    )
+    rules = load_rules({"customers": {"X": {"subject_regex": "x"}}})
+    kept = routing.newest_extract(routing.extract_first(df, rules))
+    codes = sorted(r.customer_code for r in routing.explode_records(kept).collect())
+    assert codes == ["ABC", "DEF", "GHI"]
