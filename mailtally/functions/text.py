@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
@@ -33,6 +34,8 @@ _SIGNED_SYMBOL_AMOUNT = (
 # A whole amount with its signs, symbols and unit, for labels without amounts.
 _AMOUNT_TOKEN = r"[$€£¥￥₹₩△▲\-(]*\s*[\d,]{3,}(?:\.\d+)?\s*[円)]?|\b\d+(?:\.\d+)?\s*円"
 
+Hit = Callable[[str, str], str]
+
 _FULL_WIDTH = "０１２３４５６７８９，．（）－：　"
 _ASCII_WIDTH = "0123456789,.()-: "
 
@@ -64,25 +67,34 @@ def normalize_width(values: pa.Array) -> pa.Array:
     )
 
 
-def prefix_sql(code: str, prefix: str | None) -> str:
-    """Put ``prefix`` before a code that does not have it yet."""
-    if not prefix:
-        return code
-    p = quote(prefix)
-    return f"IF({code} = '' OR startswith({code}, {p}), {code}, concat({p}, {code}))"
+def prefix_sql(code: str, prefix: str) -> str:
+    """Put a prefix (SQL) before a code that does not have it yet."""
+    return f"IF({code} = '' OR startswith({code}, {prefix}), {code}, concat({prefix}, {code}))"
 
 
 def prefix_code(code: Column | str, prefix: str | None) -> Column:
-    return over(code, lambda x: prefix_sql(x, prefix))
+    return over(code, lambda x: prefix_sql(x, quote(prefix or "")))
+
+
+def rlike(value: str, pattern: str) -> str:
+    """Search for a literal pattern, compiled once per task."""
+    return f"{value} RLIKE {pattern}"
+
 
+def near_code_pattern(pattern: str) -> str:
+    """Java pattern of a label followed by a code."""
+    return java_pattern(rf"(?:{pattern})\s*[:：\s]*({CODE_TOKEN})")
 
-def code_sql(text: str, lines: str, pattern: str) -> str:
-    """Code after a label anywhere in the text, else the whole line below a label line."""
-    near = _folded(rf"(?:{pattern})\s*[:：\s]*({CODE_TOKEN})")
+
+def code_sql(text: str, lines: str, near: str, label: str, hit: Hit = rlike) -> str:
+    """Code after a label anywhere in the text, else the whole line below a label line.
+
+    ``near`` and ``label`` are SQL of Java patterns, ``hit`` is the SQL of a search.
+    """
     direct = keep_if(f"regexp_extract({text}, {near}, 1)", lambda c: f"{c} <> ''")
     line, i = variable("line"), variable("i")
     below = (
-        f"transform({lines}, ({line}, {i}) -> CASE WHEN {line} RLIKE {_folded(pattern)} "
+        f"transform({lines}, ({line}, {i}) -> CASE WHEN {hit(line, label)} "
         f"AND get({lines}, {i} + 1) RLIKE {_exact(f'^{CODE_TOKEN}$')} THEN get({lines}, {i} + 1) END)"
     )
     return f"coalesce({direct}, get({present(below)}, 0))"
@@ -90,10 +102,11 @@ def code_sql(text: str, lines: str, pattern: str) -> str:
 
 def extract_code(text: str, lines: str, pattern: str = DEFAULT_CODE_REGEX) -> Column:
     """Code near a label; ``text`` and ``lines`` are column names."""
-    return F.expr(code_sql(text, lines, pattern))
+    near = quote(near_code_pattern(pattern))
+    return F.expr(code_sql(text, lines, near, _folded(pattern)))
 
 
-def amount_sql(lines: str, pattern: str, strict_sign: bool = False) -> str:
+def amount_sql(lines: str, label: str, strict_sign: bool = False, hit: Hit = rlike) -> str:
     """``struct<amount, label>`` of the labelled amount, or null.
 
     Label lines are tried in order: number on the line, number after a colon, then a
@@ -104,7 +117,7 @@ def amount_sql(lines: str, pattern: str, strict_sign: bool = False) -> str:
     symbol = _exact(_SIGNED_SYMBOL_AMOUNT if strict_sign else SYMBOL_AMOUNT)
     line, i = variable("line"), variable("i")
     candidates = (
-        f"transform({lines}, ({line}, {i}) -> CASE WHEN {line} RLIKE {_folded(pattern)} "
+        f"transform({lines}, ({line}, {i}) -> CASE WHEN {hit(line, label)} "
         f"THEN named_struct('label', {line}, 'below', get({lines}, {i} + 1)) END)"
     )
 
@@ -136,7 +149,7 @@ def extract_amount(
     lines: str, pattern: str = DEFAULT_AMOUNT_REGEX, strict_sign: bool = False
 ) -> Column:
     """Amount near a label as ``struct<amount, label>``; ``lines`` is a column name."""
-    return F.expr(amount_sql(lines, pattern, strict_sign))
+    return F.expr(amount_sql(lines, _folded(pattern), strict_sign))
 
 
 def short_label_sql(label: str) -> str:

@@ -6,12 +6,9 @@ subject filter runs first, so that bodies of messages without a rule are never p
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailtally.functions.bind import inline_rows, non_empty
+from mailtally.functions.bind import inline_rows, non_empty, only, present, quote
 from mailtally.functions.html import (
     TABLES as TABLES_TYPE,
 )
@@ -19,15 +16,26 @@ from mailtally.functions.html import drop_spacer_tables, html_body, html_tables,
 from mailtally.functions.regex import java_pattern
 from mailtally.functions.text import lines_of
 from mailtally.operators.latest import newest_copy
-from mailtally.operators.strategies import EXTRACTS, Body, apply_strategy, reads
+from mailtally.operators.strategies import (
+    EXTRACTS,
+    Body,
+    apply_strategy,
+    is_built_in,
+    many_rules,
+    reads,
+)
 from mailtally.sources.rules import Rule
 
 
-def rule_matches(rule: Rule, subject: Column, sender: Column) -> Column:
+# Beyond this many rules the extraction is written once and reads the rule from a struct.
+FEW_RULES = 24
+
+
+def match_sql(rule: Rule, subject: str = "subject", sender: str = "email_sender") -> str:
     """Subject search, plus the sender if the rule names one."""
-    hit = subject.rlike(java_pattern(rule.subject_regex))
+    hit = f"{subject} RLIKE {quote(java_pattern(rule.subject_regex))}"
     if rule.sender_email is not None:
-        hit = hit & sender.eqNullSafe(F.lit(rule.sender_email))
+        hit = f"({hit} AND {sender} <=> {quote(rule.sender_email)})"
     return hit
 
 
@@ -35,24 +43,16 @@ def matching(messages: DataFrame, rules: list[Rule]) -> DataFrame:
     """Messages that at least one rule matches."""
     if not rules:
         return messages.limit(0)
-    subject, sender = F.col("subject"), F.col("email_sender")
-    return messages.filter(reduce(or_, [rule_matches(r, subject, sender) for r in rules]))
+    return messages.filter(" OR ".join(map(match_sql, rules)))
 
 
 def matched_rules(messages: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per message and matching rule, without parsing: rule_order, rule_name."""
-    hits = F.filter(
-        F.array(
-            *[
-                F.when(
-                    rule_matches(r, F.col("subject"), F.col("email_sender")),
-                    F.struct(F.lit(r.order).alias("rule_order"), F.lit(r.name).alias("rule_name")),
-                )
-                for r in rules
-            ]
-        ),
-        lambda hit: hit.isNotNull(),
+    structs = ", ".join(
+        f"CASE WHEN {match_sql(r)} THEN named_struct('rule_order', {r.order}, 'rule_name', {quote(r.name)}) END"
+        for r in rules
     )
+    hits = F.expr(present(f"array({structs})"))
     return inline_rows(messages, hits, "rule_name", "*")
 
 
@@ -75,15 +75,22 @@ def parse_bodies(messages: DataFrame, rules: list[Rule], drop_spacers: bool = Fa
 
 
 def _extracts(
-    messages: DataFrame, rules: list[Rule], drop_spacers: bool, strict_sign: bool, label_mode: str
-) -> tuple[DataFrame, list[Column]]:
+    messages: DataFrame, rules: list[Rule], first: bool, drop_spacers: bool, strict_sign: bool, label_mode: str
+) -> DataFrame:
+    """Slim rows of the matched messages with the records of the first or of every rule."""
+    if not rules:
+        raise ValueError("no rules")
     parsed = parse_bodies(matching(messages, rules), rules, drop_spacers)
     body = Body(strict_sign=strict_sign, label_mode=label_mode)
-    per_rule = [
-        F.when(rule_matches(r, F.col("subject"), F.col("email_sender")), apply_strategy(body, r))
-        for r in rules
-    ]
-    return parsed, per_rule
+    if len(rules) > FEW_RULES and all(map(is_built_in, rules)):
+        per_rule = many_rules(body, rules, list(map(match_sql, rules)))
+        records = f"get({only(per_rule, lambda x: f'size({x}) > 0')}, 0)" if first else f"flatten({per_rule})"
+        return _with_records(parsed, F.expr(records))
+    extracts = [F.when(F.expr(match_sql(r)), apply_strategy(body, r)) for r in rules]
+    if first:
+        return _with_records(parsed, F.coalesce(*map(non_empty, extracts)))
+    empty = F.array().cast(EXTRACTS)
+    return _with_records(parsed, F.concat(*[F.coalesce(e, empty) for e in extracts]))
 
 
 MESSAGE_COLUMNS = {
@@ -109,10 +116,7 @@ def extract_first(
 ) -> DataFrame:
     """One slim row per matched message: its columns without the body, and the array of
     records of the first rule, in file order, that matches and yields something."""
-    if not rules:
-        raise ValueError("no rules")
-    parsed, per_rule = _extracts(messages, rules, drop_spacers, strict_sign, label_mode)
-    return _with_records(parsed, F.coalesce(*[non_empty(e) for e in per_rule]))
+    return _extracts(messages, rules, True, drop_spacers, strict_sign, label_mode)
 
 
 def newest_extract(extracted: DataFrame) -> DataFrame:
@@ -148,9 +152,4 @@ def route_all(
     label_mode: str = "line",
 ) -> DataFrame:
     """Records of every matching rule."""
-    if not rules:
-        raise ValueError("no rules")
-    parsed, per_rule = _extracts(messages, rules, drop_spacers, strict_sign, label_mode)
-    empty = F.array().cast(EXTRACTS)
-    every = F.concat(*[F.coalesce(e, empty) for e in per_rule])
-    return explode_records(_with_records(parsed, every))
+    return explode_records(_extracts(messages, rules, False, drop_spacers, strict_sign, label_mode))

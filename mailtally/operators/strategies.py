@@ -1,26 +1,36 @@
 """Extraction strategies: a message and a rule to an array of records.
 
-A strategy is a function of Columns, so that routing can put every rule into one
-projection. It returns ``array<EXTRACT>``; an empty or null array means no success.
+A strategy gives a Column of ``array<EXTRACT>`` for one rule, so that routing can put every
+rule into one projection; an empty or null array means no success. The built-in ones are
+SQL text over the parts of a rule, which are literals, or fields of a rule struct when
+there are too many rules to write each one into the plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, functions as F
 
 from mailtally.functions.bind import each, last, let, only, present, quote, variable
 from mailtally.functions.money import yen_sql
-from mailtally.functions.regex import java_pattern
-from mailtally.functions.text import amount_sql, code_sql, prefix_sql, short_label_sql
+from mailtally.functions.regex import has_groups, java_pattern
+from mailtally.functions.text import (
+    Hit,
+    amount_sql,
+    code_sql,
+    near_code_pattern,
+    prefix_sql,
+    rlike,
+    short_label_sql,
+)
 from mailtally.schemas import EXTRACT
 from mailtally.sources.rules import Rule
 
 # --- fixed values: column headers that are not partner codes; currency of table mails ---
 NOT_A_CODE = ["合計", "-"]
-TABLE_CURRENCY = "JPY"
+TABLE_CURRENCY = "'JPY'"
 # --- end of fixed values ---
 
 EXTRACTS = f"array<{EXTRACT.simpleString()}>"
@@ -37,6 +47,63 @@ class Body:
     label_mode: str = "line"
 
 
+@dataclass(frozen=True)
+class RuleSql:
+    """The parts of a rule as SQL, and how to search with its patterns."""
+
+    name: str
+    near_code: str
+    code_label: str
+    code_cell: str
+    amount_label: str
+    amount_cell: str
+    code_table: str
+    amount_table: str
+    prefix: str
+    currency: str
+    default_label: str
+    hit: Hit = field(default=rlike, compare=False)
+
+
+def literals(rule: Rule) -> RuleSql:
+    """A rule as literals: patterns are compiled once per task."""
+    # A code pattern of a table rule may hold groups of its own, which the text search refuses.
+    near = "" if has_groups(rule.code_regex) else near_code_pattern(rule.code_regex)
+    return RuleSql(
+        name=quote(rule.name),
+        near_code=quote(near),
+        code_label=quote(java_pattern(rule.code_regex)),
+        code_cell=quote(java_pattern(rule.code_regex, ignore_case=False)),
+        amount_label=quote(java_pattern(rule.amount_regex)),
+        amount_cell=quote(java_pattern(rule.amount_regex, ignore_case=False)),
+        code_table=str(rule.code_table or 0),
+        amount_table=str(rule.amount_table or 0),
+        prefix=quote(rule.prefix_code),
+        currency=quote(rule.currency),
+        default_label=quote(rule.default_label),
+    )
+
+
+def _parts() -> list[str]:
+    return [f.name for f in fields(RuleSql) if f.name != "hit"]
+
+
+def rule_struct(rule: Rule) -> str:
+    """A rule as a constant struct, with the kind of extraction it needs."""
+    parts = literals(rule)
+    listed = ", ".join(f"'{p}', {getattr(parts, p)}" for p in _parts())
+    return f"named_struct('kind', {quote(_kind(rule))}, {listed})"
+
+
+def _search(value: str, pattern: str) -> str:
+    """Search with a pattern that is no literal; the last one compiled is remembered."""
+    return f"regexp_instr({value}, {pattern}) > 0"
+
+
+def from_struct(r: str) -> RuleSql:
+    return RuleSql(**{p: f"{r}.{p}" for p in _parts()}, hit=_search)
+
+
 Strategy = Callable[[Body, Rule], Column]
 TEXT, TABLES = frozenset({"text"}), frozenset({"tables"})
 _REGISTRY: dict[str, tuple[Strategy, frozenset[str]]] = {}
@@ -53,35 +120,41 @@ def register_strategy(
 
 
 def strategy_names() -> list[str]:
-    return list(_REGISTRY)
+    return [*_KINDS, *_REGISTRY]
+
+
+def is_built_in(rule: Rule) -> bool:
+    return _kind(rule) is not None
 
 
 def reads(rule: Rule) -> frozenset[str]:
     """Parsed columns that a rule needs."""
-    if rule.strategy == "vertical_key_value":
-        return TABLES if rule.names_tables else TEXT
-    return _strategy(rule)[1]
+    kind = _kind(rule)
+    return _BUILT_IN[kind][1] if kind else _registered(rule)[1]
 
 
-def _strategy(rule: Rule) -> tuple[Strategy, frozenset[str]]:
+def _registered(rule: Rule) -> tuple[Strategy, frozenset[str]]:
     if rule.strategy not in _REGISTRY:
         raise ValueError(f"rule {rule.name}: unknown strategy {rule.strategy!r}")
     return _REGISTRY[rule.strategy]
 
 
 def apply_strategy(body: Body, rule: Rule) -> Column:
-    return _strategy(rule)[0](body, rule).cast(EXTRACTS)
+    kind = _kind(rule)
+    if kind is None:
+        return _registered(rule)[0](body, rule).cast(EXTRACTS)
+    return F.expr(_BUILT_IN[kind][0](body, literals(rule))).cast(EXTRACTS)
 
 
-def _record(rule: Rule, code: str, amount: str, label: str, currency: str) -> str:
+def _record(rule: RuleSql, code: str, amount: str, label: str, currency: str) -> str:
     return (
-        f"named_struct('customer_name', {quote(rule.name)}, "
-        f"'customer_code', {prefix_sql(code, rule.prefix_code)}, 'payment_amount', {amount}, "
-        f"'payment_due_label', {label}, 'currency', {quote(currency)})"
+        f"named_struct('customer_name', {rule.name}, "
+        f"'customer_code', {prefix_sql(code, rule.prefix)}, 'payment_amount', {amount}, "
+        f"'payment_due_label', {label}, 'currency', {currency})"
     )
 
 
-def key_value(body: Body, rule: Rule) -> Column:
+def key_value(body: Body, rule: RuleSql) -> str:
     """One record from the labelled code and the labelled amount of the text.
 
     The amount is searched only when there is a code.
@@ -91,15 +164,15 @@ def key_value(body: Body, rule: Rule) -> Column:
         label = f"{due}.label"
         if body.label_mode == "normalized":
             label = short_label_sql(label)
-        label = let(label, lambda x: f"IF({x} <> '', {x}, {quote(rule.default_label)})")
+        label = let(label, lambda x: f"IF({x} <> '', {x}, {rule.default_label})")
         return _record(rule, code, f"{due}.amount", label, rule.currency)
 
     def with_code(code: str) -> str:
-        due = amount_sql(body.lines, rule.amount_regex, body.strict_sign)
+        due = amount_sql(body.lines, rule.amount_label, body.strict_sign, rule.hit)
         return each(present(f"array({due})"), lambda d: record(code, d))
 
-    code = code_sql(body.text, body.lines, rule.code_regex)
-    return F.expr(_when_present(code, with_code))
+    code = code_sql(body.text, body.lines, rule.near_code, rule.code_label, rule.hit)
+    return _when_present(code, with_code)
 
 
 def _when_present(value: str, then: Callable[[str], str]) -> str:
@@ -109,23 +182,18 @@ def _when_present(value: str, then: Callable[[str], str]) -> str:
 # --- table strategies ---------------------------------------------------------------------
 
 
-def _filled_rows(body: Body, table: int | None) -> str:
+def _filled_rows(body: Body, table: str) -> str:
     """Rows of a table with the blank cells left out."""
-    rows = only(body.tables, lambda r: f"{r}.table_index = {table or 0}")
+    rows = only(body.tables, lambda r: f"{r}.table_index = {table}")
     return each(rows, lambda r: only(f"{r}.cells", lambda c: f"{c} <> ''"))
 
 
-def _cell_matches(pattern: str) -> Callable[[str], str]:
-    regex = quote(java_pattern(pattern, ignore_case=False))
-    return lambda c: f"{c} RLIKE {regex}"
-
-
-def _matched(rows: str, pattern: str) -> str:
+def _matched(rule: RuleSql, rows: str, pattern: str) -> str:
     """Rows with a matching cell: the first match, and the cells after it."""
-    hits = _cell_matches(pattern)
 
     def at(cells: str) -> str:
-        place = f"CAST(array_position({each(cells, hits)}, true) AS INT)"
+        hits = each(cells, lambda c: rule.hit(c, pattern))
+        place = f"CAST(array_position({hits}, true) AS INT)"
         return f"named_struct('hit', {place}, 'cells', {cells})"
 
     def after(x: str) -> str:
@@ -137,7 +205,7 @@ def _matched(rows: str, pattern: str) -> str:
     return each(only(each(rows, at), lambda x: f"{x}.hit > 0"), after)
 
 
-def _zip(rule: Rule, codes: str, amounts: str, label: str) -> str:
+def _zip(rule: RuleSql, codes: str, amounts: str, label: str) -> str:
     """Pair codes with amount cells up to the shorter list; drop totals and bad amounts."""
     code, cell = variable("code"), variable("cell")
     pairs = (
@@ -149,17 +217,15 @@ def _zip(rule: Rule, codes: str, amounts: str, label: str) -> str:
     return each(kept, lambda p: _record(rule, f"{p}.code", f"{p}.amount", label, TABLE_CURRENCY))
 
 
-def vertical(body: Body, rule: Rule) -> Column:
+def vertical(body: Body, rule: RuleSql) -> str:
     """Label cell, value cell: the last matching row wins for the code and for the amount."""
-    hits = _cell_matches(rule.code_regex)
-
     def code_in(cells: str) -> str:
         c, i = variable("c"), variable("i")
-        after = f"transform({cells}, ({c}, {i}) -> CASE WHEN {hits(c)} THEN get({cells}, {i} + 1) END)"
+        after = f"transform({cells}, ({c}, {i}) -> CASE WHEN {rule.hit(c, rule.code_cell)} THEN get({cells}, {i} + 1) END)"
         return f"get({present(after)}, 0)"
 
     def with_code(code: str) -> str:
-        due = _matched(_filled_rows(body, rule.amount_table), rule.amount_regex)
+        due = _matched(rule, _filled_rows(body, rule.amount_table), rule.amount_cell)
         return let(due, lambda d: labelled(code, d))
 
     def labelled(code: str, due: str) -> str:
@@ -168,14 +234,14 @@ def vertical(body: Body, rule: Rule) -> Column:
         return each(amounts, lambda a: _record(rule, code, a, f"{last(due)}.label", TABLE_CURRENCY))
 
     codes = present(each(_filled_rows(body, rule.code_table), code_in))
-    return F.expr(_when_present(last(codes), with_code))
+    return _when_present(last(codes), with_code)
 
 
-def zip_headers(body: Body, rule: Rule) -> Column:
+def zip_headers(body: Body, rule: RuleSql) -> str:
     """Codes in the header row, amounts in the first row with the label."""
 
     def from_rows(rows: str) -> str:
-        first = f"get({_matched(rows, rule.amount_regex)}, 0)"
+        first = f"get({_matched(rule, rows, rule.amount_cell)}, 0)"
         return _when_present(first, lambda due: let(f"get({rows}, 0)", lambda h: from_due(h, due)))
 
     def from_due(headers: str, due: str) -> str:
@@ -183,44 +249,80 @@ def zip_headers(body: Body, rule: Rule) -> Column:
         codes = f"IF({longer}, slice({headers}, 2, size({headers})), {headers})"
         return _zip(rule, codes, f"{due}.rest", f"{due}.label")
 
-    return F.expr(let(_filled_rows(body, rule.amount_table), from_rows))
+    return let(_filled_rows(body, rule.amount_table), from_rows)
 
 
-def zip_rows(body: Body, rule: Rule) -> Column:
+def zip_rows(body: Body, rule: RuleSql) -> str:
     """A row of codes and a row of amounts in one table; the last of each counts."""
-    hits = _cell_matches(rule.code_regex)
-
     def from_rows(rows: str) -> str:
         c = variable("c")
-        others = only(rows, lambda cells: f"NOT exists({cells}, {c} -> {hits(c)})")
+        is_code = rule.hit(c, rule.code_cell)
+        others = only(rows, lambda cells: f"NOT exists({cells}, {c} -> {is_code})")
         return _pair_rows(
-            rule, _matched(rows, rule.code_regex), _matched(others, rule.amount_regex)
+            rule, _matched(rule, rows, rule.code_cell), _matched(rule, others, rule.amount_cell)
         )
 
-    return F.expr(let(_filled_rows(body, rule.amount_table), from_rows))
+    return let(_filled_rows(body, rule.amount_table), from_rows)
 
 
-def zip_columns(body: Body, rule: Rule) -> Column:
+def zip_columns(body: Body, rule: RuleSql) -> str:
     """A row of codes in one table, a row of amounts in another."""
-    code_rows = _matched(_filled_rows(body, rule.code_table), rule.code_regex)
-    due_rows = _matched(_filled_rows(body, rule.amount_table), rule.amount_regex)
-    return F.expr(_pair_rows(rule, code_rows, due_rows))
+    code_rows = _matched(rule, _filled_rows(body, rule.code_table), rule.code_cell)
+    due_rows = _matched(rule, _filled_rows(body, rule.amount_table), rule.amount_cell)
+    return _pair_rows(rule, code_rows, due_rows)
 
 
-def _pair_rows(rule: Rule, code_rows: str, due_rows: str) -> str:
+def _pair_rows(rule: RuleSql, code_rows: str, due_rows: str) -> str:
     def from_codes(codes: str) -> str:
         return let(last(due_rows), lambda due: _zip(rule, codes, f"{due}.rest", f"{due}.label"))
 
     return _when_present(f"{last(code_rows)}.rest", from_codes)
 
 
-def _vertical_or_text(body: Body, rule: Rule) -> Column:
-    """``vertical_key_value`` reads tables if the rule names table sources, else the text."""
-    return vertical(body, rule) if rule.names_tables else key_value(body, rule)
+_BUILT_IN: dict[str, tuple[Callable[[Body, RuleSql], str], frozenset[str]]] = {
+    "key_value": (key_value, TEXT),
+    "vertical": (vertical, TABLES),
+    "zip_headers": (zip_headers, TABLES),
+    "zip_rows": (zip_rows, TABLES),
+    "zip_columns": (zip_columns, TABLES),
+}
+# --- fixed values: strategy names of rule files ---
+_KINDS = {
+    "key_value_table": "key_value",
+    "vertical_key_value": "vertical",
+    "zip_headers_to_row": "zip_headers",
+    "zip_rows_in_same_table": "zip_rows",
+    "zip_columns_across_tables": "zip_columns",
+}
+# --- end of fixed values ---
+
+
+def _kind(rule: Rule) -> str | None:
+    """Built-in extraction of a rule; null for a registered one."""
+    if rule.strategy in _REGISTRY:
+        return None
+    # The vertical name reads tables if the rule says which, else the text.
+    if rule.strategy == "vertical_key_value" and not rule.names_tables:
+        return "key_value"
+    return _KINDS.get(rule.strategy)
+
 
+def many_rules(body: Body, rules: list[Rule], matches: list[str]) -> str:
+    """SQL of one array of records per matching rule, in rule order, for long rule lists.
+
+    ``matches`` are the rules' match conditions. The extraction is in the plan once per
+    kind, over the constant structs of the rules that match.
+    """
+    table = f"array({', '.join(rule_struct(r) for r in rules)})"
+    hits = ", ".join(f"CASE WHEN {m} THEN {i} END" for i, m in enumerate(matches))
+    matched = each(present(f"array({hits})"), lambda i: f"get({table}, {i})")
+
+    def extracted(r: str) -> str:
+        kinds = dict.fromkeys(_kind(rule) for rule in rules)
+        cases = " ".join(
+            f"WHEN {quote(k)} THEN CAST({_BUILT_IN[k][0](body, from_struct(r))} AS {EXTRACTS})"
+            for k in kinds
+        )
+        return f"CASE {r}.kind {cases} END"
 
-register_strategy("key_value_table", key_value, TEXT)
-register_strategy("vertical_key_value", _vertical_or_text)
-register_strategy("zip_headers_to_row", zip_headers, TABLES)
-register_strategy("zip_rows_in_same_table", zip_rows, TABLES)
-register_strategy("zip_columns_across_tables", zip_columns, TABLES)
+    return present(each(matched, extracted))

@@ -1,6 +1,7 @@
 """Rules, routing, strategies, templates and attachments on small hand-made messages."""
 
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -343,3 +344,23 @@ def test_messages_without_an_id_are_kept(spark):
     kept = routing.newest_extract(routing.extract_first(df, rules))
     codes = sorted(r.customer_code for r in routing.explode_records(kept).collect())
     assert codes == ["ABC", "DEF", "GHI"]
+
+
+@pytest.mark.parametrize("kind", ["kv", "tables"])
+def test_long_rule_lists_give_the_same_records(spark, sf, monkeypatch, kind):
+    orders = fx.table(spark, sf, "orders")
+    build, conf = (fx.emails_kv, fx.KV_RULES) if kind == "kv" else (fx.emails_tables, fx.TABLE_RULES)
+    df, rules = build(orders), load_rules(conf)
+    first, every = routing.route_first(df, rules, True), routing.route_all(df, rules, True)
+    expected = Counter(first.collect()), Counter(every.collect())
+    monkeypatch.setattr(routing, "FEW_RULES", 1)
+    assert Counter(routing.route_first(df, rules, True).collect()) == expected[0]
+    assert Counter(routing.route_all(df, rules, True).collect()) == expected[1]
+
+
+def test_three_hundred_rules(spark, sf):
+    others = {f"P{i}": {"subject_regex": f"^partner {i} "} for i in range(300)}
+    rules = load_rules({"customers": {**others, **fx.KV_RULES["customers"]}})
+    df = fx.emails_kv(fx.table(spark, sf, "orders"))
+    few = routing.route_first(df, load_rules(fx.KV_RULES))
+    assert Counter(routing.route_first(df, rules).collect()) == Counter(few.collect())
