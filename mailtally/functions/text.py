@@ -69,6 +69,8 @@ def normalize_width(values: pa.Array) -> pa.Array:
 
 def prefix_sql(code: str, prefix: str) -> str:
     """Put a prefix (SQL) before a code that does not have it yet."""
+    if prefix == "''":
+        return code
     return f"IF({code} = '' OR startswith({code}, {prefix}), {code}, concat({prefix}, {code}))"
 
 
