@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtally.llm import mixing, quality, toxicity
+from mailtally.llm import embedding_dedup, licenses, mixing, quality, simhash, toxicity
 from mailtally.llm.common import held_out, table
 
 
@@ -21,6 +21,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, lambda text: quality.quality_score(model, text), 0.3)
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -31,5 +35,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, lambda text: toxicity.toxicity_score(model, text), 0.5)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality, op5_mixing, op6_toxicity)}
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_quality, op3_embedding_dedup, op5_mixing, op6_toxicity, op7_licenses, op8_simhash)}
 ORACLES: dict[str, str] = {}
