@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtally.llm import embedding_dedup, licenses, mixing, quality, simhash, toxicity
+from mailtally.llm import embedding_dedup, licenses, lz_fingerprint, mixing, packing, quality, simhash, toxicity
 from mailtally.llm.common import held_out, table
 
 
+def word_tokenizer() -> str:
+    """Path of the word-level vocabulary, installed beside the libraries on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _scored(docs: DataFrame, score, cut: float) -> DataFrame:
     return docs.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text")).alias("score")
@@ -25,6 +32,10 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -45,5 +56,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality, op3_embedding_dedup, op5_mixing, op6_toxicity, op7_licenses, op8_simhash)}
+def op9_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.fingerprint(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_quality, op3_embedding_dedup, op4_packing, op5_mixing, op6_toxicity, op7_licenses, op8_simhash, op9_lz_fingerprint)}
 ORACLES: dict[str, str] = {}
