@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtally.llm import embedding_dedup, licenses, lz_fingerprint, mixing, packing, quality, simhash, toxicity
+from mailtally.llm import (
+    embedding_dedup,
+    licenses,
+    lz_fingerprint,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 from mailtally.llm.common import held_out, table
 
 
@@ -22,6 +33,16 @@ def _scored(docs: DataFrame, score, cut: float) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("begins").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -60,5 +81,25 @@ def op9_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lz_fingerprint.fingerprint(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality, op3_embedding_dedup, op4_packing, op5_mixing, op6_toxicity, op7_licenses, op8_simhash, op9_lz_fingerprint)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_dedup,
+        op2_quality,
+        op3_embedding_dedup,
+        op4_packing,
+        op5_mixing,
+        op6_toxicity,
+        op7_licenses,
+        op8_simhash,
+        op9_lz_fingerprint,
+        op10_substring_dedup,
+    )
+}
 ORACLES: dict[str, str] = {}
