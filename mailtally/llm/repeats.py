@@ -245,7 +245,7 @@ class Repeats:
         return run
 
     def cut(self, finish: Callable, names: list[str]):
-        """``finish(tokens, covered)`` gives the columns ``names`` of a chunk's documents."""
+        """``finish(tokens, covered)`` gives a chunk's columns; ``names`` orders them."""
 
         def run(docs: pd.DataFrame, settled: pd.DataFrame) -> pd.DataFrame:
             _, keys, first, span = join_blobs(settled["blob"], SPANS)
@@ -262,10 +262,9 @@ class Repeats:
                 ends = begin + span[at] + self.length
                 depth = depth - np.bincount(ends, minlength=len(depth))
                 covered = np.cumsum(depth)[: len(tokens.hash)] > 0
-                out.append(
-                    pd.DataFrame(finish(tokens, covered)).assign(doc_id=part["doc_id"].to_numpy())
-                )
-            return pd.concat(out)[["doc_id", *names]] if out else pd.DataFrame(columns=["doc_id", *names])
+                kept = part.drop(columns=["text", "key", "shard"]).reset_index(drop=True)
+                out.append(pd.concat([kept, pd.DataFrame(finish(tokens, covered))], axis=1))
+            return pd.concat(out)[names] if out else pd.DataFrame(columns=names)
 
         return run
 
@@ -292,10 +291,17 @@ class Repeats:
         )
         return np.array(sorted(r.seed for r in counted.collect()), np.int64).view("u8")
 
-    def remove(self, docs: DataFrame, finish: Callable, schema: dict[str, str]) -> DataFrame:
-        """One row per row of ``docs``: doc_id and the columns that ``finish`` gives."""
+    def remove(
+        self, docs: DataFrame, finish: Callable, schema: dict[str, str], carry: tuple[str, ...] = ()
+    ) -> DataFrame:
+        """One row per row of ``docs``: doc_id, the columns that ``finish`` gives, and the
+        string columns ``carry`` as they were."""
         text = F.coalesce("text", F.lit(""))
-        rows = docs.select("doc_id", text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+        carried = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]
+        every = docs.select("doc_id", text.alias("text"), *carried).withColumn(
+            "key", F.xxhash64("doc_id", "text")
+        )
+        rows = every.select("doc_id", "text", "key")
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shards = buckets = max(48, -(-size // SHARD))
         packed = "bucket int, kind string, shard int, blob binary"
@@ -311,7 +317,7 @@ class Repeats:
             + F.when(F.col("key") < 0, F.lit((1 << 64) % shards)).otherwise(F.lit(0)),
             F.lit(shards),
         )
-        dealt = rows.withColumn("shard", shard.cast("int"))
+        dealt = every.withColumn("shard", shard.cast("int"))
         by_shard = dealt.groupBy("shard")
         asked = found.where("kind = 'asked'").select("shard", "blob")
         answers = (
@@ -323,12 +329,14 @@ class Repeats:
         settled = found.where("kind = 'settled'").select("shard", "blob").union(
             answers.select("shard", "blob")
         )
-        result = ", ".join(f"{k} {v}" for k, v in {"doc_id": "long", **schema}.items())
-        again = rows.withColumn("shard", shard.cast("int"))
+        names = {"doc_id": "long", **schema, **{f"carried_{i}": "string" for i in range(len(carry))}}
+        result = ", ".join(f"{k} {v}" for k, v in names.items())
+        again = every.withColumn("shard", shard.cast("int"))
         return (
             again.groupBy("shard")
             .cogroup(settled.groupBy("shard"))
-            .applyInPandas(self.cut(finish, list(schema)), result)
+            .applyInPandas(self.cut(finish, list(names)), result)
+            .withColumnsRenamed({f"carried_{i}": c for i, c in enumerate(carry)})
         )
 
 

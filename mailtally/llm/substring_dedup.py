@@ -44,12 +44,15 @@ def _finish(own_space: bool):
     return finish
 
 
-def remove_repeats(docs: DataFrame, length: int = 20, own_space: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_removed, kept (the remaining words).
+def remove_repeats(
+    docs: DataFrame, length: int = 20, own_space: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, n_removed, kept (the remaining words),
+    and the string columns named in ``carry``.
 
     Words are joined by one space; with ``own_space`` by the white space they had, and by one
     space where words were removed.
     """
     schema = {"n_words": "long", "n_removed": "long", "kept": "string"}
     job = Repeats(word_tokens, length, min(SEED, length), within=True)
-    return job.remove(docs, _finish(own_space), schema)
+    return job.remove(docs, _finish(own_space), schema, carry)
