@@ -18,6 +18,7 @@ from mailtally.llm import (
     toxicity,
 )
 from mailtally.llm.common import held_out, table
+from mailtally.llm.oracles import ORACLES  # noqa: F401
 
 
 def word_tokenizer() -> str:
@@ -102,4 +103,3 @@ QUERIES = {
         op10_substring_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
