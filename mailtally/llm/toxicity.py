@@ -183,9 +183,9 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     per_class: int = 2000,
-    bits: int = 16,
+    bits: int = 17,
     width: int = 8,
-    span: int = 4,
+    span: int = 2,
     epochs: int = 100,
     seed: int = 7,
     decay: float = 1e-5,
