@@ -23,6 +23,7 @@ import os
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -46,9 +47,9 @@ def parts(text: str) -> list[str]:
     """
     if "\u03a3" not in text and "\u0130" not in text:
         text = text.lower()
-    if not SIGNS.search(text):
-        for sign in ",.":
-            text = text.replace(f"{sign} ", f" {sign} ").replace(f"{sign}\n", f" {sign} ")
+        if not SIGNS.search(text):
+            for sign in ",.":
+                text = text.replace(f"{sign} ", f" {sign} ").replace(f"{sign}\n", f" {sign} ")
     return text.replace("\n", " ").split(" ")
 
 
@@ -79,12 +80,18 @@ class Encoder:
         return [b"".join(map(get, words)) for words in split]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One per Python worker, so that its memo outlives a task."""
+    return Encoder(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): each document's full pieces and rest."""
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for pdf in batches:
             texts = pdf["text"].tolist()
             at, rows = 0, []
