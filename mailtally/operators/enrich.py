@@ -39,9 +39,19 @@ def weekly(
     return df.groupBy(*keys, week.alias(out)).agg(*[c.alias(n) for n, c in kpis.items()])
 
 
+def total_amount(col: str = "payment_amount", kind: str = "decimal(28,2)") -> Column:
+    """Exact sum of the amounts that fit the kind; the others are left out, not raised."""
+    return F.sum(F.col(col).try_cast(kind)).cast(kind)
+
+
+def unfit_amounts(col: str = "payment_amount", kind: str = "decimal(28,2)") -> Column:
+    """How many amounts are there that do not fit the kind."""
+    return F.count_if(F.col(col).isNotNull() & F.col(col).try_cast(kind).isNull())
+
+
 def intake_summary(records: DataFrame) -> DataFrame:
     """Records, messages and amounts per partner."""
     return records.groupBy("customer_name").agg(
         F.count(F.lit(1)).alias("records"),
-        F.sum(F.col("payment_amount").cast("decimal(18,2)")).cast("decimal(28,2)").alias("total_amount"),
+        total_amount().alias("total_amount"),
     )

@@ -13,6 +13,8 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from mailtally.operators.latest import OWN, number_null_keys
+
 # --- fixed value: how far the intake re-reads behind the newest stored message ---
 LOOK_BACK_DAYS = 7
 # --- end of fixed values ---
@@ -68,9 +70,12 @@ def watermark(target: DataFrame, days: int = LOOK_BACK_DAYS, col: str = "receive
 def after_watermark(
     messages: DataFrame, target: DataFrame, days: int = LOOK_BACK_DAYS, col: str = "received_ts"
 ) -> DataFrame:
-    """Messages inside the look-back; every message when nothing is stored yet."""
+    """Messages inside the look-back; every message when nothing is stored yet.
+
+    Messages without a time cannot be behind it and are kept.
+    """
     bound = watermark(target, days, col)
-    return messages.filter(bound.isNull() | (F.col(col) >= bound))
+    return messages.filter(bound.isNull() | (F.col(col) >= bound) | F.col(col).isNull())
 
 
 def unprocessed(
@@ -86,8 +91,31 @@ def unprocessed(
     side is restricted to the look-back first, so it does not grow with the table's age.
     """
     recent = processed if days is None else after_watermark(processed, processed, days, col)
-    ids = recent.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_done"))
-    return messages.join(ids, F.col("id") == F.col("_done"), "left_anti")
+    return without_ids(messages, recent.select(F.col(id_col).alias("_done")))
+
+
+def without_ids(messages: DataFrame, done: DataFrame) -> DataFrame:
+    """Messages whose id is not in the single column ``_done``; those without an id stay.
+
+    Messages without an id are numbered next to the key: they would all meet in one task.
+    """
+    ids = done.filter(F.col("_done").isNotNull()).withColumn("_none", F.lit(-1).cast("long"))
+    tagged = number_null_keys(messages, ["id"])
+    same = (F.col("id") == F.col("_done")) & (F.col(OWN) == F.col("_none"))
+    return tagged.join(ids, same, "left_anti").drop(OWN)
+
+
+# --- fixed values: audit statuses that need no second reading ---
+FINAL_STATUSES = ("SUCCESS", "NO_TABLE_FOUND", "SCHEMA_MISMATCH")
+# --- end of fixed values ---
+
+
+def unaudited(messages: DataFrame, log: DataFrame, bound: Column) -> DataFrame:
+    """Messages that the audit log has not settled; ``bound`` cuts the log to the look-back."""
+    received = F.try_to_timestamp(F.col("received_at"))
+    recent = log.filter(bound.isNull() | received.isNull() | (received >= bound))
+    settled = recent.filter(F.col("status").isin(*FINAL_STATUSES))
+    return without_ids(messages, settled.select(F.col("message_id").alias("_done")))
 
 
 # --- business-date guards -----------------------------------------------------------------

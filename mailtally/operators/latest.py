@@ -17,21 +17,10 @@ def first_n_per_key(
 ) -> DataFrame:
     """The first ``n`` rows of every key.
 
-    Catalyst cuts groups before the shuffle only up to its own limit on ``n``. Beyond it,
-    a first cut per key and salt does the same, so that a hot key is never sorted whole.
+    Catalyst cuts the groups of every task to ``n`` rows before the shuffle, for ``n`` up to
+    its setting ``spark.sql.optimizer.windowGroupLimitThreshold``. Raise that setting for a
+    larger ``n`` if keys are hot; the rows are the same without it.
     """
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > limit:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))
-        salted = df.withColumn("_salt", salt)
-        return _cut(_cut(salted, [*keys, "_salt"], order, n).drop("_salt"), keys, order, n)
-    return _cut(df, keys, order, n)
-
-
-_SALTS = 64
-
-
-def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 
@@ -42,9 +31,27 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def tie_break(df: DataFrame) -> Column:
-    """A hash of the row: equal sort keys then give the same winner on every retry."""
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.xxhash64(*hashable).desc()
+    """A hash of the row: equal sort keys then give the same winner on every retry.
+
+    Maps have no hash; columns that hold one anywhere are hashed by their sorted JSON text.
+    """
+    return F.xxhash64(*[comparable(df, f.name) for f in df.schema.fields]).desc()
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.MapType):
+        return True
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, T.StructType) and any(_holds_map(f.dataType) for f in kind.fields)
+
+
+def comparable(df: DataFrame, name: str) -> Column:
+    """A column that can be hashed and grouped, equal where the values are."""
+    kind, col = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.MapType) and not _holds_map(kind.valueType):
+        col, kind = F.sort_array(F.map_entries(col)), T.ArrayType(T.NullType())
+    return F.to_json(F.struct(col)) if _holds_map(kind) else col
 
 
 OWN = "_own"

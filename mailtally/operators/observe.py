@@ -97,7 +97,8 @@ def run_extremes(runs: DataFrame, n: int = 10) -> DataFrame:
     order = [F.col("period_start_time").desc(), F.col("run_id").desc()]
     slim = runs.select("job_id", "run_id", "period_start_time", "execution_duration")
     recent = first_n_per_key(slim, ["job_id"], order, n)
-    run = F.struct("execution_duration", "run_id")
+    # unfinished runs have no duration: they count as runs and are neither slow nor fast
+    run = F.when(F.col("execution_duration").isNotNull(), F.struct("execution_duration", "run_id"))
     return recent.groupBy("job_id").agg(
         F.count(F.lit(1)).alias("runs"),
         F.max(run)["run_id"].alias("slowest_run_id"),
@@ -163,8 +164,8 @@ def heavy_queries(history: DataFrame, k: int = 10, by: str = "duration") -> Data
 def producers(lineage: DataFrame, runs: DataFrame, table: str | None = None) -> DataFrame:
     """Jobs that wrote a table directly, with the state of the writing run.
 
-    For one table, or for every table. Runs are unique per (job, run), so a table with
-    most of the lineage rows does not multiply them.
+    For one table, or for every table. A run timeline has a row per slice of a long run;
+    only the last slice of each (job, run) is joined, so slices do not multiply the writes.
     """
     direct = lineage.filter(F.col("direct_access"))
     if table is not None:
@@ -177,10 +178,18 @@ def producers(lineage: DataFrame, runs: DataFrame, table: str | None = None) ->
         job.alias("producing_job_id"),
         run.alias("_run_id"),
     )
-    known = runs.select(
-        F.col("job_id").alias("_job"), F.col("run_id").alias("_run"),
-        "result_state", F.col("period_end_time").alias("last_run_completed_at"),
-    )
+    end = F.struct("period_end_time", "result_state")
+    last = F.max(F.struct(F.coalesce("period_end_time", "period_start_time"), end))
+    known = (
+        runs.groupBy(F.col("job_id").alias("_job"), F.col("run_id").alias("_run"))
+        .agg(last["col2"].alias("_last"))
+        .select(
+            "_job",
+            "_run",
+            F.col("_last.result_state").alias("result_state"),
+            F.col("_last.period_end_time").alias("last_run_completed_at"),
+        )
+    )
     same = (F.col("producing_job_id") == F.col("_job")) & (F.col("_run_id") == F.col("_run"))
     return writes.join(known, same, "left").select(
         "source_table_full_name", "target_table_full_name", "producing_job_id",
@@ -198,3 +207,18 @@ def lineage_of(lineage: DataFrame, name: str, path: str | None = None) -> DataFr
     if path is not None:
         hit = hit | named("source_path", path) | named("target_path", path)
     return lineage.filter(hit)
+
+
+# --- orders for display: global sorts, so only for results that people look at ---------------
+
+
+def stale_order(stale: DataFrame) -> DataFrame:
+    """Jobs that never ran first, then those that ran longest ago."""
+    return stale.orderBy(F.col("last_executed_at").asc_nulls_first(), "job_id")
+
+
+def lineage_order(lineage: DataFrame, time: str = "event_time") -> DataFrame:
+    """Newest lineage rows first."""
+    return lineage.orderBy(
+        F.col(time).desc(), "source_table_full_name", "target_table_full_name"
+    )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from mailtally.operators.latest import comparable
+
 # --- fixed value: relative error of the distinct counts ---
 DISTINCT_RSD = 0.01
 # --- end of fixed values ---
@@ -19,14 +21,15 @@ def _nulls(col: str) -> Column:
     return F.count_if(F.col(col).isNull())
 
 
-def approx_distinct(col: str) -> Column:
+def approx_distinct(col: str, hashed: Column | None = None) -> Column:
     """Approximate distinct count within DISTINCT_RSD, nulls left out.
 
     A sketch of the value's 64-bit hash: one binary buffer per column and any type. The
     built-in approximate count keeps its registers as 1,639 columns at this error, which
     makes the plan of a wide table slow to compile.
     """
-    value = F.when(F.col(col).isNotNull(), F.xxhash64(F.col(col)))
+    hashed = F.col(col) if hashed is None else hashed  # a form of the column that has a hash
+    value = F.when(F.col(col).isNotNull(), F.xxhash64(hashed))
     return F.hll_sketch_estimate(F.hll_sketch_agg(value, F.lit(_SKETCH_BITS)))
 
 
@@ -42,7 +45,7 @@ def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
     for i, c in enumerate(df.columns):
         aggs.append(_nulls(c).alias(f"nulls_{i}"))
         if distinct:
-            aggs.append(approx_distinct(c).alias(f"distinct_{i}"))
+            aggs.append(approx_distinct(c, comparable(df, c)).alias(f"distinct_{i}"))
         if c in numeric:
             aggs.append(F.skewness(c).alias(f"skew_{i}"))
     rows = []
@@ -77,16 +80,27 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def numeric_profile(df: DataFrame, cols: Sequence[str], kind: str = "decimal(18,2)") -> DataFrame:
-    """Per KPI column: min, max, avg, sum. Sums are exact decimals."""
+def numeric_profile(df: DataFrame, cols: Sequence[str], kind: str | None = None) -> DataFrame:
+    """Per KPI column: min, max, avg, sum.
+
+    Values are profiled as they are, or cast to ``kind``. Sums of whole numbers and decimals
+    are exact, with the largest scale among the columns (six digits next to floating ones).
+    """
+    typed = df.select(*[(F.col(c).cast(kind) if kind else F.col(c)).alias(c) for c in cols])
+    scales = [
+        6 if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else getattr(f.dataType, "scale", 0)
+        for f in typed.schema.fields
+    ]
+    total = f"decimal(38,{max(scales, default=0)})"
+    df = typed
     aggs = []
     for i, c in enumerate(cols):
-        value = F.col(c).cast(kind)
+        value = F.col(c)
         aggs += [
             F.min(value).cast("double").alias(f"min_{i}"),
             F.max(value).cast("double").alias(f"max_{i}"),
             F.avg(value).cast("double").alias(f"avg_{i}"),
-            F.sum(value).cast("decimal(38,2)").alias(f"sum_{i}"),
+            F.sum(value).cast(total).alias(f"sum_{i}"),
         ]
     return _unnest(
         df.agg(*aggs),

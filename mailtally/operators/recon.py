@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 # --- fixed values: status texts, the stand-in for division by zero, output padding ---
 MATCH, WITHIN, DISCREPANCY = "MATCH", "WITHIN_THRESHOLD", "DISCREPANCY"
@@ -15,7 +16,16 @@ NO_KEY = "NA"
 PASS_ABSOLUTE, WARNING_PERCENT = 0.01, 1.0
 # --- end of fixed values ---
 
-VALUE = "decimal(28,4)"
+VALUE = "decimal(28,4)"  # a kind for callers that want a fixed one
+
+
+def value_kind(source: DataFrame, target: DataFrame, kpis: Sequence[str]) -> str:
+    """One kind that holds the KPIs of both sides without rounding: the finest decimal, or
+    double if a KPI is a floating-point number."""
+    kinds = [df.schema[k].dataType for df in (source, target) for k in kpis]
+    if any(isinstance(t, (T.FloatType, T.DoubleType, T.StringType)) for t in kinds):
+        return "double"
+    return f"decimal(38,{max((getattr(t, 'scale', 0) for t in kinds), default=0)})"
 
 
 def agg_at_grain(df: DataFrame, grain: Sequence[str], kpis: Mapping[str, Column]) -> DataFrame:
@@ -81,7 +91,7 @@ def _full_join(source: DataFrame, target: DataFrame, keys: Sequence[str], values
 def recon_join(source_kpis: DataFrame, target_kpis: DataFrame, grain: Sequence[str]) -> DataFrame:
     """Full join of unpivoted KPIs; a NULL grain value meets NULL, a missing side is 0."""
     joined = _full_join(source_kpis, target_kpis, [*grain, "kpis"], ["value"])
-    zero = F.lit(0).cast(VALUE)
+    zero = F.lit(0).cast(source_kpis.schema["value"].dataType)
     return joined.select(
         *grain,
         "kpis",
@@ -91,15 +101,19 @@ def recon_join(source_kpis: DataFrame, target_kpis: DataFrame, grain: Sequence[s
 
 
 def recon_wide(
-    source: DataFrame, target: DataFrame, grain: Sequence[str], kpis: Sequence[str]
-) -> DataFrame:
+    source: DataFrame, target: DataFrame, grain: Sequence[str], kpis: Sequence[str],
+    kind: str | None = None,
+) -> DataFrame:
     """The same rows as unpivoting both sides first, with a join that is KPI-times smaller.
 
     Both aggregates have one row per grain value, so they are joined wide and unpivoted
-    after the join: the shuffle carries each grain value once, not once per KPI.
+    after the join: the shuffle carries each grain value once, not once per KPI. Values are of
+    ``kind``, by default one that does not round them.
     """
-    wide = _full_join(_typed(source, grain, kpis), _typed(target, grain, kpis), grain, kpis)
-    zero = F.lit(0).cast(VALUE)
+    kind = kind or value_kind(source, target, kpis)
+    left, right = _typed(source, grain, kpis, kind), _typed(target, grain, kpis, kind)
+    wide = _full_join(left, right, grain, kpis)
+    zero = F.lit(0).cast(kind)
     rows = F.array(
         *[
             F.struct(
@@ -113,8 +127,8 @@ def recon_wide(
     return wide.select(*grain, F.inline(rows))
 
 
-def _typed(df: DataFrame, grain: Sequence[str], kpis: Sequence[str]) -> DataFrame:
-    return df.select(*grain, *[F.col(k).cast(VALUE).alias(k) for k in kpis])
+def _typed(df: DataFrame, grain: Sequence[str], kpis: Sequence[str], kind: str) -> DataFrame:
+    return df.select(*grain, *[F.col(k).cast(kind).alias(k) for k in kpis])
 
 
 # --- measures -----------------------------------------------------------------------------
@@ -178,6 +192,7 @@ def reconcile(
     threshold: float = 0.0,
     tz: str = "Asia/Tokyo",
     as_of: str | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
     """The fixed 18-column reconciliation output.
 
@@ -185,7 +200,7 @@ def reconcile(
     """
     check_inputs(source, target, source_refresh, target_refresh, grain, kpis)
     instant = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    base = recon_wide(source, target, grain, kpis).select(
+    base = recon_wide(source, target, grain, kpis, kind).select(
         "*",
         source_refresh.scalar().alias("source_last_refresh_time"),
         target_refresh.scalar().alias("target_last_refresh_time"),
@@ -221,15 +236,17 @@ def presentation_order(recon: DataFrame) -> DataFrame:
 
 
 def delta_at_grain(
-    source: DataFrame, target: DataFrame, grain: Sequence[str], kpis: Sequence[str]
-) -> DataFrame:
+    source: DataFrame, target: DataFrame, grain: Sequence[str], kpis: Sequence[str],
+    kind: str | None = None,
+) -> DataFrame:
     """Numeric deltas for a validation table: values, delta, delta percent."""
-    return recon_wide(source, target, grain, kpis).select(
+    kind = kind or value_kind(source, target, kpis)
+    return recon_wide(source, target, grain, kpis, kind).select(
         *grain,
         "kpis",
         "source_value",
         "target_value",
-        (F.col("target_value") - F.col("source_value")).cast(VALUE).alias("delta"),
+        (F.col("target_value") - F.col("source_value")).cast(kind).alias("delta"),
         percent().cast("decimal(38,2)").alias("delta_pct"),
     )
 
@@ -264,15 +281,15 @@ def partial_days(
     """
 
     def counts(df: DataFrame) -> DataFrame:
-        return df.groupBy(F.col(day).alias("load_date")).agg(F.count(F.lit(1)).alias("rows"))
+        return df.groupBy(F.to_date(day).alias("load_date")).agg(F.count(F.lit(1)).alias("rows"))
 
     both = _full_join(counts(source), counts(target), ["load_date"], ["rows"]).select(
         "load_date",
         F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
         F.coalesce("target_rows", F.lit(0)).alias("target_rows"),
     )
-    # One row per calendar date by now (thirty years are 11,000 rows), so one ordered
-    # window over all of them is bounded by the calendar and not by the data.
+    # One row per calendar date by now, also if the column holds times: the window over all
+    # of them is bounded by the calendar (thirty years are 11,000 rows), not by the data.
     before = Window.orderBy("load_date").rowsBetween(-trailing, -1)
 
     def usual(rows: str) -> Column:

@@ -6,9 +6,11 @@ subject filter runs first, so that bodies of messages without a rule are never p
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailtally.functions.bind import inline_rows, non_empty, only, present, quote
+from mailtally.functions.bind import inline_rows, non_empty, present, quote
 from mailtally.functions.html import (
     TABLES as TABLES_TYPE,
 )
@@ -21,16 +23,12 @@ from mailtally.operators.strategies import (
     Body,
     apply_strategy,
     is_built_in,
-    many_rules,
     reads,
+    rule_list,
 )
 from mailtally.sources.rules import Rule
 
 
-# Beyond this many rules the extraction is written once and reads the rule from a struct.
-FEW_RULES = 24
-
-
 def match_sql(rule: Rule, subject: str = "subject", sender: str = "email_sender") -> str:
     """Subject search, plus the sender if the rule names one."""
     hit = f"{subject} RLIKE {quote(java_pattern(rule.subject_regex))}"
@@ -81,16 +79,55 @@ def _extracts(
     if not rules:
         raise ValueError("no rules")
     parsed = parse_bodies(matching(messages, rules), rules, drop_spacers)
+    return _with_records(parsed, _records(rules, first, strict_sign, label_mode))
+
+
+def _records(rules: list[Rule], first: bool, strict_sign: bool, label_mode: str) -> Column:
+    """Records of a parsed message, in the order of the rules.
+
+    One form for lists of any length: subject patterns are literals and find the rules that
+    match; the extraction is in the plan once for each kind and reads the rule from a
+    constant struct. With ``first``, rules after the first success are not tried. A
+    registered strategy is an expression of its own and stands in a list of its own kind.
+    """
     body = Body(strict_sign=strict_sign, label_mode=label_mode)
-    if len(rules) > FEW_RULES and all(map(is_built_in, rules)):
-        per_rule = many_rules(body, rules, list(map(match_sql, rules)))
-        records = f"get({only(per_rule, lambda x: f'size({x}) > 0')}, 0)" if first else f"flatten({per_rule})"
-        return _with_records(parsed, F.expr(records))
-    extracts = [F.when(F.expr(match_sql(r)), apply_strategy(body, r)) for r in rules]
+    parts: list[Column] = []
+    for built_in, group in groupby(rules, is_built_in):
+        some = list(group)
+        if built_in:
+            parts.append(F.expr(rule_list(body, some, list(map(match_sql, some)), first)))
+        else:
+            parts += [F.when(F.expr(match_sql(r)), apply_strategy(body, r)) for r in some]
     if first:
-        return _with_records(parsed, F.coalesce(*map(non_empty, extracts)))
+        return F.coalesce(*map(non_empty, parts))
     empty = F.array().cast(EXTRACTS)
-    return _with_records(parsed, F.concat(*[F.coalesce(e, empty) for e in extracts]))
+    return F.concat(*[F.coalesce(p, empty) for p in parts])
+
+
+def extract_every(
+    messages: DataFrame, rules: list[Rule], strict_sign: bool = False, label_mode: str = "line"
+) -> DataFrame:
+    """One slim row per message, matched or not, from one pass over the messages.
+
+    As ``extract_first``, with ``conversation_id``, ``matched`` and ``parse_failed``. Bodies
+    of messages that no rule matches are not handed to the parser.
+    """
+    hit = F.expr(" OR ".join(map(match_sql, rules)) if rules else "false")
+    marked = messages.withColumn("matched", F.coalesce(hit, F.lit(False)))
+    marked = marked.withColumn("html_body", F.when(F.col("matched"), F.col("html_body")))
+    parsed = parse_bodies(marked, rules)
+    read = "_text" if "text" in frozenset().union(*map(reads, rules)) else "_tables"
+    refused = F.col("html_body").isNotNull() & F.col(read).isNull()
+    records = _records(rules, True, strict_sign, label_mode)
+    kept = [F.col(c).alias(name) for c, name in MESSAGE_COLUMNS.items()]
+    empty = F.array().cast(EXTRACTS)
+    return parsed.select(
+        F.coalesce(records, empty).alias("records"),
+        *kept,
+        "conversation_id",
+        "matched",
+        refused.alias("parse_failed"),
+    )
 
 
 MESSAGE_COLUMNS = {

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from mailtally.session import scratch_path
+from mailtally.operators.latest import OWN, number_null_keys
 
 ROW_LEVEL_FORMATS = {"delta", "iceberg"}
 
@@ -29,18 +29,20 @@ def table_format(spark: SparkSession, table: str) -> str:
     return (first[0] if first else "parquet").lower()
 
 
-def versioned_path(spark: SparkSession, table: str, path: str | None = None) -> str:
-    """A fresh folder for the rows of a table, under its base or in the shared folder."""
-    return scratch_path(spark, f"tables/{table.replace('.', '_')}") if path is None else path
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return rows.select("data_type").first()[0].rstrip("/")
 
 
 def create_table(
-    spark: SparkSession, table: str, schema: T.StructType, fmt: str = "parquet", path: str | None = None
-) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` with an explicit schema."""
+    spark: SparkSession, table: str, schema: T.StructType, fmt: str = "parquet", path: str | None = None,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` with an explicit schema, in the warehouse or at ``path``."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    location = "" if fmt in ROW_LEVEL_FORMATS else f" LOCATION '{versioned_path(spark, table, path)}'"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt}{location}")
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    location = "" if path is None else f" LOCATION '{path}'"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt}{parts}{location}")
 
 
 def append(
@@ -50,32 +52,34 @@ def append(
     as_of: str | None = None,
     fmt: str = "parquet",
     evolve: bool = False,
+    overwrite: bool = False,
 ) -> int:
     """Append rows with the audit column; the count comes from the same write.
 
-    An empty batch writes nothing and gives 0. ``evolve`` lets new columns in.
+    ``evolve`` lets new columns in; without it a batch that has columns which the table
+    lacks is refused. ``overwrite`` replaces the stored rows.
     """
     spark = df.sparkSession
-    if df.isEmpty():
-        return 0
     seen = Observation()
     rows = stamp(df, tz, as_of).observe(seen, F.count(F.lit(1)).alias("rows"))
     if not spark.catalog.tableExists(table):
-        writer = rows.write.format(fmt)
-        if fmt not in ROW_LEVEL_FORMATS:
-            writer = writer.option("path", versioned_path(spark, table))
-        writer.saveAsTable(table)
+        rows.write.format(fmt).saveAsTable(table)
     elif evolve and fmt in ROW_LEVEL_FORMATS:
-        rows.write.format(fmt).mode("append").option("mergeSchema", "true").saveAsTable(table)
+        mode = "overwrite" if overwrite else "append"
+        rows.write.format(fmt).mode(mode).option("mergeSchema", "true").saveAsTable(table)
     else:
-        if evolve:
-            _add_columns(spark, table, rows.schema)
         stored = spark.table(table).schema
+        new = [c for c in rows.columns if c not in stored.names]
+        if new and not evolve:
+            raise ValueError(f"{table} lacks the columns {', '.join(new)}; pass evolve=True")
+        if new:
+            _add_columns(spark, table, rows.schema)
+            stored = spark.table(table).schema
         aligned = [
             F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in stored.fields
         ]
-        rows.select(*aligned).write.mode("append").format(table_format(spark, table)).insertInto(table)
+        rows.select(*aligned).write.insertInto(table, overwrite=overwrite)
     return int(seen.get["rows"])
 
 
@@ -97,7 +101,7 @@ def union_evolved(*frames: DataFrame) -> DataFrame:
 
 def audit(
     messages: DataFrame,
-    records: DataFrame,
+    records: DataFrame | Column,
     expected: Column | None = None,
     id_col: str = "email_unique_id",
     tz: str = "UTC",
@@ -107,35 +111,64 @@ def audit(
 
     ``messages`` may carry ``has_table`` (a table was found), ``parse_failed`` and
     ``missing_columns``; ``expected`` overrides the schema-mismatch condition. Records
-    are counted per message before the join, so the join is one row to one row.
+    are counted per message before the join, so the join is one row to one row; a column with
+    their number per message needs no join.
     """
-    counts = records.groupBy(F.col(id_col).alias("_mid")).agg(F.count(F.lit(1)).alias("_rows"))
-    joined = messages.join(counts, F.col("id") == F.col("_mid"), "left")
-    rows = F.coalesce(F.col("_rows"), F.lit(0))
+    if isinstance(records, Column):
+        joined, rows = messages, F.coalesce(records, F.lit(0)).cast("long")
+    else:
+        # messages without an id have no records; numbered, they do not meet in one task
+        counts = (
+            records.filter(F.col(id_col).isNotNull())
+            .groupBy(F.col(id_col).alias("_mid"))
+            .agg(F.count(F.lit(1)).alias("_rows"))
+            .withColumn("_none", F.lit(-1).cast("long"))
+        )
+        same = (F.col("id") == F.col("_mid")) & (F.col(OWN) == F.col("_none"))
+        joined = number_null_keys(messages, ["id"]).join(counts, same, "left")
+        rows = F.coalesce(F.col("_rows"), F.lit(0))
     false = F.lit(False)
     failed = F.col("parse_failed") if "parse_failed" in messages.columns else false
     no_table = ~F.col("has_table") if "has_table" in messages.columns else rows == 0
     missing = F.col("missing_columns") if "missing_columns" in messages.columns else F.lit("")
     mismatch = expected if expected is not None else missing != ""
-    status = (
+    return joined.select(
+        F.col("id").alias("message_id"),
+        "conversation_id",
+        "received_at",
+        audit_time(tz, as_of).alias("processed_at"),
         F.when(failed, F.lit("FAILED"))
         .when(no_table, F.lit("NO_TABLE_FOUND"))
         .when(mismatch, F.lit("SCHEMA_MISMATCH"))
         .otherwise(F.lit("SUCCESS"))
-    )
-    error = (
+        .alias("status"),
+        rows.alias("rows_extracted"),
         F.when(failed, F.lit("body could not be parsed"))
         .when(no_table, F.lit("no table in body"))
         .when(mismatch, F.concat(F.lit("missing columns: "), missing))
+        .alias("error_message"),
     )
-    return joined.select(
-        F.col("id").alias("message_id"),
+
+
+def audit_extracts(extracts: DataFrame, tz: str = "UTC", as_of: str | None = None) -> DataFrame:
+    """Audit rows of routed messages (``extract_every``): each row knows its own outcome."""
+    untimed = F.col("received_ts").isNull()
+    rows = F.size("records").cast("long")
+    outcome = (
+        F.when(F.col("parse_failed"), F.array(F.lit("FAILED"), F.lit("body could not be parsed")))
+        .when(untimed, F.array(F.lit("FAILED"), F.lit("no readable receive time")))
+        .when(~F.col("matched"), F.array(F.lit("NO_TABLE_FOUND"), F.lit("no rule matches")))
+        .when(rows == 0, F.array(F.lit("NO_TABLE_FOUND"), F.lit("no record in body")))
+        .otherwise(F.array(F.lit("SUCCESS"), F.lit(None)))
+    )
+    return extracts.select(
+        F.col("email_unique_id").alias("message_id"),
         "conversation_id",
-        "received_at",
+        F.col("email_received_at").alias("received_at"),
         audit_time(tz, as_of).alias("processed_at"),
-        status.alias("status"),
-        rows.alias("rows_extracted"),
-        error.alias("error_message"),
+        outcome[0].alias("status"),
+        F.when(untimed, F.lit(0)).otherwise(rows).cast("long").alias("rows_extracted"),
+        outcome[1].alias("error_message"),
     )
 
 
@@ -156,15 +189,29 @@ def audit_failures(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def state_row(
-    messages: DataFrame, records: DataFrame, pipeline: str, token: str, as_of: str | None = None
+    extracts: DataFrame, pipeline: str, before: DataFrame | None = None, as_of: str | None = None
 ) -> DataFrame:
-    """The incremental state after a run: token and counts. One row."""
+    """The incremental state after a run: position and counts. One row.
+
+    The token is the newest receive time among the run's messages, or the last stored one
+    (``before``, the state table) if that is newer or the run has seen none.
+    """
     instant = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    n_messages = messages.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return records.agg(F.count(F.lit(1)).alias("records_extracted")).select(
+    newest = F.date_format(F.max("received_ts"), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    run = extracts.agg(
+        newest.alias("token"),
+        F.count(F.lit(1)).alias("emails_processed"),
+        F.coalesce(F.sum(F.when(F.col("received_ts").isNotNull(), F.size("records"))), F.lit(0))
+        .cast("long")
+        .alias("records_extracted"),
+    )
+    token = F.col("token")
+    if before is not None:
+        token = F.greatest(token, latest_state(before, pipeline).agg(F.max("delta_token")).scalar())
+    return run.select(
         F.lit(pipeline).alias("pipeline"),
-        F.lit(token).alias("delta_token"),
-        n_messages.alias("emails_processed"),
+        token.alias("delta_token"),
+        "emails_processed",
         "records_extracted",
         instant.alias("updated_at"),
     )

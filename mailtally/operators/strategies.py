@@ -307,22 +307,28 @@ def _kind(rule: Rule) -> str | None:
     return _KINDS.get(rule.strategy)
 
 
-def many_rules(body: Body, rules: list[Rule], matches: list[str]) -> str:
-    """SQL of one array of records per matching rule, in rule order, for long rule lists.
+def rule_list(body: Body, rules: list[Rule], matches: list[str], first: bool) -> str:
+    """SQL of the records of the matching rules, in rule order.
 
-    ``matches`` are the rules' match conditions. The extraction is in the plan once per
-    kind, over the constant structs of the rules that match.
+    ``matches`` are the rules' match conditions, with literal patterns. The extraction is in
+    the plan once per kind, over the constant structs of the rules that match. With
+    ``first`` the fold stops extracting once a rule has yielded something.
     """
     table = f"array({', '.join(rule_struct(r) for r in rules)})"
     hits = ", ".join(f"CASE WHEN {m} THEN {i} END" for i, m in enumerate(matches))
     matched = each(present(f"array({hits})"), lambda i: f"get({table}, {i})")
+    kinds = dict.fromkeys(_kind(rule) for rule in rules)
+    empty = f"CAST(array() AS {EXTRACTS})"
 
     def extracted(r: str) -> str:
-        kinds = dict.fromkeys(_kind(rule) for rule in rules)
         cases = " ".join(
             f"WHEN {quote(k)} THEN CAST({_BUILT_IN[k][0](body, from_struct(r))} AS {EXTRACTS})"
             for k in kinds
         )
-        return f"CASE {r}.kind {cases} END"
+        return f"coalesce(CASE {r}.kind {cases} END, {empty})"
 
-    return present(each(matched, extracted))
+    if not first:
+        return f"flatten({each(matched, extracted)})"
+    so_far, r = variable("so_far"), variable("r")
+    step = f"CASE WHEN size({so_far}) > 0 THEN {so_far} ELSE {extracted(r)} END"
+    return f"aggregate({matched}, {empty}, ({so_far}, {r}) -> {step})"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 import yaml
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailtally.functions.html import html_tables, html_to_text
+from mailtally.functions.html import html_body, html_tables, html_to_text
 from mailtally.functions.regex import group_index, java_pattern
 from mailtally.operators.gates import by_sender, by_subject
 
@@ -102,6 +103,30 @@ def extract_metadata(
     return from_subject.unionByName(from_body)
 
 
+def read_once(
+    messages: DataFrame, extractors: Sequence[tuple[str, str, str]], body: str = "html_body"
+) -> DataFrame:
+    """Named groups of all extractors, ``tables``, ``has_table`` and ``parse_failed``.
+
+    One Arrow node reads text and tables of each body. A group comes from the subject if
+    that matches, else from the body text, as far as the extractor's source allows.
+    """
+    parsed = messages.withColumn("_body", html_body(F.col(body)))
+    found: dict[str, Column] = {}
+    for _, source, regex in extractors:
+        options = {"subject": ["subject"], "body": ["_body.text"]}.get(source, ["subject", "_body.text"])
+        each = [named_groups(F.col(c), regex) for c in options]
+        found |= {name: F.coalesce(*[groups[name] for groups in each]) for name in each[0]}
+    tables = F.col("_body.tables")
+    return parsed.select(
+        *messages.columns,
+        *[c.alias(name) for name, c in found.items()],
+        tables.alias("tables"),
+        (F.coalesce(F.size(tables), F.lit(0)) > 0).alias("has_table"),
+        (F.col("_body.text").isNull() & F.col(body).isNotNull()).alias("parse_failed"),
+    )
+
+
 def with_tables(messages: DataFrame, body: str = "html_body") -> DataFrame:
     """Add ``tables``, ``has_table`` and ``parse_failed``."""
     parsed = messages.withColumn("tables", html_tables(F.col(body)))

@@ -6,13 +6,20 @@ applies it to a table, with the table format's own MERGE where there is one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mailtally.operators.latest import OWN, latest_per_key, number_null_keys, tie_break
-from mailtally.operators.sinks import ROW_LEVEL_FORMATS, stamp, table_format, versioned_path
-from mailtally.session import materialize
+from mailtally.operators.sinks import (
+    ROW_LEVEL_FORMATS,
+    _add_columns,
+    stamp,
+    table_format,
+    table_location,
+)
+from mailtally.session import RunFolder, delete_path
 from mailtally.sources.rules import Rule
 
 # --- fixed value ---
@@ -51,8 +58,7 @@ def merge_frames(
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     columns = list(target.columns) + [c for c in source.columns if c not in target.columns]
-    if guard and not (guard in target.columns and guard in source.columns):
-        guard = None
+    guard = _shared(guard, target, source)
     plain = F.lit(-1).cast("long")
 
     def tagged(df: DataFrame) -> DataFrame:
@@ -87,6 +93,11 @@ def merge_frames(
     return joined.select(*[pick(c) for c in columns])
 
 
+def _shared(guard: str | None, target: DataFrame, source: DataFrame) -> str | None:
+    """The guard column if both sides have it."""
+    return guard if guard in target.columns and guard in source.columns else None
+
+
 def upsert(
     df: DataFrame,
     table: str,
@@ -96,62 +107,172 @@ def upsert(
     guard: str | None = "received_ts",
     path: str | None = None,
     fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> int:
     """Upsert a batch into a table and return the number of source rows.
 
     The table is created when missing. Formats with row-level operations run one MERGE.
-    Plain files are rewritten to a fresh folder and the table is pointed at it, so readers
-    see the old or the new rows and a retry starts over without harm. Keep the target of
-    that form to one closing period per table; use a row-level format beyond that.
+    Partitioned files: only partitions that hold a matched row or receive one are read and
+    rewritten. Other files are rewritten to a version folder below the table's own one, and
+    the table is pointed at it; the version before stays for readers, older ones go. So keep
+    large targets partitioned or in a row-level format.
     """
-    spark = df.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
-    source = materialize(stamp(newest_per_merge_key(df, keys), tz, as_of), "upsert")
-    count = source.count()
-    if count == 0:
+    return upsert_all([(keys, df)], table, tz, as_of, guard, path, fmt, partition_by)
+
+
+def upsert_all(
+    batches: Sequence[tuple[Sequence[str], DataFrame]],
+    table: str,
+    tz: str = DEFAULT_ZONE,
+    as_of: str | None = None,
+    guard: str | None = "received_ts",
+    path: str | None = None,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> int:
+    """Upsert several (keys, rows), each seeing what the one before left, in one rewrite."""
+    if not batches:
         return 0
-    if not spark.catalog.tableExists(table):
-        _create(source, table, path, fmt)
-        return count
-    found = table_format(spark, table)
-    if found in ROW_LEVEL_FORMATS:
-        spark.sql(merge_statement(table, "{source}", keys, guard), source=source)
-        return count
-    merged = merge_frames(spark.table(table), source, keys, guard)
-    _swap(merged, table, found)
-    return count
+    spark = batches[0][1].sparkSession
+    with RunFolder(spark, "upsert") as run:
+        sources = [
+            (list(keys), run.keep(stamp(newest_per_merge_key(df, keys), tz, as_of), f"source-{i}"))
+            for i, (keys, df) in enumerate(batches)
+        ]
+        sizes = [source.count() for _, source in sources]
+        sources = [x for x, n in zip(sources, sizes, strict=True) if n]
+        if not sources:
+            return 0
+        if not spark.catalog.tableExists(table):
+            _create(sources[0][1].limit(0), table, path, fmt, partition_by)
+        found = table_format(spark, table)
+        if found in ROW_LEVEL_FORMATS:
+            for keys, source in sources:
+                usable = _shared(guard, spark.table(table), source)
+                spark.sql(merge_statement(table, "{source}", keys, usable), source=source)
+            return sum(sizes)
+        for _, source in sources:
+            _add_columns(spark, table, source.schema)
+        _rewrite(table, found, sources, guard, run)
+    return sum(sizes)
 
 
 def merge_statement(table: str, source: str, keys: Sequence[str], guard: str | None = None) -> str:
-    """MERGE on the composite key; with a guard, older source rows do not overwrite."""
+    """MERGE on the composite key; with a guard, older source rows do not overwrite.
+
+    As in ``merge_frames``, a row is older only if both times are known.
+    """
     same = " AND ".join(f"target.{key} = source.{key}" for key in keys)
-    newer = f" AND source.{guard} >= target.{guard}" if guard else ""
+    newer = f" AND NOT coalesce(source.{guard} < target.{guard}, false)" if guard else ""
     return (
         f"MERGE INTO {table} AS target USING {source} AS source ON {same} "
         f"WHEN MATCHED{newer} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
     )
 
 
-def _create(source: DataFrame, table: str, path: str | None, fmt: str) -> None:
-    spark = source.sparkSession
-    if fmt in ROW_LEVEL_FORMATS:
-        source.write.format(fmt).saveAsTable(table)
-        return
-    where = versioned_path(spark, table, path)
-    source.write.format(fmt).option("path", where).saveAsTable(table)
+def _create(
+    empty: DataFrame, table: str, path: str | None, fmt: str, partition_by: Sequence[str]
+) -> None:
+    writer = empty.write.format(fmt)
+    if path is not None:
+        writer = writer.option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+
+
+# --- fixed value: prefix of version folders; file listings skip names that start so ---
+VERSION = "_version-"
+# --- end of fixed values ---
+
+
+def _rewrite(
+    table: str, fmt: str, sources: list[tuple[list[str], DataFrame]], guard: str | None, run: RunFolder
+) -> None:
+    spark = run.spark
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    facts = {r.col_name: r.data_type for r in described}
+    if facts.get("Num Buckets", "0") not in ("0", "-1"):
+        raise ValueError(f"{table} is bucketed: its files cannot be replaced by an upsert")
+    names = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if names:
+        _rewrite_partitions(table, names, sources, guard, run)
+    else:
+        _swap(_merge_all(spark.table(table), sources, guard), table, fmt)
+
+
+def _merge_all(
+    target: DataFrame, sources: list[tuple[list[str], DataFrame]], guard: str | None
+) -> DataFrame:
+    for keys, source in sources:
+        target = merge_frames(target, source, keys, guard)
+    return target
+
+
+def _same(names: Sequence[str], a: str, b: str) -> Column:
+    both = F.lit(True)
+    for c in names:
+        both = both & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return both
+
+
+def _rewrite_partitions(
+    table: str, parts: list[str], sources: list[tuple[list[str], DataFrame]], guard: str | None, run: RunFolder
+) -> None:
+    """Merge within the partitions that a source row comes from or goes to."""
+    spark, target = run.spark, run.spark.table(table)
+    touched = None
+    for keys, source in sources:
+        known = target.select(*dict.fromkeys([*keys, *parts])).join(
+            source.select(*keys).distinct(), keys, "left_semi"
+        )
+        for rows in (known, source) if set(parts) <= set(source.columns) else (known,):
+            places = rows.select(*[F.col(c).cast(target.schema[c].dataType) for c in parts])
+            touched = places if touched is None else touched.union(places)
+    touched = run.keep(touched.distinct(), "touched")
+    old = target.alias("t").join(touched.alias("p"), _same(parts, "t", "p"), "left_semi")
+    merged = run.keep(_merge_all(old, sources, guard).select(*target.columns), "merged")
+    conf = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "dynamic")
+    try:
+        merged.hint("rebalance", *[F.col(c) for c in parts]).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(conf, before)
+    # partitions that all rows have left; their number is bounded by the catalog's
+    left = touched.alias("p").join(merged.select(*parts).alias("m"), _same(parts, "p", "m"), "left_anti")
+    for row in left.collect():
+        if None not in row:
+            where = ", ".join(f"`{c}` = '{_quoted(v)}'" for c, v in zip(parts, row, strict=True))
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({where})")
+    spark.catalog.refreshTable(table)
+    stored = spark.table(table).alias("t").join(touched.alias("p"), _same(parts, "t", "p"), "left_semi")
+    if stored.count() != merged.count():
+        raise RuntimeError(f"{table}: the rewritten partitions do not hold the merged rows")
+
+
+def _quoted(value: object) -> str:
+    return str(value).replace("\\", "\\\\").replace("'", "\\'")
 
 
 def _swap(merged: DataFrame, table: str, fmt: str) -> None:
-    """Write the rows to a fresh folder, then point the table at it."""
+    """Write the rows to a new version folder, point the table at it, drop outdated versions."""
     spark = merged.sparkSession
-    where = versioned_path(spark, table)
-    merged.write.format(fmt).save(where)
-    missing = [f for f in merged.schema.fields if f.name not in spark.table(table).columns]
-    if missing:
-        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{where}'")
+    now = table_location(spark, table)
+    parent, _, last = now.rpartition("/")
+    base, previous = (parent, last) if last.startswith(VERSION) else (now, None)
+    version = f"{VERSION}{uuid.uuid4().hex}"
+    merged.write.format(fmt).save(f"{base}/{version}")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{base}/{version}'")
     spark.catalog.refreshTable(table)
+    where = spark._jvm.org.apache.hadoop.fs.Path(base)
+    for entry in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where):
+        name = entry.getPath().getName()
+        # before there were versions, the rows were in the base folder itself
+        first = previous is not None and not name.startswith(("_", "."))
+        if first or name.startswith(VERSION) and name not in (version, previous):
+            delete_path(spark, entry.getPath().toString())
 
 
 def key_groups(rules: list[Rule]) -> dict[tuple[str, ...], list[str]]:
@@ -180,11 +301,10 @@ def merge_grouped(target: DataFrame, records: DataFrame, rules: list[Rule]) -> D
 
 
 def upsert_grouped(
-    records: DataFrame, rules: list[Rule], table: str, tz: str = DEFAULT_ZONE, as_of: str | None = None
-) -> int:
-    """One upsert per distinct merge-key tuple; the bodies are parsed once."""
-    staged = materialize(records, "records")
-    return sum(
-        upsert(part, table, keys, tz, as_of) for keys, part in split_by_merge_key(staged, rules)
-    )
-
+    records: DataFrame, rules: list[Rule], table: str, tz: str = DEFAULT_ZONE, as_of: str | None = None,
+    **options: object,
+) -> int:
+    """All merge-key tuples in one rewrite; the bodies are parsed once."""
+    with RunFolder(records.sparkSession, "records") as run:
+        staged = run.keep(records, "all")
+        return upsert_all(split_by_merge_key(staged, rules), table, tz, as_of, **options)

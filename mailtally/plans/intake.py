@@ -4,28 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailtally.operators.enrich import intake_summary, weekly
-from mailtally.operators.gates import after_watermark, unprocessed
-from mailtally.operators.latest import newest_copy
+from mailtally.operators.enrich import intake_summary, total_amount, weekly
+from mailtally.operators.gates import (
+    LOOK_BACK_DAYS,
+    after_watermark,
+    unaudited,
+    unprocessed,
+    watermark,
+)
 from mailtally.operators.routing import (
     explode_records,
+    extract_every,
     extract_first,
     newest_extract,
     route_all,
 )
-from mailtally.operators.sinks import append, audit, state_row
+from mailtally.operators.sinks import append, audit, audit_extracts, state_row
 from mailtally.operators.templates import (
     Template,
     coerce,
-    extract_metadata,
     map_columns,
     missing_columns,
+    read_once,
     select_messages,
     tag_lineage,
-    with_tables,
 )
 from mailtally.operators.upsert import upsert_grouped
-from mailtally.session import materialize
+from mailtally.session import RunFolder
 from mailtally.sources.messages import read_messages, standardize
 from mailtally.sources.rules import Rule, select_rules
 
@@ -42,35 +47,35 @@ def scheduled_intake(
     tz: str = "Asia/Tokyo",
     as_of: str | None = None,
     label_mode: str = "line",
+    days: int = LOOK_BACK_DAYS,
 ) -> int:
     """Watermark, processed-id gate, routing, grouped upsert, audit and state.
 
-    With an audit table the gate reads the ids from there, so messages without a record
-    are not parsed again; else it reads the sink table. Returns the upserted rows.
+    The messages are read once: a slim row of each, with its records and how its reading
+    ended, is written to a run folder, and records, audit and state come from there. With an
+    audit table the gate skips messages that it settled within the look-back; failed ones are
+    read again. Messages without a readable time are audited as failed and store nothing.
+    Returns the upserted rows.
     """
     fresh = messages
     if spark.catalog.tableExists(table):
         target = spark.table(table)
-        fresh = after_watermark(fresh, target)
+        fresh = after_watermark(fresh, target, days)
         if audit_table and spark.catalog.tableExists(audit_table):
-            done = spark.table(audit_table).select(F.col("message_id").alias("email_unique_id"))
-            fresh = unprocessed(fresh, done, days=None)
+            fresh = unaudited(fresh, spark.table(audit_table), watermark(target, days))
         else:
-            fresh = unprocessed(fresh, target)
-    # Both are settled before the target changes, and neither holds a body.
-    extracted = newest_extract(extract_first(fresh, rules, label_mode=label_mode))
-    extracted = materialize(extracted, "extracted")
-    records = explode_records(extracted)
-    seen = None
-    if audit_table or state_table:
-        seen = materialize(newest_copy(fresh.drop("html_body"), "id"), "seen")
-    saved = upsert_grouped(records, rules, table, tz, as_of)
-    if audit_table:
-        log = audit(seen.withColumn("has_table", F.lit(True)), records, as_of=as_of)
-        append(log, audit_table, tz, as_of)
-    if state_table:
-        append(state_row(seen, records, pipeline, pipeline, as_of), state_table, tz, as_of)
-    return saved
+            fresh = unprocessed(fresh, target, days=days)
+    with RunFolder(spark, "intake") as run:
+        extracts = newest_extract(extract_every(fresh, rules, label_mode=label_mode))
+        extracts = run.keep(extracts, "extracts")
+        timed = extracts.filter(F.col("received_ts").isNotNull())
+        saved = upsert_grouped(explode_records(timed), rules, table, tz, as_of)
+        if audit_table:
+            append(audit_extracts(extracts, as_of=as_of), audit_table, tz, as_of)
+        if state_table:
+            before = spark.table(state_table) if spark.catalog.tableExists(state_table) else None
+            append(run.keep(state_row(extracts, pipeline, before, as_of), "state"), state_table, tz, as_of)
+        return saved
 
 
 def table_intake(
@@ -87,27 +92,43 @@ def table_intake(
 def template_intake(
     messages: DataFrame, template: Template, types: dict[str, str] | None = None, as_of: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Declared intake: filter, metadata, table rows, types, lineage. Rows and audit log."""
-    chosen = select_messages(messages, template)
-    for _, source, regex in template.extractors:
-        chosen = extract_metadata(chosen, regex, source)
-    tables = with_tables(chosen).drop("html_body")
-    mapping = template.column_mapping
-    checked = tables.withColumn(
-        "missing_columns", missing_columns(F.col("tables"), template.header_row, mapping)
-    )
-    rows = map_columns(tables, mapping, template.header_row)
-    rows = tag_lineage(coerce(rows, types or {}))
-    return rows, audit(checked, rows, id_col="id", as_of=as_of)
+    """Declared intake: filter, metadata, table rows, types, lineage. Rows and audit log.
+
+    Each body is read once, whatever the number of extractors. With table extraction off,
+    messages give one row each, of metadata alone.
+    """
+    read = read_once(select_messages(messages, template), template.extractors)
+    mapping = template.column_mapping if template.tables_enabled else {}
+    if template.tables_enabled:
+        rows = map_columns(read.drop("html_body"), mapping, template.header_row)
+        absent = missing_columns(F.col("tables"), template.header_row, mapping)
+    else:
+        rows = read.drop("html_body", "tables").withColumns(
+            {"table_index": F.lit(None).cast("int"), "row_index": F.lit(None).cast("int")}
+        )
+        read, absent = read.withColumn("has_table", F.lit(True)), F.lit("")
+    rows = tag_lineage(coerce(rows, {k: v for k, v in (types or {}).items() if k in rows.columns}))
+    below = F.size(F.filter("tables", lambda r: r["row_index"] > template.header_row))
+    found = below if template.tables_enabled else F.lit(1)
+    checked = read.drop("html_body").withColumn("missing_columns", absent)
+    return rows, audit(checked, found, as_of=as_of)
 
 
 def save_template_intake(
     rows: DataFrame, log: DataFrame, template: Template, tz: str = "Asia/Tokyo", as_of: str | None = None
 ) -> int:
-    """Append both results to the template's tables; new columns are let in."""
-    saved = append(materialize(rows, "rows"), template.data_table, tz, as_of, evolve=True)
-    append(log, template.audit_table, tz, as_of, evolve=True)
-    return saved
+    """Write both results to the template's tables; new columns are let in.
+
+    The template's save mode holds for the data, the log is always appended to.
+    """
+    if template.save_mode not in ("append", "overwrite"):
+        raise ValueError(f"unknown save mode {template.save_mode!r}")
+    with RunFolder(rows.sparkSession, "template") as run:
+        kept, logged = run.keep(rows, "rows"), run.keep(log, "log")
+        replace = template.save_mode == "overwrite"
+        saved = append(kept, template.data_table, tz, as_of, evolve=True, overwrite=replace)
+        append(logged, template.audit_table, tz, as_of, evolve=True)
+        return saved
 
 
 def medallion(spark: SparkSession, landing: str, rules: list[Rule], label_mode: str = "normalized") -> DataFrame:
@@ -121,7 +142,7 @@ def medallion(spark: SparkSession, landing: str, rules: list[Rule], label_mode:
         "received_ts",
         {
             "records": F.count(F.lit(1)),
-            "amount": F.sum(F.col("payment_amount").cast("decimal(18,2)")).cast("decimal(28,2)"),
+            "amount": total_amount(),
         },
     )
 

@@ -80,7 +80,7 @@ FROM base
 )
 def j_delta(spark: SparkSession, sf: str) -> DataFrame:
     source, target = aggregates(spark, sf)
-    return recon.delta_at_grain(source, target, GRAIN, KPIS)
+    return recon.delta_at_grain(source, target, GRAIN, KPIS, recon.VALUE)
 
 
 FULL = """
@@ -119,6 +119,7 @@ def r_full(spark: SparkSession, sf: str) -> DataFrame:
         "line_fact",
         "line_summary",
         as_of=fx.AS_OF_ORDERS,
+        kind=recon.VALUE,
     )
 
 
@@ -132,7 +133,7 @@ FROM base
 )
 def r_pass_warn_fail(spark: SparkSession, sf: str) -> DataFrame:
     source, target = aggregates(spark, sf)
-    rows = recon.recon_wide(source, target, GRAIN, KPIS)
+    rows = recon.recon_wide(source, target, GRAIN, KPIS, recon.VALUE)
     return rows.select(*GRAIN, "kpis", recon.pass_warn_fail().alias("status"))
 
 
@@ -168,7 +169,7 @@ FROM g
 )
 def w_residual(spark: SparkSession, sf: str) -> DataFrame:
     source, target = aggregates(spark, sf)
-    deltas = recon.delta_at_grain(source, target, GRAIN, KPIS)
+    deltas = recon.delta_at_grain(source, target, GRAIN, KPIS, recon.VALUE)
     return recon.residual_trend(deltas, ["return_flag", "line_status", "kpis"], "ship_month")
 
 
@@ -185,3 +186,25 @@ def u_formula_ab(spark: SparkSession, sf: str) -> DataFrame:
     a = (price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(24,4)")
     b = a.cast("decimal(18,2)").cast("decimal(24,4)")
     return recon.compare_formulas(fx.table(spark, sf, "lineitem"), a, b)
+
+
+FINE_SQL = """
+SELECT l_shipmode AS ship_mode, 'rate' AS kpis, CAST(sum(l_discount) / 10000 AS DECIMAL(38,6)) AS source_value,
+       CAST(sum(l_tax) / 10000 AS DECIMAL(38,6)) AS target_value,
+       CAST((sum(l_tax) - sum(l_discount)) / 10000 AS DECIMAL(38,6)) AS delta
+FROM (SELECT l_returnflag || l_linestatus AS l_shipmode, CAST(l_discount AS DECIMAL(20,2)) AS l_discount,
+      CAST(l_tax AS DECIMAL(20,2)) AS l_tax FROM lineitem) GROUP BY 1
+"""
+
+
+@query(FINE_SQL)
+def j_delta_fine(spark: SparkSession, sf: str) -> DataFrame:
+    """KPIs far below a cent: nothing is rounded away."""
+    line = fx.table(spark, sf, "lineitem").withColumn("ship_mode", F.concat("l_returnflag", "l_linestatus"))
+
+    def rate(col: str) -> DataFrame:
+        total = F.sum(F.col(col).cast("decimal(20,2)")) * F.lit("0.0001").cast("decimal(5,4)")
+        return line.groupBy("ship_mode").agg(total.cast("decimal(30,6)").alias("rate"))
+
+    fine = recon.delta_at_grain(rate("l_discount"), rate("l_tax"), ["ship_mode"], ["rate"])
+    return fine.drop("delta_pct")

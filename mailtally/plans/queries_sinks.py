@@ -86,6 +86,22 @@ def k_upsert_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table).select(*SAVED_COLUMNS)
 
 
+@query(LATEST_SQL.replace(SAVED_SQL, SAVED_SQL + ", strftime(ts, '%Y') AS year"))
+def k_upsert_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """A table partitioned by year: later rows of a key leave the partition of the earlier.
+
+    Two batches with a key tuple each, and the first one once more.
+    """
+    table = fresh_table("parts")
+    found = records(spark, sf).withColumn("year", F.date_format("received_ts", "yyyy"))
+    early = F.col("received_ts") < F.lit(SPLIT).cast("timestamp")
+    keys, turned = ["customer_code", "payment_due_label"], ["payment_due_label", "customer_code"]
+    first, second = found.filter(early), found.filter(~early)
+    upsert.upsert(first, table, keys, as_of=AS_OF, partition_by=["year"])
+    upsert.upsert_all([(turned, second), (keys, first)], table, as_of=AS_OF)
+    return spark.table(table).select(*SAVED_COLUMNS, "year")
+
+
 GROUPED = """
 QUALIFY CASE WHEN c % 5 = 1 THEN row_number() OVER (PARTITION BY customer_code ORDER BY ts DESC, email_unique_id DESC)
         ELSE row_number() OVER (PARTITION BY customer_code, short_label ORDER BY ts DESC, email_unique_id DESC) END = 1
@@ -107,13 +123,13 @@ n AS (SELECT id, count(*) AS n FROM rep WHERE NOT none GROUP BY 1)
 SELECT m.id AS message_id, conversation_id, received_at, TIMESTAMP '2024-01-31 00:00:00' AS processed_at,
        CASE WHEN none THEN 'NO_TABLE_FOUND' WHEN short THEN 'SCHEMA_MISMATCH' ELSE 'SUCCESS' END AS status,
        COALESCE(n, 0) AS rows_extracted,
-       CASE WHEN none THEN 'no table in body' WHEN short THEN 'missing columns: Status' END AS error_message
+       CASE WHEN none THEN 'no table in body' WHEN short THEN 'missing columns: Hours' END AS error_message
 FROM m LEFT JOIN n USING (id)
 """
 )
 def k_audit(spark: SparkSession, sf: str) -> DataFrame:
     tables = report_tables(spark, sf)
-    mapping = {"Subject": "subject_text", "From": "sender", "Received": "received_text", "Status": "status_text"}
+    mapping = {"Task": "subject_text", "Owner": "sender", "Done at": "received_text", "Hours": "status_text"}
     checked = tables.withColumn("missing_columns", missing_columns(F.col("tables"), 0, mapping))
     rows = coerce(map_columns(tables, mapping), {"received_text": "timestamp_ntz"})
     log = sinks.audit(checked, rows, id_col="id", as_of=fx.AS_OF_EVENTS)
@@ -128,11 +144,12 @@ TEMPLATE = {
         "subject_must_contain": "weekly report",
     },
     "metadata_extractors": [
-        {"name": "kind", "source": "subject_or_body", "regex": r"Report (?P<kind>[a-z]+)"}
+        {"name": "kind", "source": "subject_or_body", "regex": r"Report (?P<kind>[a-z]+)"},
+        {"name": "topic", "source": "subject", "regex": r"(?P<topic>[Ww]eekly [Rr]eport)"},
     ],
     "table_extraction": {
         "header_row": 0,
-        "column_mapping": {"Subject": "subject_text", "From": "sender_text", "Status": "amount"},
+        "column_mapping": {"Task": "subject_text", "Owner": "sender_text", "Hours": "amount"},
     },
 }
 
@@ -148,7 +165,7 @@ def k_template(spark: SparkSession, sf: str) -> DataFrame:
     """A declared intake, saved to its data and audit tables and read back."""
     names = {"data_table": fresh_table("data"), "audit_table": fresh_table("log")}
     template = load_template({**TEMPLATE, "sink": names})
-    reports = fx.emails_report(fx.spread(fx.table(spark, sf, "events")))
+    reports = fx.emails_report(fx.table(spark, sf, "events"))
     rows, log = template_intake(reports, template, {"amount": "decimal(18,2)"}, fx.AS_OF_EVENTS)
     save_template_intake(rows, log, template, as_of=fx.AS_OF_EVENTS)
     return spark.table(template.data_table).select(
@@ -238,6 +255,76 @@ def k_scheduled_intake(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table).select(*SAVED_COLUMNS)
 
 
+ODD = """
+odd AS (
+  SELECT *, CASE WHEN k % 11 = 0 THEN 'unmatched' WHEN k % 5 = 0 THEN 'refused' WHEN k % 7 = 0 THEN 'empty'
+                 WHEN k % 17 = 0 THEN 'untimed' WHEN k % 13 = 0 THEN 'undue' ELSE 'fine' END AS case_ FROM kv)
+"""
+
+
+def odd_mails(spark: SparkSession, sf: str) -> DataFrame:
+    """Notices of which some have a broken body, an empty one or no readable time."""
+    key = F.regexp_extract("id", r"(\d+)$", 1).cast("long")
+    mails = kv(spark, sf)
+    timed = (key % 11 == 0) | (key % 5 == 0) | (key % 7 == 0) | (key % 17 != 0)
+    body = (
+        F.when(key % 5 == 0, F.lit("<p>broken</p><![ foo"))
+        .when(key % 7 == 0, F.lit(""))
+        .otherwise(F.col("html_body"))
+    )
+    return mails.withColumns(
+        {"html_body": body, "received_ts": F.when(timed, F.col("received_ts"))}
+    )
+
+
+@query(
+    f"""
+WITH {KV}, {ODD}
+SELECT id AS message_id, received_at,
+       CASE WHEN case_ IN ('refused', 'untimed') THEN 'FAILED' WHEN case_ = 'fine' THEN 'SUCCESS' ELSE 'NO_TABLE_FOUND' END AS status,
+       CAST(CASE WHEN case_ = 'fine' THEN 1 ELSE 0 END AS BIGINT) AS rows_extracted,
+       CASE case_ WHEN 'refused' THEN 'body could not be parsed' WHEN 'untimed' THEN 'no readable receive time'
+                  WHEN 'unmatched' THEN 'no rule matches' WHEN 'fine' THEN NULL ELSE 'no record in body' END AS error_message
+FROM odd
+"""
+)
+def k_intake_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What the log says of each message after one run."""
+    table, log = fresh_table("sink"), fresh_table("audit")
+    scheduled_intake(
+        spark, odd_mails(spark, sf), kv_rules(), table, log, as_of=AS_OF, label_mode="normalized"
+    )
+    return spark.table(log).select(
+        "message_id", "received_at", "status", "rows_extracted", "error_message"
+    )
+
+
+@query(
+    f"""
+WITH {KV}, {ODD}, a AS (SELECT * FROM odd WHERE ts < TIMESTAMP '{SPLIT}'), w AS (
+  SELECT max(ts) - INTERVAL 7 DAYS AS bound FROM a WHERE case_ = 'fine'),
+b AS (SELECT odd.* FROM odd, w WHERE case_ = 'untimed' OR ts >= bound AND (ts >= TIMESTAMP '{SPLIT}' OR case_ = 'refused')),
+r AS (SELECT 1 AS run, * FROM a UNION ALL SELECT 2 AS run, * FROM b)
+SELECT run, strftime(max(ts) FILTER (case_ <> 'untimed'), '%Y-%m-%dT%H:%M:%S.000') AS delta_token,
+       count(*) AS emails_processed, count(*) FILTER (case_ = 'fine') AS records_extracted FROM r GROUP BY run
+"""
+)
+def k_intake_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The state after each of two runs; the second one reads what failed once more."""
+    table, log, state = fresh_table("sink"), fresh_table("audit"), fresh_table("state")
+    mails = odd_mails(spark, sf)
+    stated = F.to_timestamp("received_at")
+    early = mails.filter(stated < F.lit(SPLIT).cast("timestamp"))
+    for batch in (early, mails):
+        scheduled_intake(
+            spark, batch, kv_rules(), table, log, state, as_of=AS_OF, label_mode="normalized"
+        )
+    run = F.when(F.col("delta_token") < SPLIT, 1).otherwise(2)
+    return spark.table(state).select(
+        run.alias("run"), "delta_token", "emails_processed", "records_extracted"
+    )
+
+
 # --- streaming --------------------------------------------------------------------------------
 
 
@@ -272,8 +359,7 @@ def m_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def m_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     path, table = _landing(spark, sf, "upsert-in"), fresh_table("stream")
     flat = standardize(stream_messages(spark, path, max_files=4))
-    rules = [r for r in kv_rules() if r.name != "Decoy"]
-    two_keys = [_with_keys(r, ("customer_code", "payment_due_label")) for r in rules]
+    two_keys = [_with_keys(r, ("customer_code", "payment_due_label")) for r in kv_rules()]
     query_ = stream.upsert_stream(
         flat, two_keys, table, scratch_path(spark, "offsets"), as_of=AS_OF, label_mode="normalized"
     )
@@ -287,6 +373,22 @@ def _with_keys(rule, keys):
     return replace(rule, merge_keys=keys)
 
 
+@query(LATEST_SQL.replace("FROM rec", "FROM rec WHERE k % 17 <> 0"))
+def m_late_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Corrections that come late, in a second run: newer ones overwrite, older ones do not."""
+    path, table, offsets = scratch_path(spark, "late-up"), fresh_table("late"), scratch_path(spark, "offsets")
+    mails = kv(spark, sf)
+    key = F.regexp_extract("id", r"(\d+)$", 1).cast("long")
+    rules = [_with_keys(r, ("customer_code", "payment_due_label")) for r in kv_rules()]
+    for part in (key % 2 == 0, key % 2 == 1):
+        fx.payloads(mails.filter(part)).write.mode("append").json(path)
+        flat = standardize(stream_messages(spark, path))
+        stream.drain(
+            stream.upsert_stream(flat, rules, table, offsets, as_of=AS_OF, label_mode="normalized")
+        )
+    return spark.table(table).select(*SAVED_COLUMNS)
+
+
 @query(
     f"""
 WITH {KV}, w AS (SELECT max(ts) - INTERVAL 7 DAYS AS b FROM kv WHERE ts < TIMESTAMP '2000-01-01')

@@ -54,10 +54,47 @@ def a_profile(spark: SparkSession, sf: str) -> DataFrame:
     return prof.profile(_nullable(spark, sf), distinct=False)
 
 
-@query()
+PROFILED = (
+    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+)
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS total_rows, count(*) - count({c}) AS null_count,
+        count(DISTINCT {c}) AS exact_distinct, true AS within_three_deviations FROM orders"""
+        for c in PROFILED
+    )
+)
 def a_profile_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole profile; its distinct counts are approximate and so not hashed."""
-    return prof.profile(fx.table(spark, sf, "orders"))
+    """The whole profile, its approximate distinct counts next to exact ones."""
+    orders = fx.table(spark, sf, "orders").select(*PROFILED)
+    exact = None
+    for c in PROFILED:
+        one = orders.select(c).distinct().agg(F.lit(c).alias("_column"), F.count(c).alias("exact_distinct"))
+        exact = one if exact is None else exact.union(one)
+    both = prof.profile(orders).join(exact, F.col("column") == F.col("_column"))
+    off = F.abs(F.col("distinct_count") - F.col("exact_distinct"))
+    return both.select(
+        "column", "total_rows", "null_count", "exact_distinct",
+        (off <= 3 * prof.DISTINCT_RSD * F.col("exact_distinct") + 1).alias("within_three_deviations"),
+    )
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST(min(v) AS DOUBLE) AS min_value, CAST(max(v) AS DOUBLE) AS max_value,
+        round(CAST(sum(v) AS DOUBLE) / count(v), 6) AS avg_value, CAST(sum(v) AS DECIMAL(38,3)) AS sum_value
+        FROM (SELECT CAST(CAST({c} AS DECIMAL(18,2)) / 10 AS DECIMAL(20,3)) AS v FROM lineitem)"""
+        for c in ("l_tax", "l_discount")
+    )
+)
+def a_numeric_profile_fine(spark: SparkSession, sf: str) -> DataFrame:
+    """Values with three decimals keep them."""
+    line = fx.table(spark, sf, "lineitem").select(
+        *[(F.col(c).cast("decimal(18,2)") / 10).cast("decimal(20,3)").alias(c) for c in ("l_tax", "l_discount")]
+    )
+    return prof.numeric_profile(line, line.columns).withColumn("avg_value", F.round("avg_value", 6))
 
 
 @query(
@@ -82,7 +119,8 @@ def a_null_profile(spark: SparkSession, sf: str) -> DataFrame:
 def a_numeric_profile(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["l_quantity", "l_extendedprice", "l_tax"]
     line = fx.table(spark, sf, "lineitem").select(*columns)
-    return prof.numeric_profile(line, columns).withColumn("avg_value", F.round("avg_value", 4))
+    profiled = prof.numeric_profile(line, columns, "decimal(18,2)")
+    return profiled.withColumn("avg_value", F.round("avg_value", 4))
 
 
 @query(

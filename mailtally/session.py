@@ -50,13 +50,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/mailtally/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write a frame that several sinks read and read it back.
 
     This cuts the lineage in shared storage, so a lost executor costs a re-read and not
     another pass over the message bodies.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder from whatever store it is in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class RunFolder:
+    """Stage frames of one run, removed when the run ends."""
+
+    def __init__(self, spark: SparkSession, name: str = "run") -> None:
+        self.spark, self.path = spark, scratch_path(spark, name)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, path=f"{self.path}/{name}-{uuid.uuid4().hex[:8]}")
+
+    def __enter__(self) -> RunFolder:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        delete_path(self.spark, self.path)

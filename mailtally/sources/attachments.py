@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 
+#: Stands for a quoted line break while the text is cut: two characters of private use.
+BREAK = "\ue000\ue001"
+
+
 def attachments(raw: DataFrame) -> DataFrame:
     """One row per attachment of a landed payload; messages without one keep a null row."""
     exploded = raw.select(F.col("id").alias("message_id"), F.explode_outer("attachments").alias("a"))
@@ -27,18 +31,27 @@ def attachment_files(spark: SparkSession, path: str, glob: str = "*") -> DataFra
 def attachment_csv(
     df: DataFrame, schema: T.StructType, text: str = "text", header: bool = True, sep: str = ","
 ) -> DataFrame:
-    """Delimited text of each row to typed columns, one row per line.
+    """Delimited text of each row to typed columns, one row per record.
 
-    The other columns and the line number stay. A line that does not fit gives nulls.
+    Line breaks inside quotes belong to the value, so a record may span lines: the text is
+    cut only at breaks outside of quotes. The other columns and the record number stay. A record that does not fit gives nulls.
     """
-    lines = F.split(F.col(text), r"\r?\n")
+    # what stands between quotes has an odd place among the parts that quotes separate
+    hidden = F.transform(
+        F.split(F.col(text), '"'),
+        lambda part, i: F.when(i % 2 == 1, F.replace(part, F.lit("\n"), F.lit(BREAK))).otherwise(part),
+    )
+    lines = F.transform(
+        F.split(F.array_join(hidden, '"'), r"\r?\n"),
+        lambda line: F.replace(line, F.lit(BREAK), F.lit("\n")),
+    )
     rest = [c for c in df.columns if c != text]
     numbered = df.select(*rest, F.posexplode(lines).alias("line_number", "_line"))
     wanted = F.col("_line") != ""
     if header:
         wanted = wanted & (F.col("line_number") > 0)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = F.from_csv("_line", ddl, {"sep": sep, "mode": "PERMISSIVE"})
+    parsed = F.from_csv("_line", ddl, {"sep": sep, "mode": "PERMISSIVE", "multiLine": "true", "escape": '"'})
     return numbered.filter(wanted).select(*rest, "line_number", parsed.alias("_row")).select(
         *rest, "line_number", "_row.*"
     )

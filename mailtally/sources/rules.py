@@ -82,10 +82,16 @@ def _rule(order: int, name: str, conf: dict[str, Any]) -> Rule:
     )
     if "amount_source" in conf or "code_source" in conf or strategy in TABLE_STRATEGIES:
         code, amount = conf.get("code_source") or {}, conf.get("amount_source") or {}
+        patterns = (DEFAULT_TABLE_CODE.get(strategy, "請求先コード"), DEFAULT_TABLE_AMOUNT)
+        if strategy == DEFAULT_STRATEGY:  # reads text, whatever tables the rule names
+            patterns = (
+                params.get("code_regex", DEFAULT_CODE_REGEX),
+                params.get("amount_regex", DEFAULT_AMOUNT_REGEX),
+            )
         return Rule(
             **common,
-            code_regex=code.get("target_regex") or DEFAULT_TABLE_CODE.get(strategy, "請求先コード"),
-            amount_regex=amount.get("target_regex") or DEFAULT_TABLE_AMOUNT,
+            code_regex=code.get("target_regex") or patterns[0],
+            amount_regex=amount.get("target_regex") or patterns[1],
             code_table=int(code.get("table_index", 0)),
             amount_table=int(amount.get("table_index", 0)),
         )
@@ -114,7 +120,8 @@ def load_rules(source: str | dict[str, Any], strategies: Iterable[str] | None =
             raise ValueError(f"rule {rule.name}: unknown strategy {rule.strategy!r}")
         for pattern in (rule.subject_regex, rule.code_regex, rule.amount_regex):
             java_pattern(pattern)
-        if not rule.names_tables and has_groups(rule.code_regex):
+        reads_text = rule.strategy == DEFAULT_STRATEGY or not rule.names_tables
+        if reads_text and has_groups(rule.code_regex):
             raise ValueError(f"rule {rule.name}: code_regex must not hold groups, use (?:...)")
     return [r for r in rules if r.subject_regex]
 

@@ -29,15 +29,31 @@ def messages_stream(raw: DataFrame) -> DataFrame:
 def dedup_stream(messages: DataFrame, days: int = LOOK_BACK_DAYS) -> DataFrame:
     """First copy of each message id inside the look-back; older messages are late.
 
-    The state holds one id per message of the look-back and nothing of the body. A message
+    The state holds one id per message of the look-back and nothing of the body. Messages
+    without a time are left to ``untimed``: they would never leave the state. A message
     without an id is told apart by its whole content.
     """
     content = F.sha2(F.to_json(F.struct(*messages.columns)), 256)
     keyed = messages.withColumn("_key", F.coalesce(F.col("id"), content))
-    late = keyed.withWatermark("received_ts", f"{days} days")
+    timed = keyed.filter(F.col("received_ts").isNotNull())
+    late = timed.withWatermark("received_ts", f"{days} days")
     return late.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
+def untimed(messages: DataFrame) -> DataFrame:
+    """Messages without a readable time. No watermark can hold them, so they have a branch of
+    their own, as audit rows; run it next to the intake."""
+    return messages.filter(F.col("received_ts").isNull()).select(
+        F.col("id").alias("message_id"),
+        "conversation_id",
+        "received_at",
+        F.current_timestamp().alias("processed_at"),
+        F.lit("FAILED").alias("status"),
+        F.lit(0).cast("long").alias("rows_extracted"),
+        F.lit("no readable receive time").alias("error_message"),
+    )
+
+
 def append_stream(
     df: DataFrame, path: str, checkpoint: str, trigger: dict[str, Any] | None = None
 ) -> StreamingQuery:

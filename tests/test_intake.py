@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from mailtally.functions.text import DEFAULT_CODE_REGEX
 from mailtally.operators import gates, routing, strategies, templates
 from mailtally.plans import fixtures as fx
-from mailtally.plans.intake import table_intake
+from mailtally.plans.intake import table_intake, template_intake
 from mailtally.schemas import MESSAGE
 from mailtally.sources import attachments, messages as msg
 from mailtally.sources.rules import load_rules, rules_frame, select_rules
@@ -37,61 +37,73 @@ def one(df):
 
 RULES = """
 customers:
-  Aoba:
-    subject_regex: "Aoba|青葉商事"
-    strategy: "key_value_table"
-    merge_keys: ["customer_code", "payment_due_label"]
-    params:
-      code_regex: "請求先コード"
-      amount_regex: "支払額"
-      currency: "JPY"
-      default_label: "3/31 支払額"
-  Momiji:
-    subject_regex: "もみじ|Momiji"
-    params: {code_regex: "コード", amount_regex: "支払額", prefix_code: "79"}
-  Sakura:
-    subject_regex: "S-SPORT|さくら|Sakura Sports.*S-sport"
-    params:
-      customer_name: "ignored"
-      code_regex: "請求先コード"
-      amount_regex: "当月入金額|入金額|支払額|振込額|振込金額"
+  Kita:
+    subject_regex: "^statement k"
+    merge_keys: [customer_code]
+    params: {code_regex: "Ref", amount_regex: "transfer|settled", currency: USD, default_label: none}
+  Nishi:
+    subject_regex: "nishi"
+    params: {code_regex: "Ref", amount_regex: "settled", prefix_code: "N-"}
+  Minami:
+    match: {subject_regex: "minami", sender_email: "desk@minami.example"}
 """
 
 
-def test_labelled_row_among_several_amounts(spark):
-    body = """
-      <p>青葉商事様 2025年11月締め</p>
-      <p>請求先コード: 5510440001</p>
-      <table>
-        <tr><td>11月 総請求金額</td><td>¥98,765,432</td></tr>
-        <tr><td>12/2 入金分</td><td>¥17,000,310</td></tr>
-        <tr><td>12/30 支払額</td><td>¥41,870,225</td><td>(来年3月現金化)</td></tr>
-      </table>"""
-    df = mails(spark, {"subject": "【月次】 青葉商事様 11月締", "html_body": body})
-    r = one(routing.route_first(df, load_rules(RULES)))
-    assert (r.customer_name, r.customer_code, r.payment_amount, r.currency) == (
-        "Aoba", "5510440001", 41870225.0, "JPY",
-    )
-    assert r.email_unique_id == "m0"
-    assert r.payment_due_label == "12/30 支払額 ¥41,870,225 (来年3月現金化)"
-
-
-def test_prefix_rule(spark):
-    body = "<p>コード: 4402118</p><p>3/31 支払額: ¥3,200,500</p>"
-    r = one(routing.route_first(mails(spark, {"subject": "もみじ 5月分", "html_body": body}), load_rules(RULES)))
-    assert (r.customer_code, r.payment_amount) == ("794402118", 3200500.0)
-
-
-def test_greeting_with_similar_word_and_negative_offset(spark):
-    body = """
-      <p>各位</p>
-      <p>経理です。<br>本日お振込いたしました。</p>
-      <p>請求先コード: 5530220003</p>
-      <p>・請求締日: 10月20日<br>・総請求額: ¥12,340,000<br>・相殺控除額: △¥340,000<br>・当月入金額: ¥12,000,000</p>"""
-    df = mails(spark, {"subject": "【ご通知】（S-Sport）10月分", "html_body": body})
-    r = one(routing.route_first(df, load_rules(RULES)))
-    assert (r.customer_name, r.payment_amount) == ("Sakura", 12000000.0)
-    assert "当月入金額" in r.payment_due_label
+def lines(*items):
+    return "".join(f"<div>{x}</div>" for x in items)
+
+
+def routed(spark, subject, body, **more):
+    df = mails(spark, {"subject": subject, "html_body": body, **more})
+    return routing.route_first(df, load_rules(RULES)).collect()
+
+
+def test_only_a_line_with_the_label_counts(spark):
+    body = lines("Ref: Q7001", "gross 9,000", "fee 1,000", "settled 8,000 in May", "balance 7,000")
+    (r,) = routed(spark, "Statement K / May", body)
+    assert (r.customer_name, r.customer_code, r.payment_amount, r.currency) == ("Kita", "Q7001", 8000.0, "USD")
+    assert (r.payment_due_label, r.email_unique_id) == ("settled 8,000 in May", "m0")
+
+
+def test_the_label_may_stand_in_a_table_cell(spark):
+    body = lines("Ref: Q7002") + table(["gross", "$500"], ["transfer", "$450", "net of fee"])
+    (r,) = routed(spark, "statement k", body)
+    assert (r.payment_amount, r.payment_due_label) == (450.0, "transfer $450 net of fee")
+
+
+def test_the_first_label_line_with_an_amount_wins(spark):
+    body = lines("Ref: Q7003", "we transfer as agreed", "deduction: △600", "transfer: 1,400", "settled: 2,000")
+    (r,) = routed(spark, "statement k", body)
+    assert r.payment_amount == 1400.0 and r.payment_due_label.startswith("transfer: 1")
+
+
+def test_amount_on_the_line_below_and_prefix(spark):
+    (r,) = routed(spark, "Nishi", lines("Ref", "4810", "settled", "¥3,300"))
+    assert (r.customer_code, r.payment_amount) == ("N-4810", 3300.0)
+    (r,) = routed(spark, "Nishi", lines("Ref: N-4810", "settled ¥1,000"))
+    assert r.customer_code == "N-4810"  # the prefix is there already
+
+
+def test_sender_of_a_rule(spark):
+    body = lines("Customer ID: Z100", "Total Due: ¥7,000")
+    assert routed(spark, "minami", body) == []
+    (r,) = routed(spark, "minami", body, email_sender="desk@minami.example")
+    assert (r.customer_code, r.payment_amount) == ("Z100", 7000.0)
+
+
+@pytest.mark.parametrize("note", ["¥{}", "￥{}", "{}円", "${}", "€{}", "₩{}"])
+@pytest.mark.parametrize("label", ["settled {}", "settled: {}", "・settled {} (Q2)", "[settled]", "mid-term settled {}"])
+def test_label_and_amount_shapes(spark, note, label):
+    amount = note.format("64,250")
+    body = lines("Ref: ABC-1", *([label, amount] if "{}" not in label else [label.format(amount)]))
+    (r,) = routed(spark, "nishi", body)
+    assert (r.customer_code, r.payment_amount) == ("N-ABC-1", 64250.0)
+
+
+def test_mail_without_code_amount_or_rule(spark):
+    assert routed(spark, "nishi", lines("settled ¥5,000")) == []
+    assert routed(spark, "nishi", lines("Ref: ABC", "settled soon")) == []
+    assert routed(spark, "weather", lines("Ref: ABC", "settled ¥5,000")) == []
 
 
 def test_first_success_all_matches_and_skipped_mail(spark):
@@ -117,8 +129,8 @@ def test_rule_files(spark, tmp_path):
     path.write_text(RULES, encoding="utf-8")
     for source in (RULES, str(path)):
         rules = load_rules(source)
-        assert [r.name for r in rules] == ["Aoba", "Momiji", "Sakura"]
-    assert rules[1].code_regex == "コード" and rules[1].merge_keys == ("customer_code", "payment_due_label")
+        assert [r.name for r in rules] == ["Kita", "Nishi", "Minami"]
+    assert rules[1].code_regex == "Ref" and rules[1].merge_keys == ("customer_code", "payment_due_label")
     assert load_rules({"customers": {"D": {"subject_regex": "x"}}})[0].code_regex == DEFAULT_CODE_REGEX
     assert rules_frame(spark, rules).count() == 3
     for bad in ("just text", 5, {"customers": {"B": {"subject_regex": "x", "strategy": "magic"}}},
@@ -191,37 +203,6 @@ def test_zip_rows_and_columns(spark):
     assert _tables(spark, "zip_columns_across_tables", "<p>no table</p>", amount=amount) == []
 
 
-def test_nine_formats(spark):
-    """One mail per layout: label variants, offsets, bilingual labels, prefix."""
-    cases = [
-        ("fmt1", "<p>請求先コード: 5510440001</p><table><tr><td>3/31 支払額: ¥41,870,225</td></tr></table>", "5510440001", 41870225.0),
-        ("fmt2", "<p>請求先コード: 5520330002</p><p>相殺 ▲¥500,980<br>当月振込額: ¥6,543,210</p>", "5520330002", 6543210.0),
-        ("fmt3", "<p>お振込の件</p><p>請求先コード: 5530220003<br>・当月入金額: ¥12,000,000</p>", "5530220003", 12000000.0),
-        ("fmt4", "<p>請求先コード: 5540110004</p><p>・当月お支払額: ¥7,350,000</p>", "5540110004", 7350000.0),
-        ("fmt5", "<p>請求先コード: 5550990005</p><p>・振込金額: ¥2,615,000</p>", "5550990005", 2615000.0),
-        ("fmt6", "<p>請求先コード: 5560880006</p><p>・当月お支払額: ¥4,512,500</p>", "5560880006", 4512500.0),
-        ("fmt7", "<p>Vendor Code: 5570770007</p><p>・Net Payment: ¥5,260,000</p>", "5570770007", 5260000.0),
-        ("fmt8", "<p>コード: 4402118</p><p>・当月支払額: ¥6,580,000</p>", "794402118", 6580000.0),
-        ("fmt9", "<p>請求先コード: 5580660008</p><p>・当月お支払額: ¥9,116,000</p>", "5580660008", 9116000.0),
-    ]
-    rules = {
-        name: {
-            "subject_regex": f"^{name}$",
-            "params": {
-                "code_regex": "請求先コード|Vendor Code|コード",
-                "amount_regex": "支払額|振込額|入金額|振込金額|Net Payment",
-                **({"prefix_code": "79"} if name == "fmt8" else {}),
-            },
-        }
-        for name, *_ in cases
-    }
-    df = mails(spark, *[{"subject": n, "html_body": b} for n, b, *_ in cases],
-               {"subject": "System alert", "html_body": cases[0][1]})
-    got = {r.customer_name: (r.customer_code, r.payment_amount)
-           for r in routing.route_first(df, load_rules({"customers": rules})).collect()}
-    assert got == {n: (c, a) for n, _, c, a in cases}
-
-
 def test_payloads_and_wrapper(spark, tmp_path):
     payload = {
         "id": "p-77", "subject": "Remittance 77",
@@ -239,19 +220,37 @@ def test_payloads_and_wrapper(spark, tmp_path):
 
 
 def test_metadata_cases(spark):
-    regex = r"(?:再\s*)?(?P<year>\d{4})_(?P<week>\d{1,2}W)_(?P<report_name>[^\s.]+)"
+    regex = r"batch (?P<shop>[a-z]+)-(?P<nr>\d+)"
     df = mails(
         spark,
-        {"subject": "再 2026_31W_取り込み明細.csv", "html_body": ""},
-        {"subject": "2026_31W_取り込み明細.csv", "html_body": ""},
-        {"subject": "see body", "html_body": "<p>2025_1W_x.csv</p>"},
-        {"subject": "none", "html_body": "<p>none</p>"},
+        {"subject": "fwd: batch oslo-17 is ready", "html_body": "<p>batch rome-1</p>"},
+        {"subject": "batch without number", "html_body": "<ul><li>batch lima-4</li></ul>"},
+        {"subject": None, "html_body": "<p>batch bern-9</p>"},
+        {"subject": "none", "html_body": None},
     )
-    got = {r.id: (r.year, r.week, r.report_name) for r in templates.extract_metadata(df, regex).collect()}
-    assert got == {
-        "m0": ("2026", "31W", "取り込み明細"), "m1": ("2026", "31W", "取り込み明細"),
-        "m2": ("2025", "1W", "x"), "m3": (None, None, None),
+    columns = lambda d: {r.id: (r.shop, r.nr) for r in d.collect()}
+    expected = {"m0": ("oslo", "17"), "m1": ("lima", "4"), "m2": ("bern", "9"), "m3": (None, None)}
+    assert columns(templates.extract_metadata(df, regex)) == expected
+    extractors = [("a", "subject_or_body", regex), ("b", "subject", r"(?P<first>^\w+)"), ("c", "body", "(?P<any>batch)")]
+    read = templates.read_once(df, extractors)
+    assert columns(read) == expected
+    assert {r.id: (r.first, r["any"]) for r in read.collect()} == {
+        "m0": ("fwd", "batch"), "m1": ("batch", "batch"), "m2": (None, "batch"), "m3": ("none", None),
     }
+    assert columns(templates.extract_metadata(df, regex, "subject"))["m1"] == (None, None)
+
+
+def test_template_reads_each_body_once(spark, sf, plan):
+    reports = fx.emails_report(fx.table(spark, sf, "events"))
+    template = templates.load_template(TEMPLATE)
+    for rows in template_intake(reports, template):
+        text = plan(rows)
+        assert text.count("ArrowEvalPython") == text.count("FileScan") == 1
+    off = templates.load_template(TEMPLATE.replace("header_row: 0", "header_row: 0\n  enabled: false"))
+    rows, log = template_intake(reports, off)
+    assert rows.count() == log.count() == templates.select_messages(reports, off).count()
+    assert "subject_text" not in rows.columns
+    assert {r.status for r in log.select("status").distinct().collect()} == {"SUCCESS"}
 
 
 TEMPLATE = """
@@ -264,7 +263,7 @@ metadata_extractors:
   - {name: info, source: subject_or_body, regex: '(?P<kind>click|view)'}
 table_extraction:
   header_row: 0
-  column_mapping: {Subject: subject_text, Status: status_text}
+  column_mapping: {Task: subject_text, Hours: status_text}
 sink: {data_table: d, audit_table: a, save_mode: append}
 """
 
@@ -346,16 +345,42 @@ def test_messages_without_an_id_are_kept(spark):
     assert codes == ["ABC", "DEF", "GHI"]
 
 
-@pytest.mark.parametrize("kind", ["kv", "tables"])
-def test_long_rule_lists_give_the_same_records(spark, sf, monkeypatch, kind):
-    orders = fx.table(spark, sf, "orders")
-    build, conf = (fx.emails_kv, fx.KV_RULES) if kind == "kv" else (fx.emails_tables, fx.TABLE_RULES)
-    df, rules = build(orders), load_rules(conf)
-    first, every = routing.route_first(df, rules, True), routing.route_all(df, rules, True)
-    expected = Counter(first.collect()), Counter(every.collect())
-    monkeypatch.setattr(routing, "FEW_RULES", 1)
-    assert Counter(routing.route_first(df, rules, True).collect()) == expected[0]
-    assert Counter(routing.route_all(df, rules, True).collect()) == expected[1]
+def test_one_form_for_every_list_length(spark, sf, plan):
+    """Only constants grow with the list: the extraction is in the plan once."""
+    df = fx.emails_kv(fx.table(spark, sf, "orders"))
+    others = {f"P{i}": {"subject_regex": f"^partner {i} "} for i in range(40)}
+    sizes = []
+    for more in ({}, others):
+        rules = load_rules({"customers": {**more, **fx.KV_RULES["customers"]}})
+        text = plan(routing.route_first(df, rules))
+        sizes.append((text.count("ArrowEvalPython"), text.count("aggregate(")))
+    assert sizes[0] == sizes[1]
+
+
+def test_rules_after_the_first_success_are_not_tried(spark):
+    """Under ANSI a division by zero in a later rule would end the job."""
+
+    def fails(body, rule):
+        return F.when(F.lit(1) / F.size(body_size()) > 0, F.array().cast(strategies.EXTRACTS))
+
+    def body_size():
+        return F.filter(F.array(F.lit(1)), lambda x: x > 1)
+
+    strategies.register_strategy("fails", fails)
+    conf = {"A": {"subject_regex": "."}, "B": {"subject_regex": ".", "strategy": "fails"}}
+    df = mails(spark, {"subject": "s", "html_body": lines("Customer ID: A11", "Total Due: ¥100")})
+    rules = load_rules({"customers": conf})
+    assert [r.customer_name for r in routing.route_first(df, rules).collect()] == ["A"]
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        routing.route_all(df, rules).collect()
+
+
+def test_rule_checks_follow_the_strategy():
+    table_rule = {"subject_regex": "x", "code_source": {"target_regex": "(a)b"}}
+    with pytest.raises(ValueError):
+        load_rules({"customers": {"B": table_rule}})
+    named = {"subject_regex": "x", "code_source": {"table_index": 1}, "params": {"code_regex": "Ref"}}
+    assert load_rules({"customers": {"B": named}})[0].code_regex == "Ref"
 
 
 def test_three_hundred_rules(spark, sf):
