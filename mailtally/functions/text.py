@@ -20,6 +20,7 @@ CODE_TOKEN = r"[A-Za-z0-9\-_]{3,25}"
 LINE_AMOUNT = r"[$€£¥￥₹₩△▲\-]?\s*[\d,]{3,}(?:\.\d+)?|\b\d+(?:\.\d+)?\s*円"
 COLON_AMOUNT = r"[:：]\s*([$€£¥￥₹₩△▲\-]?\s*[\d,]+(?:\.\d+)?|\d+\s*円)"
 SYMBOL_AMOUNT = r"[$€£¥￥₹₩△▲]\s*[\d,]{3,}(?:\.\d+)?"
+AFTER_CODE_LABEL = r"\s*[:：\s]*"
 NOT_AN_AMOUNT_LINE = r"コード|日付|番号|ID|No|締日|明細|様"
 # --- end of fixed values ---
 
@@ -83,9 +84,14 @@ def rlike(value: str, pattern: str) -> str:
     return f"{value} RLIKE {pattern}"
 
 
-def near_code_pattern(pattern: str) -> str:
-    """Java pattern of a label followed by a code."""
-    return java_pattern(rf"(?:{pattern})\s*[:：\s]*({CODE_TOKEN})")
+def near_code_pattern(pattern: str, whole: bool = False) -> str:
+    """Java pattern of a label followed by a code.
+
+    The format takes the first 25 characters of a longer code. With ``whole`` a code that is
+    longer is none, so that two codes with one beginning never become one.
+    """
+    token = rf"({CODE_TOKEN}+)(?![A-Za-z0-9\-_])" if whole else f"({CODE_TOKEN})"
+    return java_pattern(f"(?:{pattern}){AFTER_CODE_LABEL}{token}")
 
 
 def code_sql(text: str, lines: str, near: str, label: str, hit: Hit = rlike) -> str:
@@ -102,9 +108,11 @@ def code_sql(text: str, lines: str, near: str, label: str, hit: Hit = rlike) ->
     return f"coalesce({direct}, get({present(below)}, 0))"
 
 
-def extract_code(text: str, lines: str, pattern: str = DEFAULT_CODE_REGEX) -> Column:
-    """Code near a label; ``text`` and ``lines`` are column names."""
-    near = quote(near_code_pattern(pattern))
+def extract_code(
+    text: str, lines: str, pattern: str = DEFAULT_CODE_REGEX, whole: bool = False
+) -> Column:
+    """Code near a label; ``text`` and ``lines`` are column names, ``whole`` as above."""
+    near = quote(near_code_pattern(pattern, whole))
     return F.expr(code_sql(text, lines, near, _folded(pattern)))
 
 

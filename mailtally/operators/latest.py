@@ -96,7 +96,7 @@ def number_per_key(
 ) -> DataFrame:
     """``row_number`` over a key that may hold a large share of all rows.
 
-    ``slot`` is a coarse value that grows with ``order`` (such as the hour of a time).
+    ``slot`` is a coarse value that grows with ``order`` (such as the minute of a time).
     Rows are numbered inside (key, slot) and shifted by the rows of the earlier slots,
     which come from an aggregate with one row per key and slot.
     """
@@ -138,5 +138,5 @@ def version_resends(
         df,
         keys,
         [F.col(received).asc(), F.col(tie).asc()],
-        F.date_trunc("hour", received) if slot is None else slot,
+        F.date_trunc("minute", received) if slot is None else slot,
     )

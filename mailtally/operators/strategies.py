@@ -68,7 +68,7 @@ class RuleSql:
 def literals(rule: Rule) -> RuleSql:
     """A rule as literals: patterns are compiled once per task."""
     # A code pattern of a table rule may hold groups of its own, which the text search refuses.
-    near = "" if has_groups(rule.code_regex) else near_code_pattern(rule.code_regex)
+    near = "" if has_groups(rule.code_regex) else near_code_pattern(rule.code_regex, rule.whole_code)
     return RuleSql(
         name=quote(rule.name),
         near_code=quote(near),

@@ -222,18 +222,18 @@ def t_table_records(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""
-WITH {TABLES} SELECT id, count(*) AS records, sum(payment_amount) AS amount
-FROM tabrec JOIN (SELECT DISTINCT id AS mid, id FROM tb0) m ON m.mid = email_unique_id
-WHERE layout = 2 GROUP BY id
+WITH {TABLES} SELECT tb0.id, count(email_unique_id) AS records, coalesce(sum(payment_amount), 0.0) AS amount
+FROM tb0 LEFT JOIN (SELECT * FROM tabrec WHERE layout = 2) r ON tb0.id = email_unique_id GROUP BY tb0.id
 """
 )
 def t_strategy_column(spark: SparkSession, sf: str) -> DataFrame:
     """A strategy used as a plain column, outside of routing."""
-    mails = table_mails(spark, sf).filter(F.col("subject").startswith("rows"))
-    read = mails.select("id", html.html_tables("html_body").alias("tables"))
+    read = table_mails(spark, sf).select("id", "subject", html.html_tables("html_body").alias("tables"))
     read = read.withColumn("tables", html.drop_spacer_tables(F.col("tables")))
     body = Body(tables="tables")
-    found = read.select("id", apply_strategy(body, table_rules("Rows")[0]).cast(EXTRACTS).alias("r"))
+    rows_rule = apply_strategy(body, table_rules("Rows")[0]).cast(EXTRACTS)
+    wanted = F.when(F.col("subject").startswith("rows"), rows_rule)
+    found = read.select("id", F.coalesce(wanted, F.array().cast(EXTRACTS)).alias("r"))
     total = F.aggregate("r", F.lit(0.0), lambda acc, r: acc + r["payment_amount"])
     return found.select("id", F.size("r").cast("long").alias("records"), total.alias("amount"))
 

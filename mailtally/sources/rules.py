@@ -43,6 +43,11 @@ class Rule:
     default_label: str = DEFAULT_LABEL
     params: dict[str, Any] = field(default_factory=dict, compare=False)
 
+    @property
+    def whole_code(self) -> bool:
+        """Codes longer than the format's 25 characters are none (``params.whole_code``)."""
+        return bool(self.params.get("whole_code", False))
+
     @property
     def names_tables(self) -> bool:
         """The rule says in which tables the code and the amount are."""

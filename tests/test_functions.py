@@ -46,6 +46,15 @@ def test_numeric_input(spark):
     assert [r.a for r in df.select(money.clean_number("v").alias("a")).collect()] == [1.5, None, None]
 
 
+def test_codes_longer_than_the_format(spark):
+    long = "X" * 31
+    body = f"Ref: {long}"
+    assert _code(spark, body, "Ref") == long[:25]
+    df = spark.createDataFrame([(body,), ("Ref: AB-1",)], "text string").withColumn("lines", text.lines_of("text"))
+    got = [r.c for r in df.select(text.extract_code("text", "lines", "Ref", whole=True).alias("c")).collect()]
+    assert got == [None, "AB-1"]
+
+
 def _code(spark, body, pattern=text.DEFAULT_CODE_REGEX):
     df = spark.createDataFrame([(body,)], "text string").withColumn("lines", text.lines_of("text"))
     return df.select(text.extract_code("text", "lines", pattern).alias("c")).first().c

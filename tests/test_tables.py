@@ -335,3 +335,53 @@ def test_last_run_and_producers_of_one(spark, sf):
     lineage = fx.lineage(fx.table(spark, sf, "lineitem"))
     one = observe.producers(lineage, runs, "s_1")
     assert {r.target_table_full_name for r in one.collect()} == {"s_1"}
+
+
+def test_orders_for_display(spark):
+    stale = spark.sql("SELECT * FROM VALUES (1, timestamp '2024-01-02'), (2, null), (3, timestamp '2024-01-01') t(job_id, last_executed_at)")
+    assert [r.job_id for r in observe.stale_order(stale).collect()] == [2, 3, 1]
+    lin = spark.sql("SELECT * FROM VALUES ('a', 'x', date '2024-01-01'), ('b', 'x', date '2024-01-03') t(source_table_full_name, target_table_full_name, event_time)")
+    assert [r.source_table_full_name for r in observe.lineage_order(lin).collect()] == ["b", "a"]
+    rows = spark.sql("SELECT * FROM VALUES ('a', 'k2'), ('b', 'k1'), ('b', 'k0') t(key_col1_value, kpis)")
+    assert [(r.key_col1_value, r.kpis) for r in recon.presentation_order(rows).collect()] == [("b", "k0"), ("b", "k1"), ("a", "k2")]
+
+
+def test_slices_and_unfinished_runs(spark):
+    runs = spark.sql(
+        "SELECT * FROM VALUES (1, 10, timestamp '2024-01-01 00:00', timestamp '2024-01-01 01:00', 'RUNNING', 5L),"
+        " (1, 10, timestamp '2024-01-01 01:00', timestamp '2024-01-01 02:00', 'SUCCEEDED', 9L),"
+        " (1, 11, timestamp '2024-01-02 00:00', null, null, null)"
+        " t(job_id, run_id, period_start_time, period_end_time, result_state, execution_duration)"
+    )
+    lineage = spark.sql(
+        "SELECT 'a' AS source_table_full_name, 'b' AS target_table_full_name, true AS direct_access,"
+        " named_struct('job_info', named_struct('job_id', 1, 'job_run_id', 10)) AS entity_metadata"
+    )
+    (row,) = observe.producers(lineage, runs).collect()
+    assert row.result_state == "SUCCEEDED"
+    extremes = observe.run_extremes(runs).first()
+    assert (extremes.fastest_run_id, extremes.fastest_duration, extremes.slowest_duration) == (10, 5, 9)
+
+
+def test_amounts_that_do_not_fit(spark):
+    from mailtally.operators.enrich import intake_summary, total_amount, unfit_amounts
+
+    df = spark.sql("SELECT 'p' AS customer_name, a AS payment_amount FROM VALUES (1e17D), (1e40D), (2.5D), (null) t(a)")
+    assert float(intake_summary(df).first().total_amount) == 1e17 + 2.5
+    assert df.agg(total_amount(), unfit_amounts()).first()[1] == 1
+
+
+def test_untimed_messages_are_kept_and_told(spark):
+    from mailtally.operators import gates
+    from mailtally.streaming.intake import untimed
+
+    mails = spark.sql("SELECT 'a' AS id, 'c' AS conversation_id, 'bad' AS received_at, CAST(null AS timestamp) AS received_ts")
+    stored = spark.sql("SELECT timestamp '2024-01-01' AS received_ts, 'z' AS email_unique_id")
+    assert gates.after_watermark(mails, stored).count() == 1
+    assert [(r.message_id, r.status) for r in untimed(mails).collect()] == [("a", "FAILED")]
+
+
+def test_partial_days_of_times(spark):
+    hours = spark.sql("SELECT timestamp '2024-01-01' + make_dt_interval(0, id) AS t FROM range(48)")
+    got = recon.partial_days(hours, hours, "t").collect()
+    assert [r.source_rows for r in sorted(got)] == [24, 24]
