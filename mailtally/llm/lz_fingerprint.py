@@ -156,7 +156,7 @@ class _Document:
 
 
 RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+    "doc_id string, n_chars long, edited_sha256 string, fingerprint string, "
     "edited_fingerprint string, near_edited double, near_next double"
 )
 
@@ -171,11 +171,16 @@ def fingerprint(docs: DataFrame, per_range: int = 1000, most_ranges: int = 10_00
         for pdf in batches:
             out = []
             for doc_id, last, text in zip(pdf["doc_id"], pdf["last"], pdf["text"], strict=True):
-                two = _Document(None if pd.isna(doc_id) else int(doc_id), text)
+                two = _Document(doc_id, text)
                 if one is not None:
                     out.append(one.before(two))
                 one = None if last else two
-            frame = pd.DataFrame(out, columns=names)
-            yield frame.astype({"doc_id": "Int64", "n_chars": "int64"})
+            yield pd.DataFrame(out, columns=names).astype({"n_chars": "int64"})
 
-    return with_following(docs, per_range, most_ranges).mapInPandas(run, RESULT)
+    # ids travel as text: pandas would turn numbers next to a null into floating ones
+    rows = with_following(docs, per_range, most_ranges)
+    return (
+        rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+        .mapInPandas(run, RESULT)
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
+    )

@@ -108,13 +108,15 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
                         rows.append((i, s, e - s, zlib.crc32(ids[4 * s : 4 * e]), n))
                 at = to
             row, *rest = zip(*rows, strict=True) if rows else [()] * 5
-            ids = pdf["doc_id"].astype("Int64").iloc[list(row)].reset_index(drop=True)
+            ids = pdf["doc_id"].iloc[list(row)].reset_index(drop=True)
             names = ["start", "length", "ids_crc32", "doc_tokens"]
             yield pd.DataFrame({"doc_id": ids} | dict(zip(names, rest, strict=True)))
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
-        cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    )
+    # ids travel as text: pandas would turn numbers next to a null into floating ones
+    texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInPandas(
+        cut, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
+    ).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def price(weights: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -264,8 +266,11 @@ def pack(
         .withColumn("rank", F.col("ahead") + F.col("place"))
     )
     kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    placed = ranked.select(*kept, "units", "rank").mapInPandas(
-        hand_out, ", ".join(f"{c} long" for c in [*kept, "sequence_id"])
+    others = ", ".join(f"{c} long" for c in [*kept[1:], "sequence_id"])
+    placed = (
+        ranked.select(F.col("doc_id").cast("string"), *kept[1:], "units", "rank")
+        .mapInPandas(hand_out, f"doc_id string, {others}")
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
     )
     along = (
         Window.partitionBy("sequence_id")

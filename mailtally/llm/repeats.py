@@ -100,10 +100,6 @@ def chunks(pdf: pd.DataFrame, size: int = CHUNK) -> Iterator[pd.DataFrame]:
         at = to
 
 
-def doc_ids(pdf: pd.DataFrame) -> np.ndarray:
-    return pdf["doc_id"].astype("Int64").fillna(LAST_ID).to_numpy(np.int64)
-
-
 def later(groups: list[np.ndarray], ids: np.ndarray, place: np.ndarray, within: bool):
     """(order, later, new): entries sorted by group, id and place, which of them have an
     earlier one in their group, and where groups begin.
@@ -138,7 +134,7 @@ class Repeats:
                 rows = []
                 for part in chunks(pdf):
                     found = find(out_of(part["text"].tolist()), self.length, self.seed)
-                    ids, keys = doc_ids(part)[found.doc], part["key"].to_numpy()[found.doc]
+                    ids, keys = part["doc_id"].to_numpy()[found.doc], part["key"].to_numpy()[found.doc]
                     span = (found.last - found.first).astype("u1")
                     order, after, _ = later([found.seed, found.context], ids, found.first, self.within)
                     done, open_ = order[after], order[~after]
@@ -298,7 +294,10 @@ class Repeats:
         string columns ``carry`` as they were."""
         text = F.coalesce("text", F.lit(""))
         carried = [F.col(c).alias(f"carried_{i}") for i, c in enumerate(carry)]
-        every = docs.select("doc_id", text.alias("text"), *carried).withColumn(
+        # null ids are numbers in the jobs: pandas would turn others into floating ones
+        rank = F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id")
+        no_id = F.isnull("doc_id").alias("no_id")
+        every = docs.select(rank, text.alias("text"), no_id, *carried).withColumn(
             "key", F.xxhash64("doc_id", "text")
         )
         rows = every.select("doc_id", "text", "key")
@@ -329,13 +328,15 @@ class Repeats:
         settled = found.where("kind = 'settled'").select("shard", "blob").union(
             answers.select("shard", "blob")
         )
-        names = {"doc_id": "long", **schema, **{f"carried_{i}": "string" for i in range(len(carry))}}
+        names = {"doc_id": "long", "no_id": "boolean", **schema, **{f"carried_{i}": "string" for i in range(len(carry))}}
         result = ", ".join(f"{k} {v}" for k, v in names.items())
         again = every.withColumn("shard", shard.cast("int"))
         return (
             again.groupBy("shard")
             .cogroup(settled.groupBy("shard"))
             .applyInPandas(self.cut(finish, list(names)), result)
+            .withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id")))
+            .drop("no_id")
             .withColumnsRenamed({f"carried_{i}": c for i, c in enumerate(carry)})
         )
 

@@ -36,6 +36,7 @@ def cases():
     rows += [(20 + i, texts[1], None, "s2", None) for i in range(3)]  # exact copies
     rows += [(30, texts[1] + " end", "en", "s1", 1), (30, texts[1] + " end", "en", "s1", 1)]
     rows += [(None, texts[2], "en", "s1", 0), (None, None, None, None, None)]
+    rows += [((1 << 60) + 1, texts[15] + " z", "en", "s1", 0)]  # no floating number holds this id
     return rows
 
 
