@@ -303,8 +303,8 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""
-WITH {RUNS} SELECT workspace_id, job_id, max(period_start_time) AS last_executed_at FROM runs
-WHERE run_type = 'JOB_RUN' GROUP BY ALL
+WITH {RUNS} SELECT workspace_id, job_id, period_start_time AS last_executed_at FROM runs WHERE run_type = 'JOB_RUN'
+QUALIFY row_number() OVER (PARTITION BY workspace_id, job_id ORDER BY period_start_time DESC) = 1
 """
 )
 def a_last_seen(spark: SparkSession, sf: str) -> DataFrame:
@@ -394,10 +394,12 @@ def a_heavy_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""
-WITH {RUNS}, {SCD2}, seen AS (SELECT workspace_id, job_id, max(period_start_time) AS last_executed_at FROM runs WHERE run_type = 'JOB_RUN' GROUP BY ALL)
-SELECT workspace_id, job_id, name, change_time AS last_modified_at, last_executed_at, tags
-FROM cur LEFT JOIN seen USING (workspace_id, job_id)
-WHERE last_executed_at IS NULL OR last_executed_at <= DATE '2024-02-28' - INTERVAL 30 DAYS
+WITH {RUNS}, {SCD2}, own AS (SELECT * FROM runs WHERE run_type = 'JOB_RUN')
+SELECT workspace_id, job_id, name, change_time AS last_modified_at, tags,
+       (SELECT arg_max(period_start_time, period_start_time) FROM own
+        WHERE own.job_id = cur.job_id AND own.workspace_id = cur.workspace_id) AS last_executed_at
+FROM cur WHERE NOT EXISTS (SELECT 1 FROM own WHERE own.job_id = cur.job_id
+                           AND own.workspace_id = cur.workspace_id AND period_start_time > TIMESTAMP '2024-01-29 00:00:00')
 """
 )
 def j_stale_jobs(spark: SparkSession, sf: str) -> DataFrame:
