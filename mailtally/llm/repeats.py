@@ -38,7 +38,7 @@ from mailtally.llm import anchors
 from mailtally.llm.anchors import Tokens
 from mailtally.llm.common import stage
 
-CHUNK, SHARD = 1_500_000, 6_000_000  # bytes of text worked on at a time; dealt to one shard
+CHUNK, SHARD = 1_000_000, 6_000_000  # bytes of text worked on at a time; dealt to one shard
 SAMPLE, HOT, MOST_HOT = 64, 16, 50_000
 LAST_ID = np.iinfo(np.int64).max  # stands for a null id: after all others
 
