@@ -16,7 +16,7 @@ from mailtally.sources.rules import load_rules
 
 
 def table_mails(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.emails_tables(fx.table(spark, sf, "orders"))
+    return fx.emails_tables(fx.dealt(fx.table(spark, sf, "orders")))
 
 
 def table_rules(*names: str) -> list:
@@ -38,7 +38,7 @@ SELECT page_id, array_to_string(ls, chr(10)) AS body_text, CAST(len(ls) AS BIGIN
 """
 )
 def t_html_text(spark: SparkSession, sf: str) -> DataFrame:
-    pages = fx.table(spark, sf, "pages").select("page_id", "html")
+    pages = fx.dealt(fx.table(spark, sf, "pages").select("page_id", "html"))
     read = pages.select("page_id", html.html_to_text("html").alias("t"))
     single = F.regexp_replace("t", " +", " ")
     lines = F.size(text.lines_of(F.col("t"))).cast("long")
@@ -244,7 +244,7 @@ META_REGEX = r"(?P<report_name>report\w+), year (?P<year>\d{4}), week (?P<week>\
 
 
 def meta(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.emails_meta(fx.table(spark, sf, "orders"))
+    return fx.emails_meta(fx.dealt(fx.table(spark, sf, "orders")))
 
 
 @query(f"WITH {META} SELECT id, year, week, report_name FROM meta")
@@ -262,7 +262,7 @@ MAPPING = {
 
 
 def report_tables(spark: SparkSession, sf: str) -> DataFrame:
-    return templates.with_tables(fx.emails_report(fx.table(spark, sf, "events")))
+    return templates.with_tables(fx.emails_report(fx.dealt(fx.table(spark, sf, "events"))))
 
 
 def report_rows(spark: SparkSession, sf: str) -> DataFrame:

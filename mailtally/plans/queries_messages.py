@@ -24,7 +24,7 @@ RECORD = [c.strip() for c in RECORD_COLUMNS.split(",")]
 
 
 def kv(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.emails_kv(fx.table(spark, sf, "orders"))
+    return fx.emails_kv(fx.dealt(fx.table(spark, sf, "orders")))
 
 
 def kv_rules() -> list:
@@ -419,7 +419,7 @@ WHERE layout IN (1, 2) GROUP BY 1
 """
 )
 def f_totals(spark: SparkSession, sf: str) -> DataFrame:
-    mails = fx.emails_tables(fx.table(spark, sf, "orders"))
+    mails = fx.emails_tables(fx.dealt(fx.table(spark, sf, "orders")))
     rules = [r for r in load_rules(fx.TABLE_RULES) if r.name in ("Headers", "Rows")]
     records = route_all(mails, rules, drop_spacers=True)
     total = F.count_if(F.col("customer_code").isin("合計", "79合計", "-")).cast("int")

@@ -165,7 +165,7 @@ def k_template(spark: SparkSession, sf: str) -> DataFrame:
     """A declared intake, saved to its data and audit tables and read back."""
     names = {"data_table": fresh_table("data"), "audit_table": fresh_table("log")}
     template = load_template({**TEMPLATE, "sink": names})
-    reports = fx.emails_report(fx.table(spark, sf, "events"))
+    reports = fx.emails_report(fx.dealt(fx.table(spark, sf, "events")))
     rows, log = template_intake(reports, template, {"amount": "decimal(18,2)"}, fx.AS_OF_EVENTS)
     save_template_intake(rows, log, template, as_of=fx.AS_OF_EVENTS)
     return spark.table(template.data_table).select(
