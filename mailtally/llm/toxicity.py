@@ -118,13 +118,17 @@ def fit_texts(
     if len(set(y.tolist())) < 2 or not any(t.split() for t in texts):
         return Model(bits, span, np.zeros((1 << bits, width)), softmax, start)
     keep = [i for i, t in enumerate(texts) if t.split()]
-    split = [texts[i].split() for i in keep]
     y = y[keep].astype(np.float64)
     ids: dict[str, int] = {}
-    tokens = np.array([ids.setdefault(w, len(ids)) for w in chain.from_iterable(split)])
-    gram, owner = grams(list(ids), bits)
+    # words as numbers, text by text: only distinct ones are held as strings
+    number = [
+        np.array([ids.setdefault(w, len(ids)) for w in texts[i].split()], np.int32) for i in keep
+    ]
+    sizes = np.array([len(x) for x in number])
+    tokens = np.concatenate(number)
+    del number
+    gram, owner = (x.astype(np.int32) for x in grams(list(ids), bits))
     n_grams = np.bincount(owner, minlength=len(ids))
-    sizes = np.array([len(x) for x in split])
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     seg_at = np.concatenate([np.arange(b, b + n, span) for b, n in zip(begins, sizes, strict=True)])
     seg_n = np.diff(np.append(seg_at, len(tokens)))
