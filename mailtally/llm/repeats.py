@@ -174,7 +174,9 @@ class Repeats:
             anchor_new = np.diff(seed[order].astype(np.int64), prepend=-1) != 0
             number = np.cumsum(anchor_new) - 1
             contexts = np.bincount(number, new) if len(number) else np.zeros(0)
-            asked = new & ((contexts[number] > 1) | (seed[order] & 1 == 1))
+            # every entry that is not settled, not only the first one of its context: others
+            # of the same document, or of rows that share its id, have windows of their own
+            asked = ~after & ((contexts[number] > 1) | (seed[order] & 1 == 1))
             for kind, at in (("settled", order[after]), ("asked", order[asked])):
                 to = (keys[at].view("u8") % np.uint64(shards)).astype(np.int64)
                 rows += [(kind, s, b) for s, b in split_blobs(to, ids[at], keys[at], first[at], span[at])]

@@ -128,3 +128,35 @@ def test_digest_columns(spark, sf):
         r = got[doc_id]
         assert (r.n_words, r.n_removed) == (n, gone)
         assert r.kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def contexts_again():
+    """Passages that repeat with equal surroundings where an earlier document has other ones,
+    and rows of one id with unlike texts."""
+    rng = random.Random(9)
+    text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(n))
+    rows = []
+    for i in range(8):
+        p, line, own = text(12 + 3 * i), text(14 + i), [text(25) for _ in range(5)]
+        around = f"{own[0]} {p} {own[1]}"
+        rows += [
+            (10 * i + 1, f"{text(40)} {p} {text(40)} {line} {text(9)}"),
+            (10 * i + 2, f"{around} {text(30)} {around}"),
+            (10 * i + 3, "\n".join([f"{own[2]} {line} {own[3]}"] * 4)),
+            (10 * i + 4, f"{around} {text(20)}"),
+            (10 * i + 5, f"{own[4]} {p} {own[2]} {text(30)}"),
+            (10 * i + 5, f"{own[4]} {p} {own[2]} {text(31)}"),
+        ]
+    return rows
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_repeated_contexts_of_one_document(spark, monkeypatch, apart):
+    if apart:
+        monkeypatch.setattr(repeats.Repeats, "mark", _tiny(repeats.Repeats.mark))
+    rows = contexts_again()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs, 50).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == by_bytes(rows, 50)
+    got = substring_dedup.remove_repeats(docs, 10).collect()
+    assert Counter(tuple(r) for r in got) == by_words(rows, 10)
