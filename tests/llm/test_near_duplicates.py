@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from mailtally.llm import embedding_dedup, simhash
+import corpus_pipeline
+from mailtally.llm import embedding_dedup, shingle_sets, simhash
 from mailtally.llm.components import components
 
 
@@ -136,3 +137,41 @@ def test_empty(spark, empty):
     assert simhash.near_duplicates(empty).collect() == []
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(none).collect() == []
+
+
+def near_copies():
+    """Texts with copies of every similarity around 0.8, and a line that many documents hold."""
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, rows = text(12), []
+    for g in range(12):
+        base = text(rng.choice([30, 100, 300]))
+        for changes in (0, 1, 1, 2, 3, 4, 6, 8):
+            copy = list(base)
+            for at in rng.sample(range(len(base)), changes * len(base) // 100 + (changes > 0)):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            rows.append(" ".join((line if g % 2 else []) + copy))
+    big = text(60)
+    for _ in range(60):
+        at = rng.randrange(60)
+        rows.append(" ".join([*big[:at], f"y{rng.randrange(10**6)}", *big[at + 1 :]]))
+    rows += ["", None, " ", "a b", "A  B", "a b c"]
+    return [(i, t, "en", "s", 1) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("hot", [8, 1])
+def test_pipeline_finds_near_copies_at_the_cut(spark, monkeypatch, hot):
+    monkeypatch.setattr(shingle_sets, "HOT", hot)
+    monkeypatch.setattr(shingle_sets, "SAMPLE", 8 if hot > 1 else 1)
+    rows = near_copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    sets = []
+    for r in rows:
+        words = (r[1] or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    alike = [[len(a & b) >= 0.8 * len(a | b) for b in sets] for a in sets]
+    root = closure(len(rows), lambda i, j: alike[i][j])
+    got = {r.doc_id: r.component_id for r in shingle_sets.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(root))
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
