@@ -175,3 +175,17 @@ def test_pipeline_finds_near_copies_at_the_cut(spark, monkeypatch, hot):
     assert got == dict(enumerate(root))
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(None, a), (1, b), (None, b), (None, b), (2, c), (2, c), (2, d), (None, None), (None, "")]
+    docs = spark.createDataFrame(
+        [(i, t, "en", None, n) for n, (i, t) in enumerate(rows)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    got = sorted((str(r.doc_id), r.text or "") for r in kept)
+    assert got == sorted([("None", a), ("1", b), ("2", c), ("2", d), ("None", "")])
