@@ -43,10 +43,12 @@ def parts(text: str) -> list[str]:
 
     Blanks and line ends separate tokens. So does the border between a letter or digit and a
     comma or point with a blank behind it. The tokenizer lowers letters one by one, as
-    ``lower`` does but for two letters.
+    ``lower`` does but for two letters. It looks for its marks, as ``<|endoftext|>``, before
+    that, so texts that may hold one keep their letters.
     """
     if "\u03a3" not in text and "\u0130" not in text:
-        text = text.lower()
+        if "<|" not in text:
+            text = text.lower()
         if not SIGNS.search(text):
             for sign in ",.":
                 text = text.replace(f"{sign} ", f" {sign} ").replace(f"{sign}\n", f" {sign} ")

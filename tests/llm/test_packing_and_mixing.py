@@ -66,6 +66,13 @@ def test_encoder_cuts_where_tokens_end(monkeypatch):
     assert [encoder([t])[0] for t in texts] == want
 
 
+def test_encoder_leaves_marks_of_other_case_alone():
+    texts = ["a <|ENDOFTEXT|> b", "<|StartOfText|>, B. <|startoftext|> C", "A <| B, C.\nD", "X<|EndOfText|>y"]
+    want = [x[:-1].tobytes() for x in true_ids(texts)]
+    assert packing.Encoder(word_tokenizer())(texts) == want
+    assert packing.Encoder(word_tokenizer())([t.lower() for t in texts]) != want
+
+
 def test_column_generation_reaches_the_optimum():
     weights, counts = np.array([3, 4, 5, 7]), np.array([9, 7, 6, 5])
     plan = packing.cutting_stock(weights, counts, 10, 500)
