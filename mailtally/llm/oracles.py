@@ -163,9 +163,104 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BI
 FROM docs LEFT JOIN found USING (doc_id)
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: (t): the 256 steps of a crc32, from its polynomial.
+CRC_TABLE = """crc AS (
+    SELECT list(c ORDER BY n) AS t FROM (
+        SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k:
+            CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) r(n))
+)"""
+
+
+def crc32(text: str) -> str:
+    """SQL for the crc32 of a text's UTF-8 bytes, with ``CRC_TABLE`` beside it."""
+    h = f"hex(encode({text}))"
+    steps = f"list_transform(range(length({h}) // 2), lambda i: CAST('0x' || {h}[2 * i + 1 : 2 * i + 2] AS BIGINT))"
+    return (
+        f"xor(4294967295, list_reduce(list_prepend(4294967295, {steps}),"
+        f" lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"
+    )
+
+
+def _merkle(levels: int = 12) -> str:
+    """Trees of runs of 16, upwards: ``levels`` of them are written out."""
+
+    def field(x: str) -> str:
+        x = f"CAST({x} AS VARCHAR)"
+        return f"coalesce(octet_length(encode({x})) || ':' || {x}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def grown(name: str) -> str:
+        """Levels above ``name``0 (tree, pos, digest); a tree that has one node stays as it is."""
+        out = []
+        for k in range(1, levels + 1):
+            out.append(f"""{name}{k} AS (
+    SELECT tree, run AS pos, CASE WHEN any_value(n) = 1 THEN any_value(digest)
+        ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+    FROM (SELECT *, pos // 16 AS run, count(*) OVER (PARTITION BY tree) AS n FROM {name}{k - 1})
+    GROUP BY tree, run
+)""")
+        return ",\n".join(out)
+
+    def beside(name: str) -> str:
+        """(tree, pos, lefts, rights): a node's siblings on its way up, a text for each level."""
+        out = [f"{name}p0 AS (SELECT tree, pos, pos AS now, [] :: VARCHAR[] AS l, [] :: VARCHAR[] AS r FROM {name}0)"]
+        for k in range(1, levels + 1):
+            out.append(f"""{name}p{k} AS (
+    SELECT p.tree, p.pos, p.now // 16 AS now,
+        CASE WHEN n = 1 THEN l ELSE list_append(l, left_) END AS l,
+        CASE WHEN n = 1 THEN r ELSE list_append(r, right_) END AS r
+    FROM {name}p{k - 1} p JOIN (
+        SELECT tree, pos, count(*) OVER (PARTITION BY tree) AS n,
+            coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS left_,
+            coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS right_
+        FROM {name}{k - 1} WINDOW run AS (PARTITION BY tree, pos // 16 ORDER BY pos)
+    ) s ON s.tree = p.tree AND s.pos = p.now
+)""")
+        return ",\n".join(out)
+
+    small = f"translate(text, '{UPPER}', '{LOWER}')"
+    return f"""
+WITH {CRC_TABLE},
+leaves AS (
+    SELECT doc_id, source, {leaf("text")} AS leaf,
+        CASE WHEN {crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {leaf(small)} ELSE {leaf("text")} END AS claim,
+        dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos
+    FROM documents, crc
+),
+low0 AS (SELECT tree, pos, leaf AS digest FROM leaves),
+{grown("low")},
+top0 AS (SELECT 0 AS tree, tree AS pos, digest FROM low{levels}),
+{grown("top")},
+{beside("low")},
+{beside("top")},
+paths AS (
+    SELECT d.doc_id, d.leaf, d.claim, s.digest AS subroot, t.digest AS root,
+        list_concat(a.l, b.l) AS l, list_concat(a.r, b.r) AS r
+    FROM leaves d JOIN lowp{levels} a ON a.tree = d.tree AND a.pos = d.pos
+    JOIN topp{levels} b ON b.pos = d.tree
+    JOIN low{levels} s ON s.tree = d.tree CROSS JOIN top{levels} t
+),
+folded AS (
+    SELECT *, list_reduce(list_prepend(claim, list_transform(range(1, len(l) + 1), lambda i: l[i] || '|' || r[i])),
+        lambda node, x: sha256(split_part(x, '|', 1) || node || split_part(x, '|', 2))) AS folded_root
+    FROM paths
+)
+SELECT doc_id, leaf, subroot, root,
+    sha256(array_to_string(list_transform(range(1, len(l) + 1), lambda i: l[i] || r[i]), '')) AS proof_sha256,
+    folded_root, folded_root = root AS verified
+FROM folded
+"""
+
 ORACLES = {
     "op1_suffix_dedup": SUFFIX_DEDUP.strip(),
     "op3_embedding_dedup": EMBEDDING_DEDUP.strip(),
     "op7_licenses": LICENSES.strip(),
     "op10_substring_dedup": SUBSTRING_DEDUP.strip(),
+    "op13_merkle_manifest": _merkle().strip(),
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from mailtally.llm import (
     embedding_dedup,
     licenses,
     lz_fingerprint,
+    merkle,
     mixing,
     packing,
     quality,
@@ -88,6 +91,29 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    small = F.translate("text", ascii_uppercase, ascii_lowercase)
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        merkle.digest(*fields, F.col("text")).alias("leaf"),
+        F.when(changed, merkle.digest(*fields, small)).alias("tampered"),
+    )
+    manifest = merkle.build(rows)
+    root = F.lit(manifest.root)
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return merkle.prove(manifest).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == root)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,5 +127,6 @@ QUERIES = {
         op8_simhash,
         op9_lz_fingerprint,
         op10_substring_dedup,
+        op13_merkle_manifest,
     )
 }
