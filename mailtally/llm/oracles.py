@@ -257,10 +257,63 @@ SELECT doc_id, leaf, subroot, root,
 FROM folded
 """
 
+RESAMPLING = f"""
+WITH {CRC_TABLE},
+texts AS (
+    SELECT 1 AS side, doc_id, text FROM documents UNION ALL SELECT 2, item_id, text FROM benchmark
+),
+split AS (
+    SELECT side, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM texts
+),
+runs AS (
+    SELECT side, doc_id, unnest(list_concat(w, list_transform(range(1, len(w)),
+        lambda i: w[i] || ' ' || w[i + 1]))) AS run
+    FROM split
+),
+named AS (
+    SELECT run, {crc32("run")} % 10000 AS bucket FROM (SELECT DISTINCT run FROM runs), crc
+),
+placed AS (SELECT side, doc_id, bucket FROM runs JOIN named USING (run)),
+hist AS (
+    SELECT bucket, count_if(side = 1) AS s, count_if(side = 2) AS t FROM placed GROUP BY bucket
+),
+totals AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM hist),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (s_all + 10000)
+        / ((s + 1.0::DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain
+    FROM hist, totals
+),
+sums AS (
+    SELECT doc_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(gain) AS BIGINT) AS total
+    FROM placed JOIN gains USING (bucket) WHERE side = 1 GROUP BY doc_id
+),
+scored AS (
+    SELECT doc_id, len(w) AS words, coalesce(n, 0) AS n_features,
+        coalesce(CAST(floor(total / n) AS BIGINT), 0) AS weight,
+        CAST('0x' || sha256('7:' || doc_id)[1:8] AS BIGINT) AS h
+    FROM split LEFT JOIN sums USING (doc_id) WHERE side = 1
+),
+noisy AS (
+    SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score
+    FROM scored
+),
+ordered AS (
+    SELECT *, count_if(words >= 20) OVER () AS n_all,
+        row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS place
+    FROM noisy
+)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN words >= 20 AND place <= 25 * n_all // 100 THEN place END AS rank
+FROM ordered
+"""
+
 ORACLES = {
     "op1_suffix_dedup": SUFFIX_DEDUP.strip(),
     "op3_embedding_dedup": EMBEDDING_DEDUP.strip(),
     "op7_licenses": LICENSES.strip(),
     "op10_substring_dedup": SUBSTRING_DEDUP.strip(),
+    "op11_resampling": RESAMPLING.strip(),
     "op13_merkle_manifest": _merkle().strip(),
 }

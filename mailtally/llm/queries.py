@@ -15,6 +15,7 @@ from mailtally.llm import (
     mixing,
     packing,
     quality,
+    resampling,
     simhash,
     substring_dedup,
     suffix_dedup,
@@ -91,6 +92,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resampling.resample(docs, target)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
     changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -127,6 +133,7 @@ QUERIES = {
         op8_simhash,
         op9_lz_fingerprint,
         op10_substring_dedup,
+        op11_resampling,
         op13_merkle_manifest,
     )
 }
