@@ -20,6 +20,7 @@ from mailtally.llm import (
     substring_dedup,
     suffix_dedup,
     toxicity,
+    url_filter,
 )
 from mailtally.llm.common import held_out, table
 from mailtally.llm.oracles import ORACLES  # noqa: F401
@@ -97,6 +98,20 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(docs, target)
 
 
+#: Verdict, host and path of the rules.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
     changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -134,6 +149,7 @@ QUERIES = {
         op9_lz_fingerprint,
         op10_substring_dedup,
         op11_resampling,
+        op12_url_filter,
         op13_merkle_manifest,
     )
 }
