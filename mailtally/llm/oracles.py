@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from mailtally.llm.licenses import NOTICES, PHRASES
+from mailtally.llm.url_filter import RULES
 
 SUFFIX_DEDUP = """
 WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -309,11 +310,85 @@ SELECT doc_id, n_features, weight, score,
 FROM ordered
 """
 
+
+def _url_filter(rules: list, order: int = 4, strength: float = 4.0, alphabet: int = 256) -> str:
+    longest = sorted(rules, key=lambda r: (-len(r[1] + r[2]), -len(r[1])))
+    fits = [
+        (f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", verdict, h + p)
+        for verdict, h, p in longest
+    ]
+    rule = "CASE " + " ".join(f"WHEN {c} THEN '{name}'" for c, _, name in fits) + " END"
+    decided = "CASE " + " ".join(f"WHEN {c} THEN '{verdict}'" for c, verdict, _ in fits) + " END"
+    n, each = order + 1, range(1, order + 2)
+    marked = f"repeat(chr(2), {order}) || text || chr(3)"
+    places = f"list_transform(range(1, length(text) + 2), lambda i: substr({marked}, i, {n}))"
+    models = [
+        f"""m{k} AS (
+    SELECT gram, (a + {strength} * {"pa" if k > 1 else 1 / alphabet}) / (ca + {strength}) AS pa,
+        (b + {strength} * {"pb" if k > 1 else 1 / alphabet}) / (cb + {strength}) AS pb
+    FROM known {f"JOIN (SELECT gram AS ending, pa, pb FROM m{k - 1}) ON ending = substr(gram, 2)" if k > 1 else ""}
+    WHERE len = {k}
+)"""
+        for k in each
+    ]
+    joins = " ".join(f"LEFT JOIN ratios r{k} ON r{k}.gram = right(win, {k})" for k in each)
+    best = ", ".join(f"r{k}.ratio" for k in reversed(each))
+    return f"""
+WITH parts AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), '{UPPER}', '{LOWER}') AS host,
+        regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+    FROM pages
+),
+listed AS (
+    SELECT row_number() OVER () AS row, *, host || path AS text, {rule} AS rule, {decided} AS decided,
+        md5(host || path)[1:1] IN ('0', '1', '2') AS aside
+    FROM parts
+),
+seen AS (
+    SELECT decided = 'allow' AS good, unnest({places}) AS win FROM listed WHERE decided IS NOT NULL AND NOT aside
+),
+grams AS (
+    SELECT gram, length(gram) AS len, left(gram, length(gram) - 1) AS context,
+        count_if(good) AS a, count_if(NOT good) AS b
+    FROM (SELECT good, right(win, k) AS gram FROM seen, range(1, {n + 1}) t(k)) GROUP BY gram
+),
+contexts AS (SELECT len, context, sum(a) AS ca, sum(b) AS cb FROM grams GROUP BY len, context),
+known AS (
+    SELECT * FROM (SELECT * FROM grams ORDER BY a + b DESC, len, gram LIMIT 100000)
+    JOIN contexts USING (len, context)
+),
+{(","+chr(10)).join(models)},
+ratios AS ({" UNION ALL ".join(f"SELECT gram, ln(pa) - ln(pb) AS ratio FROM m{k}" for k in each)}),
+scores AS (
+    SELECT row, sum(coalesce({best}, 0.0)) / count(*) AS score
+    FROM (SELECT row, unnest({places}) AS win FROM listed) {joins} GROUP BY row
+),
+steps AS (
+    SELECT floor(score * 100) AS step, count_if(decided = 'allow') AS good, count_if(decided = 'block') AS bad
+    FROM listed JOIN scores USING (row) WHERE decided IS NOT NULL AND aside GROUP BY step
+),
+cuts AS (
+    SELECT step, sum(good) OVER () AS goods, sum(bad) OVER () AS bads,
+        coalesce(sum(good) OVER before, 0) AS missed, coalesce(sum(bad) OVER before, 0) AS stopped
+    FROM steps WINDOW before AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+cut AS (
+    SELECT coalesce((SELECT step / 100 FROM cuts WHERE goods > 0 AND bads > 0
+        ORDER BY (goods - missed) * bads + stopped * goods DESC, abs(step), step LIMIT 1), 0) AS cut
+),
+kinds AS (SELECT count(DISTINCT decided) AS n, min(decided) AS sole FROM listed)
+SELECT page_id, host, path, rule, coalesce(decided, CASE WHEN n < 2 THEN coalesce(sole, 'allow')
+    WHEN score >= cut THEN 'allow' ELSE 'block' END) AS verdict
+FROM listed JOIN scores USING (row), cut, kinds
+"""
+
+
 ORACLES = {
     "op1_suffix_dedup": SUFFIX_DEDUP.strip(),
     "op3_embedding_dedup": EMBEDDING_DEDUP.strip(),
     "op7_licenses": LICENSES.strip(),
     "op10_substring_dedup": SUBSTRING_DEDUP.strip(),
     "op11_resampling": RESAMPLING.strip(),
+    "op12_url_filter": _url_filter(RULES).strip(),
     "op13_merkle_manifest": _merkle().strip(),
 }

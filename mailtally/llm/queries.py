@@ -98,18 +98,8 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(docs, target)
 
 
-#: Verdict, host and path of the rules.
-URL_RULES = [
-    ("allow", "org", "/"),
-    ("block", "example.org", "/es/"),
-    ("block", "example.org", "/en/1"),
-    ("allow", "com", "/fr/"),
-    ("block", "com", "/de/"),
-]
-
-
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.RULES).drop("score")
 
 
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
