@@ -17,6 +17,9 @@ COLUMNS = {
     8: "doc_id fingerprint component_id",
     9: "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     10: "doc_id n_words n_removed kept_sha256",
+    11: "doc_id n_features weight score rank",
+    12: "page_id host path rule verdict",
+    13: "doc_id leaf subroot root proof_sha256 folded_root verified",
 }
 
 
