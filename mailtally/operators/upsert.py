@@ -6,24 +6,24 @@ applies it to a table, with the table format's own MERGE where there is one.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mailtally.operators.latest import OWN, latest_per_key, number_null_keys, tie_break
+from mailtally.operators.latest import OWN, comparable, latest_per_key, number_null_keys, tie_break
 from mailtally.operators.sinks import (
     ROW_LEVEL_FORMATS,
     _add_columns,
     stamp,
     table_format,
-    table_location,
 )
-from mailtally.session import RunFolder, delete_path
+from mailtally.operators.versions import NewVersion, properties, set_properties, write_places
+from mailtally.session import RunFolder
 from mailtally.sources.rules import Rule
 
 # --- fixed value ---
 DEFAULT_ZONE = "Asia/Tokyo"
+BUCKET = "_bucket"
 # --- end of fixed values ---
 
 
@@ -108,17 +108,28 @@ def upsert(
     path: str | None = None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    buckets: int = 0,
+    bucket_by: Sequence[str] = (),
 ) -> int:
     """Upsert a batch into a table and return the number of source rows.
 
-    The table is created when missing. Formats with row-level operations run one MERGE.
-    Partitioned files: only partitions that hold a matched row or receive one are read and
-    rewritten. Other files are rewritten to a version folder below the table's own one, and
-    the table is pointed at it; the version before stays for readers, older ones go. So keep
-    large targets partitioned or in a row-level format.
+    The table is created when missing. Formats with row-level operations run one MERGE. Other
+    files are written to a version folder below the table's own one (see ``versions``), and
+    readers keep those of the version before.
+
+    Partitioned tables: only partitions that hold a matched row or receive one are read and
+    written; they are named by literals, so that the scan prunes all others. Where the keys
+    hold the partition columns, the source alone says which ones they are; else the target's
+    key columns are read to find them.
+
+    ``buckets`` makes a table partitioned by a hash of ``bucket_by`` (the keys by default), in a
+    column ``_bucket``: a batch rewrites the buckets that its keys fall in. Rows with a null
+    there match nothing and are spread by a hash of the whole row. The choice is made when
+    the table is created and kept in its properties; later calls need not repeat it. A table
+    without partitions and buckets is rewritten as a whole.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return upsert_all([(keys, df)], table, tz, as_of, guard, path, fmt, partition_by)
+    return upsert_all([(keys, df)], table, tz, as_of, guard, path, fmt, partition_by, buckets, bucket_by)
 
 
 def upsert_all(
@@ -130,10 +141,14 @@ def upsert_all(
     path: str | None = None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    buckets: int = 0,
+    bucket_by: Sequence[str] = (),
 ) -> int:
     """Upsert several (keys, rows), each seeing what the one before left, in one rewrite."""
     if not batches:
         return 0
+    if buckets and partition_by:
+        raise ValueError("a table is either partitioned by columns or by buckets of its keys")
     spark = batches[0][1].sparkSession
     with RunFolder(spark, "upsert") as run:
         sources = [
@@ -145,8 +160,20 @@ def upsert_all(
         if not sources:
             return 0
         if not spark.catalog.tableExists(table):
-            _create(sources[0][1].limit(0), table, path, fmt, partition_by)
+            first_keys, first = sources[0]
+            by = list(bucket_by) or first_keys
+            empty = first.limit(0)
+            if buckets:
+                empty, partition_by = _bucketed(empty, by, buckets), [BUCKET]
+            _create(empty, table, path, fmt, partition_by)
+            if buckets:
+                set_properties(spark, table, buckets=str(buckets), bucket_by=",".join(by))
         found = table_format(spark, table)
+        known = properties(spark, table)
+        by = known["mailtally.bucket_by"].split(",") if "mailtally.bucket_by" in known else []
+        if by:
+            n = int(known["mailtally.buckets"])
+            sources = [(keys, _bucketed(source, by, n)) for keys, source in sources]
         if found in ROW_LEVEL_FORMATS:
             for keys, source in sources:
                 usable = _shared(guard, spark.table(table), source)
@@ -154,10 +181,23 @@ def upsert_all(
             return sum(sizes)
         for _, source in sources:
             _add_columns(spark, table, source.schema)
-        _rewrite(table, found, sources, guard, run)
+        _rewrite(spark, table, found, sources, guard, by)
     return sum(sizes)
 
 
+def _bucketed(df: DataFrame, by: Sequence[str], buckets: int) -> DataFrame:
+    """Rows with their bucket; a null in ``by`` spreads them by a hash of the whole row."""
+    lacking = [c for c in by if c not in df.columns]
+    if lacking:
+        raise ValueError(f"the batch lacks {', '.join(lacking)}, by which the table has its buckets")
+    some_null = F.lit(False)
+    for c in by:
+        some_null = some_null | F.col(c).isNull()
+    row = F.xxhash64(*[comparable(df, c) for c in df.columns])
+    placed = F.pmod(F.xxhash64(*by, F.when(some_null, row)), F.lit(buckets))
+    return df.withColumn(BUCKET, placed.cast("int"))
+
+
 def merge_statement(table: str, source: str, keys: Sequence[str], guard: str | None = None) -> str:
     """MERGE on the composite key; with a guard, older source rows do not overwrite.
 
@@ -182,24 +222,33 @@ def _create(
     writer.saveAsTable(table)
 
 
-# --- fixed value: prefix of version folders; file listings skip names that start so ---
-VERSION = "_version-"
-# --- end of fixed values ---
-
-
 def _rewrite(
-    table: str, fmt: str, sources: list[tuple[list[str], DataFrame]], guard: str | None, run: RunFolder
+    spark: SparkSession,
+    table: str,
+    fmt: str,
+    sources: list[tuple[list[str], DataFrame]],
+    guard: str | None,
+    bucket_by: Sequence[str],
 ) -> None:
-    spark = run.spark
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
     facts = {r.col_name: r.data_type for r in described}
     if facts.get("Num Buckets", "0") not in ("0", "-1"):
         raise ValueError(f"{table} is bucketed: its files cannot be replaced by an upsert")
-    names = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if names:
-        _rewrite_partitions(table, names, sources, guard, run)
-    else:
-        _swap(_merge_all(spark.table(table), sources, guard), table, fmt)
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    target, version = spark.table(table), NewVersion(spark, table)
+    if not parts:
+        version.replaces(target)
+        merged = _merge_all(target, sources, guard).select(*target.columns)
+        merged.write.format(fmt).mode("append").save(version.folder)
+        version.publish_table()
+        return
+    places = touched_places(target, parts, sources, bucket_by)
+    old = target.where(among(parts, places))
+    version.replaces(old)
+    merged = _merge_all(old, sources, guard).select(*target.columns)
+    merged = merged.withColumns({c: as_place(merged, c) for c in parts})
+    write_places(merged, f"{version.folder}", fmt, parts, places)
+    version.publish_places(parts, places)
 
 
 def _merge_all(
@@ -210,69 +259,66 @@ def _merge_all(
     return target
 
 
-def _same(names: Sequence[str], a: str, b: str) -> Column:
-    both = F.lit(True)
-    for c in names:
-        both = both & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
-    return both
+def as_place(df: DataFrame, column: str) -> Column:
+    """A partition value as it is stored: an empty text and null are one place."""
+    text = df.schema[column].dataType.simpleString() == "string"
+    return F.nullif(F.col(column), F.lit("")) if text else F.col(column)
 
 
-def _rewrite_partitions(
-    table: str, parts: list[str], sources: list[tuple[list[str], DataFrame]], guard: str | None, run: RunFolder
-) -> None:
-    """Merge within the partitions that a source row comes from or goes to."""
-    spark, target = run.spark, run.spark.table(table)
-    touched = None
-    for keys, source in sources:
-        known = target.select(*dict.fromkeys([*keys, *parts])).join(
-            source.select(*keys).distinct(), keys, "left_semi"
+def touched_places(
+    target: DataFrame,
+    parts: Sequence[str],
+    sources: Sequence[tuple[Sequence[str], DataFrame]],
+    bucket_by: Sequence[str] = (),
+) -> list[tuple]:
+    """The partitions that a source row may come from or go to, as values of ``parts``.
+
+    A source without some of the columns puts its new rows where those are null. Stored rows
+    are searched for only if keys leave open where they are, and then only below the
+    partition columns that the keys do hold.
+    """
+
+    def given(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        kinds = {c: target.schema[c].dataType for c in columns}
+        return df.select(
+            *[
+                (as_place(df, c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c)
+                for c in columns
+            ]
         )
-        for rows in (known, source) if set(parts) <= set(source.columns) else (known,):
-            places = rows.select(*[F.col(c).cast(target.schema[c].dataType) for c in parts])
-            touched = places if touched is None else touched.union(places)
-    touched = run.keep(touched.distinct(), "touched")
-    old = target.alias("t").join(touched.alias("p"), _same(parts, "t", "p"), "left_semi")
-    merged = run.keep(_merge_all(old, sources, guard).select(*target.columns), "merged")
-    conf = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, "dynamic")
-    try:
-        merged.hint("rebalance", *[F.col(c) for c in parts]).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(conf, before)
-    # partitions that all rows have left; their number is bounded by the catalog's
-    left = touched.alias("p").join(merged.select(*parts).alias("m"), _same(parts, "p", "m"), "left_anti")
-    for row in left.collect():
-        if None not in row:
-            where = ", ".join(f"`{c}` = '{_quoted(v)}'" for c, v in zip(parts, row, strict=True))
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({where})")
-    spark.catalog.refreshTable(table)
-    stored = spark.table(table).alias("t").join(touched.alias("p"), _same(parts, "t", "p"), "left_semi")
-    if stored.count() != merged.count():
-        raise RuntimeError(f"{table}: the rewritten partitions do not hold the merged rows")
-
-
-def _quoted(value: object) -> str:
-    return str(value).replace("\\", "\\\\").replace("'", "\\'")
-
-
-def _swap(merged: DataFrame, table: str, fmt: str) -> None:
-    """Write the rows to a new version folder, point the table at it, drop outdated versions."""
-    spark = merged.sparkSession
-    now = table_location(spark, table)
-    parent, _, last = now.rpartition("/")
-    base, previous = (parent, last) if last.startswith(VERSION) else (now, None)
-    version = f"{VERSION}{uuid.uuid4().hex}"
-    merged.write.format(fmt).save(f"{base}/{version}")
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{base}/{version}'")
-    spark.catalog.refreshTable(table)
-    where = spark._jvm.org.apache.hadoop.fs.Path(base)
-    for entry in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where):
-        name = entry.getPath().getName()
-        # before there were versions, the rows were in the base folder itself
-        first = previous is not None and not name.startswith(("_", "."))
-        if first or name.startswith(VERSION) and name not in (version, previous):
-            delete_path(spark, entry.getPath().toString())
+
+    found = None
+    for keys, source in sources:
+        settled = [
+            c for c in parts if c in keys or (c == BUCKET and bucket_by and set(bucket_by) <= set(keys))
+        ]
+        rows = given(source, parts)
+        if len(settled) < len(parts):
+            below = target
+            if settled:
+                heads = [tuple(r) for r in given(source, settled).distinct().collect()]
+                below = target.where(among(settled, heads))
+            columns = dict.fromkeys([*keys, *parts])
+            same = source.select(*keys).distinct()
+            rows = rows.union(below.select(*columns).join(same, list(keys), "left_semi").select(*parts))
+        found = rows if found is None else found.union(rows)
+    return [tuple(r) for r in found.distinct().collect()]
+
+
+def among(parts: Sequence[str], places: Sequence[tuple]) -> Column:
+    """Literal predicate: the columns have one of the given tuples of values, nulls included."""
+    first, rest = parts[0], parts[1:]
+    if not rest:
+        some = F.col(first).isin([v for (v,) in places if v is not None])
+        return some | F.col(first).isNull() if (None,) in places else some
+    below: dict = {}
+    for value, *others in places:
+        below.setdefault(value, []).append(tuple(others))
+    any_ = F.lit(False)
+    for value, others in below.items():
+        here = F.col(first).isNull() if value is None else F.col(first) == F.lit(value)
+        any_ = any_ | (here & among(rest, others))
+    return any_
 
 
 def key_groups(rules: list[Rule]) -> dict[tuple[str, ...], list[str]]:

@@ -102,6 +102,48 @@ def k_upsert_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table).select(*SAVED_COLUMNS, "year")
 
 
+@query(
+    f"""
+WITH {RECORDS}, e AS (
+  SELECT {SAVED_SQL}, CASE WHEN k % 3 > 0 THEN strftime(ts, '%Y') END AS year FROM rec WHERE ts < TIMESTAMP '{SPLIT}'
+  QUALIFY row_number() OVER (PARTITION BY customer_code, short_label ORDER BY ts DESC, email_unique_id DESC) = 1),
+l AS (
+  SELECT {SAVED_SQL} FROM rec WHERE ts >= TIMESTAMP '{SPLIT}'
+  QUALIFY row_number() OVER (PARTITION BY customer_code, short_label ORDER BY ts DESC, email_unique_id DESC) = 1)
+SELECT customer_code, payment_due_label, coalesce(l.payment_amount, e.payment_amount) AS payment_amount,
+       coalesce(l.email_unique_id, e.email_unique_id) AS email_unique_id, e.year
+FROM e FULL JOIN l USING (customer_code, payment_due_label)
+"""
+)
+def k_upsert_null_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """Some rows have no year. The second batch lacks the column: what it finds keeps its
+    year, what it adds joins the rows without one."""
+    table = fresh_table("null_part")
+    found = records(spark, sf)
+    early = F.col("received_ts") < F.lit(SPLIT).cast("timestamp")
+    number = F.regexp_extract("email_unique_id", r"(\d+)$", 1).cast("long")
+    year = F.when(number % 3 > 0, F.date_format("received_ts", "yyyy"))
+    keys = ["customer_code", "payment_due_label"]
+    upsert.upsert(
+        found.filter(early).withColumn("year", year), table, keys, as_of=AS_OF, partition_by=["year"]
+    )
+    upsert.upsert(found.filter(~early), table, keys, as_of=AS_OF)
+    return spark.table(table).select(*SAVED_COLUMNS, "year")
+
+
+@query(LATEST_SQL)
+def k_upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """A table with buckets of one key column, which two key tuples share."""
+    table = fresh_table("buckets")
+    found = records(spark, sf)
+    early = F.col("received_ts") < F.lit(SPLIT).cast("timestamp")
+    keys, turned = ["customer_code", "payment_due_label"], ["payment_due_label", "customer_code"]
+    first, second = found.filter(early), found.filter(~early)
+    upsert.upsert(first, table, keys, as_of=AS_OF, buckets=16, bucket_by=["customer_code"])
+    upsert.upsert_all([(turned, second), (keys, first)], table, as_of=AS_OF)
+    return spark.table(table).select(*SAVED_COLUMNS)
+
+
 GROUPED = """
 QUALIFY CASE WHEN c % 5 = 1 THEN row_number() OVER (PARTITION BY customer_code ORDER BY ts DESC, email_unique_id DESC)
         ELSE row_number() OVER (PARTITION BY customer_code, short_label ORDER BY ts DESC, email_unique_id DESC) END = 1
@@ -367,6 +409,65 @@ def m_stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table).select(*SAVED_COLUMNS)
 
 
+STREAM_ODD = """
+odd AS (
+  SELECT *, CASE WHEN k % 5 = 0 AND k % 11 > 0 AND k % 17 > 0 THEN 'refused' WHEN k % 19 = 0 THEN 'untimed'
+                 WHEN k % 11 = 0 OR k % 17 = 0 THEN 'unmatched'
+                 WHEN k % 7 = 0 THEN 'empty' WHEN k % 13 = 0 THEN 'undue' ELSE 'fine' END AS case_ FROM kv)
+"""
+
+
+def _odd_stream(spark: SparkSession, sf: str) -> tuple[str, str, str]:
+    """The odd notices through the streaming intake, in batches of 4 files: its tables.
+
+    Some have no subject as payloads, and some are given a time here that cannot be read.
+    """
+    names = [fresh_table(x) for x in ("stream", "stream_audit", "stream_state")]
+    number = F.regexp_extract("id", r"(\d+)$", 1).cast("long")
+    stated = F.when(number % 19 == 0, F.lit("soon")).otherwise(F.col("received_at"))
+    path = landed(spark, odd_mails(spark, sf).withColumn("received_at", stated), "odd-in")
+    flat = standardize(stream_messages(spark, path, max_files=4))
+    run = stream.intake_stream(
+        flat, kv_rules(), *names, scratch_path(spark, "offsets"), as_of=AS_OF, label_mode="normalized"
+    )
+    stream.drain(run)
+    return tuple(names)
+
+
+@query(
+    f"""
+WITH {KV}, {STREAM_ODD}
+SELECT id AS message_id,
+       CASE WHEN case_ IN ('refused', 'untimed') THEN 'FAILED' WHEN case_ = 'fine' THEN 'SUCCESS' ELSE 'NO_TABLE_FOUND' END AS status,
+       CAST(CASE WHEN case_ = 'fine' THEN 1 ELSE 0 END AS BIGINT) AS rows_extracted,
+       CASE case_ WHEN 'refused' THEN 'body could not be parsed' WHEN 'untimed' THEN 'no readable receive time'
+                  WHEN 'unmatched' THEN 'no rule matches' WHEN 'fine' THEN NULL ELSE 'no record in body' END AS error_message
+FROM odd
+"""
+)
+def m_stream_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit log of a stream: one row of each message, whatever batch it came in."""
+    _, log, _ = _odd_stream(spark, sf)
+    return spark.table(log).select("message_id", "status", "rows_extracted", "error_message")
+
+
+@query(
+    f"""
+WITH {KV}, {STREAM_ODD}
+SELECT strftime(max(ts) FILTER (k % 19 <> 0), '%Y-%m-%dT%H:%M:%S.000') AS delta_token,
+       count(*) AS emails_processed, count(*) FILTER (case_ = 'fine') AS records_extracted FROM odd
+"""
+)
+def m_stream_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The state rows of a stream's batches, taken together."""
+    _, _, state = _odd_stream(spark, sf)
+    return spark.table(state).agg(
+        F.max("delta_token").alias("delta_token"),
+        F.sum("emails_processed").alias("emails_processed"),
+        F.sum("records_extracted").alias("records_extracted"),
+    )
+
+
 def _with_keys(rule, keys):
     from dataclasses import replace
 

@@ -6,13 +6,15 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from mailtally.operators import latest, observe, profile, recon, sinks, upsert
+from mailtally.operators import latest, observe, profile, recon, sinks, upsert, versions
 from mailtally.plans import fixtures as fx
 from mailtally.plans.catalog import QUERIES
 from mailtally.plans.intake import scheduled_intake
 from mailtally.plans.queries_messages import kv, kv_rules
 from mailtally.plans.registry import fresh_table
 from mailtally.session import shared_dir
+from mailtally.sources.messages import standardize, stream_messages
+from mailtally.streaming import intake as stream
 
 ROW = "customer_code string, payment_due_label string, payment_amount double, received_ts timestamp, email_unique_id string"
 KEYS = ["customer_code", "payment_due_label"]
@@ -187,6 +189,187 @@ def test_partitions_of_a_table(spark):
     spark.sql(f"DROP TABLE {table}")
 
 
+def keyed(spark, n, p="int(id % 4)"):
+    """Rows with ``n`` keys, as frame for an upsert."""
+    return spark.range(n).selectExpr(
+        "cast(id AS string) AS customer_code", "'x' AS payment_due_label", "1.0D AS payment_amount",
+        f"timestamp '{T1}' AS received_ts", "cast(id AS string) AS email_unique_id", f"{p} AS p",
+    )
+
+
+def files_of(df):
+    return {r.f for r in df.select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def test_rows_without_a_partition_survive(spark):
+    """The batch lacks the partition column, so its new rows join those that have none."""
+    table = fresh_table("t")
+    first = rec(spark, *[(c, "x", 1.0, T1, c) for c in "abcd"])
+    first = first.withColumn("p", F.when(F.col("customer_code") == "a", F.lit("1")))
+    first = first.withColumn("q", F.when(F.col("customer_code") == "b", F.lit("")).otherwise("2"))
+    upsert.upsert(first, table, KEYS, as_of=T1, partition_by=["p", "q"])
+    assert upsert.upsert(rec(spark, ("e", "x", 5.0, T2, "5"), ("a", "x", 6.0, T2, "6")), table, KEYS, as_of=T1) == 2
+    got = {r.customer_code: (r.payment_amount, r.p, r.q) for r in spark.table(table).collect()}
+    assert got == {
+        "a": (6.0, "1", "2"), "b": (1.0, None, None), "c": (1.0, None, "2"), "d": (1.0, None, "2"), "e": (5.0, None, None),
+    }
+    # all rows leave the partition without a value: it goes, and so do its rows
+    moved = first.filter("customer_code in ('b', 'c', 'd')").withColumns({"p": F.lit("9"), "received_ts": F.lit(T3).cast("timestamp")})
+    upsert.upsert(moved, table, KEYS, as_of=T1)
+    places = Counter((r.p, r.q) for r in spark.table(table).collect())
+    assert places == Counter([("1", "2"), (None, None), ("9", None), ("9", "2"), ("9", "2")])
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_only_touched_partitions_are_read(spark, plan):
+    table = fresh_table("t")
+    upsert.upsert(keyed(spark, 40), table, ["customer_code", "p"], as_of=T1, partition_by=["p"])
+    before = {p: files_of(spark.table(table).filter(F.col("p") == p)) for p in range(4)}
+    batch = keyed(spark, 40).filter("p = 2 AND customer_code < '2'").withColumn("payment_amount", F.lit(7.0))
+    places = upsert.touched_places(spark.table(table), ["p"], [(["customer_code", "p"], batch)])
+    assert places == [(2,)]
+    text = plan(spark.table(table).where(upsert.among(["p"], places)))
+    assert "PartitionFilters: [isnotnull(p" in text and "PartitionFilters: []" not in text
+    # the keys say where a row is: no plan of the upsert reads another partition
+    store = spark._jsparkSession.sharedState().statusStore()
+    seen = store.executionsCount()
+    upsert.upsert(batch, table, ["customer_code", "p"], as_of=T1)
+    ran = store.executionsList(seen, 1000)
+    scans = [ran.apply(i).physicalPlanDescription() for i in range(ran.length())]
+    scans = [line for t in scans for line in t.splitlines() if "PartitionFilters" in line]
+    assert scans and all("= 2)" in line or "(p" in line for line in scans)
+    after = {p: files_of(spark.table(table).filter(F.col("p") == p)) for p in range(4)}
+    assert [p for p in range(4) if before[p] != after[p]] == [2]
+    assert spark.table(table).filter("payment_amount = 7").count() == batch.count()
+    assert spark.table(table).count() == 40
+    spark.sql(f"DROP TABLE {table}")
+
+
+@pytest.mark.parametrize("options", [{}, {"partition_by": ["p"]}, {"buckets": 4}])
+def test_what_others_keep_in_the_folder_survives(spark, tmp_path, options):
+    table, home = fresh_table("t"), tmp_path / "home"
+    for i in range(4):
+        batch = keyed(spark, 12).withColumn("payment_amount", F.lit(float(i)))
+        upsert.upsert(batch, table, KEYS, path=str(home), as_of=T1, **options)
+        if i == 0:
+            (home / "other").mkdir()
+            (home / "other" / "note.txt").write_text("kept")
+            (home / "part-of-another-job.txt").write_text("kept")
+        assert Counter(r.payment_amount for r in spark.table(table).collect()) == Counter({float(i): 12})
+    assert (home / "other" / "note.txt").read_text() == "kept"
+    assert (home / "part-of-another-job.txt").exists()
+    # the files of the version before are there for its readers, older ones are gone
+    data = [p for p in home.rglob("part-*.parquet")]
+    now = {f.removeprefix("file:").replace("///", "/") for f in spark.table(table).inputFiles()}
+    assert now <= {str(p) for p in data}
+    assert len(data) <= 2 * max(len(now), 4)
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_readers_keep_the_version_that_they_began_with(spark):
+    table = fresh_table("t")
+    upsert.upsert(keyed(spark, 20), table, KEYS, as_of=T1, buckets=4)
+    before = spark.table(table)
+    before.count()
+    files = before.inputFiles()
+    upsert.upsert(keyed(spark, 20).withColumn("payment_amount", F.lit(2.0)), table, KEYS, as_of=T1)
+    assert spark.read.parquet(*files).agg(F.sum("payment_amount")).first()[0] == 20.0
+    assert spark.table(table).agg(F.sum("payment_amount")).first()[0] == 40.0
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_batch_rewrites_its_buckets_only(spark):
+    """One key in a hundred, in one bucket of a hundred: about one file in a hundred is new."""
+    table = fresh_table("t")
+    rows = keyed(spark, 20_000).withColumn("payment_due_label", (F.col("email_unique_id").cast("int") % 200).cast("string"))
+    upsert.upsert(rows, table, KEYS, as_of=T1, buckets=100, bucket_by=["payment_due_label"])
+    before = files_of(spark.table(table))
+    batch = rows.filter("payment_due_label in ('7', '8')").withColumn("payment_amount", F.lit(3.0))
+    assert upsert.upsert(batch, table, KEYS, as_of=T1) == 200
+    after = files_of(spark.table(table))
+    assert len(after - before) <= 2 and len(before - after) <= 2 and len(before) > 80
+    got = spark.table(table).groupBy("payment_amount").count().collect()
+    assert {r.payment_amount: r["count"] for r in got} == {1.0: 19_800, 3.0: 200}
+    with pytest.raises(ValueError, match="lacks payment_due_label"):
+        upsert.upsert(rows.drop("payment_due_label"), table, ["customer_code"], as_of=T1)
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_null_keys_are_spread_over_buckets(spark):
+    table = fresh_table("t")
+    rows = keyed(spark, 2_000).withColumn("customer_code", F.lit(None).cast("string"))
+    upsert.upsert(rows, table, KEYS, as_of=T1, buckets=8)
+    sizes = [r["count"] for r in spark.table(table).groupBy("_bucket").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 400
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_keys_that_leave_the_bucket_open(spark):
+    """The key alone does not tell the bucket, so stored keys are searched; a row may move."""
+    table = fresh_table("t")
+    upsert.upsert(keyed(spark, 50), table, KEYS, as_of=T1, buckets=8, bucket_by=["customer_code", "payment_due_label"])
+    moved = keyed(spark, 50).filter("customer_code < '3'").withColumn("payment_due_label", F.lit("y"))
+    upsert.upsert(moved, table, "customer_code", as_of=T1)
+    got = Counter(r.payment_due_label for r in spark.table(table).collect())
+    assert got == Counter({"y": moved.count(), "x": 50 - moved.count()})
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_second_writer_is_refused(spark):
+    table = fresh_table("t")
+    upsert.upsert(keyed(spark, 5), table, KEYS, as_of=T1)
+    late = versions.NewVersion(spark, table)
+    upsert.upsert(keyed(spark, 6), table, KEYS, as_of=T1)
+    late.replaces(spark.table(table))
+    with pytest.raises(RuntimeError, match="another writer"):
+        late.publish_table()
+    assert spark.table(table).count() == 6
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_row_without_a_place_fails_the_write(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", None)], "k string, p int")
+    with pytest.raises(Exception, match="partition that was not read"):
+        versions.write_places(rows, str(tmp_path / "v"), "parquet", ["p"], [(1,)])
+
+
+def test_replayed_batches_add_nothing(spark, sf, tmp_path):
+    """The last micro-batch's commit is lost, once before and once after its state row."""
+    names = [fresh_table(x) for x in ("s", "log", "state")]
+    path, offsets = str(tmp_path / "in"), tmp_path / "offsets"
+    fx.payloads(kv(spark, sf)).repartition(6).write.json(path)
+
+    def run():
+        flat = standardize(stream_messages(spark, path, max_files=2))
+        stream.drain(stream.intake_stream(flat, kv_rules(), *names, str(offsets), as_of=T1, label_mode="normalized"))
+
+    def rows():
+        for t in names:
+            spark.catalog.refreshTable(t)  # the stream has a session of its own
+        return [Counter(map(tuple, spark.table(t).drop("_bucket").collect())) for t in names]
+
+    run()
+    done = rows()
+    commits = {int(p.name): p for p in (offsets / "commits").glob("[0-9]*")}
+    assert len(commits) >= 3
+    last = max(commits)
+
+    def lose_commit():
+        commits[last].unlink()
+        commits[last].with_name(f".{last}.crc").unlink(missing_ok=True)
+
+    lose_commit()
+    run()
+    assert rows() == done
+    lose_commit()
+    name = spark.table(names[2]).first()["query"]
+    spark.sql(f"ALTER TABLE {names[2]} DROP PARTITION (query = '{name}', batch = {last})")
+    run()
+    assert rows() == done
+    for table in names:
+        spark.sql(f"DROP TABLE {table}")
+
+
 def test_bucketed_tables_are_refused(spark):
     table = fresh_table("t")
     batch = sinks.stamp(rec(spark, ("a", "x", 1.0, T1, "1")), as_of=T1)
