@@ -24,6 +24,7 @@ import re
 import zlib
 from collections import Counter
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,11 @@ from mailtally.llm.common import stage
 
 #: The memo of encoded words is dropped when it holds so many; it never changes an id.
 MEMO = 500_000
-#: Signs before a comma or point that the tokenizer may take together with it.
-SIGNS = re.compile(r"(?:[^\w\s]|_)[,.][ \n]")
+#: A comma or point that the tokenizer may take together with the sign before it: anything but
+#: a letter, a digit, a blank.
+SIGNS = re.compile(r"[,.](?<=[^\w ][,.]|_[,.]) ")
+#: Parts are encoded so many at a time, with a sign between them that is a token of its own.
+JOINED, MARK = 5_000, "\x01"
 
 
 def parts(text: str) -> list[str]:
@@ -46,13 +50,13 @@ def parts(text: str) -> list[str]:
     ``lower`` does but for two letters. It looks for its marks, as ``<|endoftext|>``, before
     that, so texts that may hold one keep their letters.
     """
+    text = text.replace("\n", " ")
     if "\u03a3" not in text and "\u0130" not in text:
         if "<|" not in text:
             text = text.lower()
         if not SIGNS.search(text):
-            for sign in ",.":
-                text = text.replace(f"{sign} ", f" {sign} ").replace(f"{sign}\n", f" {sign} ")
-    return text.replace("\n", " ").split(" ")
+            text = text.replace(", ", " , ").replace(". ", " . ")
+    return text.split(" ")
 
 
 class Encoder:
@@ -61,10 +65,43 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.for_letters = (Tokenizer.from_file(path) for _ in range(2))
         self.memo: dict[str, bytes] = {"": b""}
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        # nothing is left to normalise or to split in words of lowered letters
+        self.for_letters.normalizer = None
+        self.for_letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(False, use_regex=False)]
+        )
+
+    def learn(self, words: list[str]) -> None:
+        """Put the words' ids into the memo. Between blanks a mark is one token, and no other
+        text gives that token, so many words are encoded as one text and told apart by it."""
+        joined, alone, letters = [], [], []
+        for w in words:
+            if w.isalpha() and w == w.lower() and is_normalized("NFC", w):
+                letters.append(w)
+            else:
+                (alone if MARK in w else joined).append(w)
+        if len(self.mark) != 1:
+            joined, alone, letters = [], words, []
+        for at in range(0, len(alone), JOINED):
+            part = alone[at : at + JOINED]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            ids = (np.array(x.ids, "<u4").tobytes() for x in found)
+            self.memo.update(zip(part, ids, strict=True))
+        for tokenizer, plain in ((self.tokenizer, joined), (self.for_letters, letters)):
+            for at in range(0, len(plain), JOINED):
+                part = plain[at : at + JOINED]
+                text = f" {MARK} ".join(part)
+                (found,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+                ids = np.array(found.ids, "<u4")
+                raw, ends = ids.tobytes(), 4 * np.append(np.flatnonzero(ids == self.mark[0]), len(ids))
+                starts = np.append(0, ends[:-1] + 4)
+                cut = zip(part, starts.tolist(), ends.tolist(), strict=True)
+                self.memo.update((w, raw[a:b]) for w, a, b in cut)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [parts(t) for t in texts]
@@ -72,12 +109,7 @@ class Encoder:
         if len(self.memo) + len(new) > MEMO:
             self.memo = {"": b""}
             new = set().union(*split) - {""}
-        words = list(new)
-        for at in range(0, len(words), 50_000):
-            part = words[at : at + 50_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, x in zip(part, found, strict=True):
-                self.memo[word] = np.array(x.ids, "<u4").tobytes()
+        self.learn(list(new))
         get = self.memo.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
@@ -229,7 +261,8 @@ def pack(
     cut = stage(
         pieces(docs, tokenizer, capacity, end_id)
         .withColumn("units", units)
-        .withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "start")),
+        # a row's number keeps rows of one id, or without one, from meeting in one slice
+        .withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "start", F.monotonically_increasing_id())),
         "pieces",
     )
     hist = sorted(tuple(r) for r in cut.groupBy("units").count().collect())

@@ -6,9 +6,10 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mailtally.llm import embedding_dedup, shingle_sets, simhash
+from mailtally.llm import embedding_dedup, mixing, shingle_sets, simhash
 from mailtally.llm.components import components
 
 
@@ -159,8 +160,11 @@ def near_copies():
     return [(i, t, "en", "s", 1) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("hot", [8, 1])
-def test_pipeline_finds_near_copies_at_the_cut(spark, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "cold", "block"), [(8, 24, 512), (1, 24, 512), (8, 2, 3)])
+def test_pipeline_finds_near_copies_at_the_cut(spark, monkeypatch, hot, cold, block):
+    """With pairs as rows, and with tiles for shingles of more than two documents."""
+    monkeypatch.setattr(shingle_sets, "COLD", cold)
+    monkeypatch.setattr(shingle_sets, "BLOCK", block)
     monkeypatch.setattr(shingle_sets, "HOT", hot)
     monkeypatch.setattr(shingle_sets, "SAMPLE", 8 if hot > 1 else 1)
     rows = near_copies()
@@ -189,3 +193,88 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
     got = sorted((str(r.doc_id), r.text or "") for r in kept)
     assert got == sorted([("None", a), ("1", b), ("2", c), ("2", d), ("None", "")])
+
+
+def below_the_cut(n):
+    """Documents of one base with 4 % of the words changed: no two are alike, all share shingles."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(300), 12):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words), "en", "s", 0))
+    return rows
+
+
+def test_groups_below_the_cut_make_no_pairs(spark, monkeypatch):
+    """Rows that go from stage to stage grow with the group and not with its square."""
+    written = {}
+
+    def counted(df, name):
+        out = stage(df, name)
+        written[name] = written.get(name, 0) + (len(out.head(1)) and out.count())
+        return out
+
+    stage = shingle_sets.stage
+    monkeypatch.setattr(shingle_sets, "stage", counted)
+    sizes = {}
+    for n in (80, 240):
+        written.clear()
+        docs = spark.createDataFrame(below_the_cut(n), "doc_id long, text string, lang string, source string, n_chars long")
+        got = shingle_sets.near_duplicates(docs).collect()
+        assert all(r.doc_id == r.component_id for r in got) and len(got) == n
+        sizes[n] = dict(written)
+    assert all(sizes[240][k] <= 4.5 * max(sizes[80][k], 100) for k in sizes[240])
+    assert sizes[240]["close"] < 240
+
+
+def test_shingle_sets_of_odd_rows(odd, odd_rows, empty):
+    clash = odd.selectExpr("*", *[f"'?' AS `{c}`" for c in ("set", "made", "prefix", "sketch", "n", "doc", "a.b")])
+    clash = clash.drop("n").selectExpr("*", "1 AS n")
+    got = shingle_sets.near_duplicates(clash)
+    assert got.columns == [*clash.columns, "component_id"]
+    assert got.count() == len(odd_rows)
+    assert shingle_sets.first_rows(clash).columns == clash.columns
+    assert shingle_sets.near_duplicates(empty).count() == shingle_sets.first_rows(empty).count() == 0
+
+
+def test_blocks_against_pairs():
+    """Sketches compared in blocks pass the same pairs as one by one."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 63, rng.integers(1, 90), dtype=np.uint64)) for _ in range(12)]
+    for i in range(30):
+        base = sets[rng.integers(0, 12)]
+        extra = rng.integers(0, 1 << 63, rng.integers(0, 12), dtype=np.uint64)
+        sets.append(np.unique(np.concatenate([base[rng.random(len(base)) < 0.9], extra, base[:1]])))
+    block = {
+        "set": np.arange(len(sets)), "n": np.array(list(map(len, sets))),
+        "root": rng.integers(0, 30, len(sets)), "sketch": [shingle_sets.sketch(x) for x in sets],
+    }
+    a, b = shingle_sets.close_in_blocks(block, block, True, 0.8)
+    n, root, sketch = block["n"], block["root"], block["sketch"]
+    want = {
+        (i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+        if root[i] != root[j] and min(n[i], n[j]) >= 0.8 * max(n[i], n[j]) - 1e-9
+        and shingle_sets.differing(sketch[i], sketch[j]) <= shingle_sets.apart(n[i], n[j], 0.8)
+    }
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == want and len(a) == len(want) > 10
+    true = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if root[i] != root[j]
+            and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+    assert true <= want
+
+
+def test_pipeline_mixing_without_ids(spark):
+    """Rows without an id are taken each for itself, so the mix meets its targets."""
+    rng = random.Random(6)
+    rows = [
+        (None if s == "a" else 100 * k + i, " ".join(f"w{rng.randrange(999)}" for _ in range(10 + i % 7)), "en", s, 0)
+        for k, s in enumerate("abc") for i in range(40)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    own = docs.withColumn("doc_id", F.xxhash64("doc_id", "text", "lang", "source"))
+    wanted = {r.source: r.taken for r in mixing.mix(own).groupBy("source").agg(F.sum("taken").alias("taken")).collect()}
+    mixed = corpus_pipeline.mix_sources(spark, docs, "")
+    sizes = mixed.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("words")).collect()
+    assert {r.source: r.words for r in sizes} == wanted

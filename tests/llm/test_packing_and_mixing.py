@@ -1,11 +1,13 @@
 """Packing, mixing and the pipeline: exact accounts and brute force."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mailtally.llm import mixing, packing
@@ -73,6 +75,26 @@ def test_encoder_leaves_marks_of_other_case_alone():
     assert packing.Encoder(word_tokenizer())([t.lower() for t in texts]) != want
 
 
+def test_encoder_on_random_texts():
+    """Control characters, marks, odd blanks and letters in any order: the tokenizer's ids."""
+    rng = random.Random(5)
+    signs = list(
+        "aAbZ019 .,,..  \n\t\r\x0b\x0c\x00\x01\x01\x1c\x1d\x1e\x1f\x7f\x85\xa0\u2003\u200b\u0327\u0301"
+        "éÉİΣσς'’_-()<|>!?#$&*\u3000ßſ\u212a½²٣अ्ü\u00ad\ufb01\ufeff\u212b가각"
+    ) + ["'s", "'ll", "<|endoftext|>", "<|startoftext|>", "'t ", "\x01 ", ". ", ", "]
+    texts = ["\x1c. a"] + ["".join(rng.choices(signs, k=rng.randint(0, 12))) for _ in range(20_000)]
+    got = packing.Encoder(word_tokenizer())(texts)
+    assert got == [x[:-1].tobytes() for x in true_ids(texts)]
+
+
+def test_rows_without_an_id_are_ranked_in_many_slices(spark):
+    docs = spark.range(10_000, numPartitions=4).selectExpr("CAST(NULL AS long) AS doc_id", "'a b c' AS text")
+    packed = packing.pack(docs, word_tokenizer(), grain=4)
+    got = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count_distinct("offset").alias("k")).collect()
+    assert sum(r.n for r in got) == 40_000 and max(r.n for r in got) <= 4096
+    assert len(got) == 10 and all(r.n == 4 * r.k for r in got)
+
+
 def test_column_generation_reaches_the_optimum():
     weights, counts = np.array([3, 4, 5, 7]), np.array([9, 7, 6, 5])
     plan = packing.cutting_stock(weights, counts, 10, 500)
