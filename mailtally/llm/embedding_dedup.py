@@ -14,7 +14,8 @@ the star of its links per vector, not its pairs.
 
 Defined cases: vectors that are null, empty or zero, or hold nulls or non-finite numbers,
 and rows with a null label link with nothing; vectors of unlike lengths do not link. Rows
-that repeat an id count as vectors of their own. A null id is never the smallest one.
+that repeat an id count as vectors of their own. Vectors too small or too large for their
+squares are compared like any other, after division by their largest component. A null id is never the smallest one.
 Empty tables give no rows; other columns are not read.
 """
 
@@ -132,7 +133,16 @@ def near_duplicates(
         & F.exists(x, lambda v: v != 0),
         F.lit(False),
     )
-    rows = vectors.select("vec_id", F.col("label").cast("string").alias("label"), x.alias("x"), good.alias("good"))
+    # numbers whose squares leave the range of doubles are taken relative to the largest
+    most = F.array_max(F.transform(x, F.abs))
+    usual = most.between(1e-100, 1e100)
+    scaled = F.transform(x, lambda v: v / most)
+    rows = vectors.select(
+        "vec_id",
+        F.col("label").cast("string").alias("label"),
+        F.when(good & ~usual, scaled).otherwise(x).alias("x"),
+        good.alias("good"),
+    )
     keys = [F.xxhash64(F.lit(i), "label", "x").alias(f"h{i}") for i in (1, 2)]
     linked = rows.where("good").select("vec_id", "label", "x", *keys)
     classes = stage(

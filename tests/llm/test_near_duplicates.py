@@ -278,3 +278,19 @@ def test_pipeline_mixing_without_ids(spark):
     mixed = corpus_pipeline.mix_sources(spark, docs, "")
     sizes = mixed.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("words")).collect()
     assert {r.source: r.words for r in sizes} == wanted
+
+
+def test_vectors_of_any_size(spark):
+    """Components whose squares vanish or overflow, and denormal ones, link as their direction says."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(120):
+        x = rng.normal(size=8) if i % 3 else np.array(rows[-1][1]) / np.abs(rows[-1][1]).max() if rows else rng.normal(size=8)
+        x = x + rng.normal(size=8) * 0.05
+        rows.append((i, (x * [1.0, 1e-200, 1e200, 1e-310][i % 4]).tolist(), 0))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(frame).collect()}
+    unit = [np.array(x) / np.abs(x).max() for _, x, _ in rows]
+    unit = np.array([x / np.linalg.norm(x) for x in unit])
+    links = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert got == dict(enumerate(links.tolist())) and links.sum() > 40
