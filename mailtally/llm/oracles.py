@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mailtally.llm.licenses import NOTICES, PHRASES
+from mailtally.llm.licenses import NOTICES, PHRASES, notice_words
 from mailtally.llm.url_filter import RULES
 
 SUFFIX_DEDUP = """
@@ -109,16 +109,16 @@ def _templates() -> str:
     rows, number = [], 0
     for exact, group in (("true", PHRASES), ("false", NOTICES)):
         for text, label in group.items():
-            words = text.split()
+            words, core = notice_words(text)
             for i in range(len(words) - 1):
                 pair = f"'{words[i]}', '{words[i + 1]}'"
-                rows.append(f"({number}, '{label}', {exact}, {len(words) - 1}, {i}, {pair})")
+                rows.append(f"({number}, '{label}', {exact}, {len(words) - 1}, {core}, {i}, {pair})")
             number += 1
     return ", ".join(rows)
 
 
 LICENSES = f"""
-WITH templates(template, label, exact, pairs, tpos, a, b) AS (VALUES {_templates()}),
+WITH templates(template, label, exact, pairs, core, tpos, a, b) AS (VALUES {_templates()}),
 docs AS (
     SELECT doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -130,7 +130,7 @@ words AS (
     FROM docs WHERE len(w) > 1
 ),
 votes AS (
-    SELECT doc_id, template, label, exact, pairs, pos - tpos AS diagonal,
+    SELECT doc_id, template, label, exact, pairs, core, pos - tpos AS diagonal,
         bit_or(CAST(1 AS BIGINT) << tpos) AS found
     FROM words JOIN templates USING (a, b) GROUP BY ALL
 ),
@@ -144,7 +144,9 @@ spanned AS (
 ),
 spans AS (
     SELECT doc_id, label, exact, min(diagonal) AS start,
-        bit_count(bit_or(found)) / CAST(any_value(pairs) AS DOUBLE) AS part
+        bit_count(bit_or(found)) / CAST(any_value(pairs) AS DOUBLE) AS part,
+        any_value(pairs) - bit_count(bit_or(found)) <= 2
+            AND (bit_or(found) & any_value(core)) = any_value(core) AS verified
     FROM spanned GROUP BY doc_id, template, label, exact, span
 ),
 found AS (
@@ -153,7 +155,7 @@ found AS (
         max(start) FILTER (exact AND part = 1) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact AND part = 1) AS base_labels,
         string_agg(DISTINCT label, ',' ORDER BY label)
-            FILTER (part = 1 AND exact OR part >= 0.9 AND NOT exact) AS labels,
+            FILTER (part = 1 AND exact OR verified AND NOT exact) AS labels,
         max(part) AS score
     FROM spans GROUP BY doc_id
 )
