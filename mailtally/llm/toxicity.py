@@ -3,8 +3,12 @@
 A word is the mean of the vectors of its character n-grams and of the word itself; a
 segment of ``span`` words is the mean of its words; a linear softmax turns that into the
 odds of label 1. A document is as toxic as its most toxic segment, so that a few words in a
-long text are not averaged away. Vectors and softmax are fitted jointly in numpy. Since the
-layers are linear, a word's share of the odds is one number, kept in a bounded memo.
+long text are not averaged away. Segments begin at every word, so a score does not depend on
+where words stand. Vectors and softmax are fitted jointly in numpy. Since the layers are
+linear, a word's share of the odds is one number, kept in a bounded memo.
+
+The sample that comes to the driver is bounded in rows and bytes: at most ``2 * per_class``
+texts, of at most ``most_bytes`` each. Longer texts are scored, but nothing is learned from them.
 
 Defined cases: a null text counts as empty; a text without words has the odds of the bias
 alone; without rows of both classes the score is the share of ones (0 without any rows).
@@ -100,9 +104,8 @@ class Model:
         for i, words in enumerate(split):
             if words:
                 each = np.fromiter(map(memo.__getitem__, words), np.float64, len(words))
-                starts = np.arange(0, len(words), self.span)
-                size = np.minimum(self.span, len(words) - starts)
-                best[i] = (np.add.reduceat(each, starts) / size).max()
+                span = min(self.span, len(words))
+                best[i] = np.lib.stride_tricks.sliding_window_view(each, span).mean(1).max()
         return 1 / (1 + np.exp(-np.clip(best + self.bias, -30, 30)))
 
 
@@ -130,9 +133,9 @@ def fit_texts(
     gram, owner = (x.astype(np.int32) for x in grams(list(ids), bits))
     n_grams = np.bincount(owner, minlength=len(ids))
     begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    seg_at = np.concatenate([np.arange(b, b + n, span) for b, n in zip(begins, sizes, strict=True)])
-    seg_n = np.diff(np.append(seg_at, len(tokens)))
-    per_doc = -(-sizes // span)
+    per_doc = np.maximum(sizes - span, 0) + 1
+    seg_at = np.concatenate([np.arange(b, b + n) for b, n in zip(begins, per_doc, strict=True)])
+    seg_n = np.repeat(np.minimum(sizes, span), per_doc)
     doc_at = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
     seg_doc, tok_doc = np.repeat(np.arange(len(sizes)), per_doc), np.repeat(np.arange(len(sizes)), sizes)
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
@@ -159,9 +162,11 @@ def fit_texts(
         step += 1
         way = softmax[:, 1] - softmax[:, 0]
         word = np.bincount(owner, (vectors @ way)[gram], len(ids)) / n_grams
-        seg = np.add.reduceat(word[tokens], seg_at) / seg_n
+        each = word[tokens]
+        until = np.concatenate([[0.0], np.cumsum(each)])
+        seg = (until[seg_at + seg_n] - until[seg_at]) / seg_n
         if epoch < epochs // 5:
-            z = np.add.reduceat(word[tokens], begins) / sizes + bias
+            z = np.add.reduceat(each, begins) / sizes + bias
             g = weight * (1 / (1 + np.exp(-z)) - y)
             pull = np.bincount(tokens, (g / sizes)[tok_doc], len(ids))
         else:
@@ -194,9 +199,12 @@ def fit(
     seed: int = 7,
     decay: float = 1e-5,
     rate: float = 0.03,
+    most_bytes: int = 1 << 14,
 ) -> Model:
-    """Fit on a sample of at most ``2 * per_class`` labelled rows outside of the held-out fold."""
-    got = labelled_sample(docs, labels, "toxic", per_class, seed).collect()
+    """Fit on a sample of at most ``2 * per_class`` labelled rows outside of the held-out fold,
+    with texts of at most ``most_bytes``."""
+    short = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= most_bytes)
+    got = labelled_sample(short, labels, "toxic", per_class, seed).collect()
     got = sorted(got, key=lambda r: (r.doc_id, r.text))
     y = np.array([r.label for r in got])
     return fit_texts([r.text for r in got], y, bits, width, span, epochs, seed, decay, rate)
