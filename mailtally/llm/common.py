@@ -39,7 +39,8 @@ def labelled_sample(
 
     Rows come in the order of a seeded hash of their id. Only rows outside of the held-out
     fold with label 0 or 1 count; an id labelled twice takes its larger label. The ids of
-    the sample are bounded by ``2 * per_class``, so the join is a broadcast.
+    the sample are bounded by ``2 * per_class``, so the join is a broadcast. Of the rows that
+    share an id, the one with the least text is in the sample.
     """
     ids = (
         labels.select("doc_id", F.col(target).cast("int").alias("label"))
@@ -52,6 +53,7 @@ def labelled_sample(
     picked = [
         ids.where(F.col("label") == c).orderBy(order, "doc_id").limit(per_class) for c in (0, 1)
     ]
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(picked[0].union(picked[1])), "doc_id"
     )
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
