@@ -4,7 +4,7 @@ Sizes are word counts. Every source has a target; whole passes over the source c
 and what is left of the target is a subset-sum problem over its length histogram: a
 proportional share of every length, then the longest lengths that still fit, and for the
 last ``dp_budget`` words an exact bounded-knapsack table. The answer is a number of
-documents for each length; which ones is decided by a seeded hash of the id.
+documents for each length; which ones is decided by a seeded hash of id and text.
 
 Only histograms meet in one task. Documents of one source and length are ranked in slices
 of their hash, so that a length which holds a third of all rows is spread over ``SLICES``
@@ -114,7 +114,9 @@ def mix(docs: DataFrame, seed: int = 11, dp_budget: int = 1 << 16) -> DataFrame:
             "doc_id",
             "source",
             F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"),
-        ).withColumn("order", F.xxhash64(F.lit(seed), "doc_id")),
+            # by the text as well: rows without an id, or of one, are not all in one slice
+            F.xxhash64(F.lit(seed), "doc_id", "text").alias("order"),
+        ),
         "sizes",
     ).withColumn("slice", F.pmod(F.shiftright("order", 40), F.lit(SLICES)).cast("int"))
     wanted = targets(sizes)
