@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from mailtally.session import RunFolder, materialize
+
 
 def first_n_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
@@ -121,6 +123,48 @@ def number_per_key(
     )
 
 
+RANGE = "_range"
+
+
+def in_ranges(
+    df: DataFrame, order: Sequence[Column], parts: int | None = None, run: RunFolder | None = None
+) -> DataFrame:
+    """Rows with ``_range``, the number of a range of ``order`` that holds about as many rows
+    as any other. The cuts come from a sample of the rows, by Spark's range partitioning.
+
+    Rows are written to the shared folder with their range, since a second evaluation might
+    cut elsewhere. ``run`` names a folder that its owner removes.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).withColumn(RANGE, F.spark_partition_id())
+    return run.keep(ranged, "ranges") if run else materialize(ranged, "ranges")
+
+
+def number_in_ranges(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    out: str = "version",
+    parts: int | None = None,
+    run: RunFolder | None = None,
+) -> DataFrame:
+    """``row_number`` over keys of any size, also if all rows of one have the same time.
+
+    Ranges go over (key, order), so a hot key is cut into as many as its rows fill, wherever
+    they lie close together. Rows that tie in all of ``order`` share a range and have no fixed
+    order among themselves. Without ``keys`` it numbers all rows.
+    """
+    ranged = in_ranges(df, [*map(F.col, keys), *order], parts, run)
+    return number_per_key(ranged, keys, order, F.col(RANGE), out).drop(RANGE)
+
+
+def with_position(
+    df: DataFrame, order: Sequence[Column], out: str = "position", run: RunFolder | None = None
+) -> DataFrame:
+    """Rows with their place from 1 in a global order, a column that survives any later shuffle."""
+    return number_in_ranges(df, [], order, out, run=run)
+
+
 def version_resends(
     df: DataFrame,
     keys: Sequence[str],
@@ -128,15 +172,20 @@ def version_resends(
     tie: str = "id",
     mode: str = "versions",
     slot: Column | None = None,
+    bursts: bool = False,
 ) -> DataFrame:
-    """Resent reports: ``versions`` keeps all with 1, 2, ...; ``overwrite`` keeps the last."""
+    """Resent reports: ``versions`` keeps all with 1, 2, ...; ``overwrite`` keeps the last.
+
+    A key is split by the minute, or by ``slot``. ``bursts`` splits it by ranges instead, for
+    reports that are resent many times within a moment; rows are written once for that.
+    """
     if mode == "overwrite":
         return latest_per_key(df, keys, [F.col(received).desc(), F.col(tie).desc()])
     if mode != "versions":
         raise ValueError(f"unknown mode {mode!r}")
+    order = [F.col(received).asc(), F.col(tie).asc()]
+    if bursts:
+        return number_in_ranges(df, keys, order)
     return number_per_key(
-        df,
-        keys,
-        [F.col(received).asc(), F.col(tie).asc()],
-        F.date_trunc("minute", received) if slot is None else slot,
+        df, keys, order, F.date_trunc("minute", received) if slot is None else slot
     )

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from mailtally.operators.latest import first_n_per_key, latest_per_key, scd2_current
+from mailtally.operators.latest import first_n_per_key, latest_per_key, scd2_current, with_position
 
 # --- fixed values: states and run types of the run timeline ---
 JOB_RUN = "JOB_RUN"
@@ -209,16 +209,34 @@ def lineage_of(lineage: DataFrame, name: str, path: str | None = None) -> DataFr
     return lineage.filter(hit)
 
 
-# --- orders for display: global sorts, so only for results that people look at ---------------
+# --- orders for display ------------------------------------------------------------------------
+# As a global sort for results that people look at, or as a position that stays with the row.
+
+
+def _stale_order() -> list[Column]:
+    return [F.col("last_executed_at").asc_nulls_first(), F.col("job_id").asc()]
+
+
+def _lineage_order(time: str) -> list[Column]:
+    names = [F.col(c).asc() for c in ("source_table_full_name", "target_table_full_name")]
+    return [F.col(time).desc(), *names]
 
 
 def stale_order(stale: DataFrame) -> DataFrame:
     """Jobs that never ran first, then those that ran longest ago."""
-    return stale.orderBy(F.col("last_executed_at").asc_nulls_first(), "job_id")
+    return stale.orderBy(*_stale_order())
 
 
 def lineage_order(lineage: DataFrame, time: str = "event_time") -> DataFrame:
     """Newest lineage rows first."""
-    return lineage.orderBy(
-        F.col(time).desc(), "source_table_full_name", "target_table_full_name"
-    )
+    return lineage.orderBy(*_lineage_order(time))
+
+
+def stale_positions(stale: DataFrame, tie: Sequence[str] = ("workspace_id",)) -> DataFrame:
+    """The rows of :func:`stale_order` with their ``position``."""
+    return with_position(stale, [*_stale_order(), *map(F.col, tie)])
+
+
+def lineage_positions(lineage: DataFrame, time: str = "event_time") -> DataFrame:
+    """The rows of :func:`lineage_order` with their ``position``."""
+    return with_position(lineage, _lineage_order(time))

@@ -14,7 +14,7 @@ DISTINCT_RSD = 0.01
 # --- end of fixed values ---
 
 # Sketch size for that error: 1.04 / sqrt(2**14) is 0.8 %.
-_SKETCH_BITS = 14
+SKETCH_BITS = 14
 
 
 def _nulls(col: str) -> Column:
@@ -30,7 +30,7 @@ def approx_distinct(col: str, hashed: Column | None = None) -> Column:
     """
     hashed = F.col(col) if hashed is None else hashed  # a form of the column that has a hash
     value = F.when(F.col(col).isNotNull(), F.xxhash64(hashed))
-    return F.hll_sketch_estimate(F.hll_sketch_agg(value, F.lit(_SKETCH_BITS)))
+    return F.hll_sketch_estimate(F.hll_sketch_agg(value, F.lit(SKETCH_BITS)))
 
 
 def _unnest(stats: DataFrame, rows: list[Column]) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from mailtally.operators.latest import with_position
+
 # --- fixed values: status texts, the stand-in for division by zero, output padding ---
 MATCH, WITHIN, DISCREPANCY = "MATCH", "WITHIN_THRESHOLD", "DISCREPANCY"
 PASS, WARNING, FAIL = "PASS", "WARNING", "FAIL"
@@ -235,6 +237,12 @@ def presentation_order(recon: DataFrame) -> DataFrame:
     return recon.orderBy(F.col("key_col1_value").desc(), F.col("kpis").asc())
 
 
+def presentation_positions(recon: DataFrame) -> DataFrame:
+    """The rows of :func:`presentation_order` with their ``position``; the other keys break ties."""
+    others = [F.col(f"key_col{i}_value").asc() for i in (2, 3)]
+    return with_position(recon, [F.col("key_col1_value").desc(), F.col("kpis").asc(), *others])
+
+
 def delta_at_grain(
     source: DataFrame, target: DataFrame, grain: Sequence[str], kpis: Sequence[str],
     kind: str | None = None,

@@ -48,6 +48,7 @@ def merge_frames(
     guard: str | None = "received_ts",
     null_safe: bool = False,
     order: Sequence[str] = ("received_ts", "email_unique_id"),
+    hot_keys: bool = False,
 ) -> DataFrame:
     """Target after ``UPDATE SET *`` of matches and ``INSERT *`` of the rest.
 
@@ -55,6 +56,10 @@ def merge_frames(
     older. ``null_safe`` lets null keys match. Rows with null keys that cannot match are
     spread over the partitions by a hash, since they would all meet in one otherwise.
     Columns missing on one side are null there.
+
+    ``hot_keys`` is for targets where many rows share a key. A full join cannot be split at
+    run time; it becomes a left join, of which AQE cuts the target's hot partitions, and an
+    anti join with the target's distinct keys for the inserts. The target's keys are read twice.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     columns = list(target.columns) + [c for c in source.columns if c not in target.columns]
@@ -74,7 +79,10 @@ def merge_frames(
         a, b = F.col("t_" + key), F.col("s_" + key)
         same = same & (a.eqNullSafe(b) if null_safe else a == b)
     same = same & (F.col("t_" + OWN) == F.col("s_" + OWN))
-    joined = left.join(right, same, "full")
+    if hot_keys:
+        joined = _split_join(left, right, same, [*keys, OWN])
+    else:
+        joined = left.join(right, same, "full")
     take_source = F.col("s__here").isNotNull()
     if guard:
         older = F.col("t__here").isNotNull() & (F.col(f"s_{guard}") < F.col(f"t_{guard}"))
@@ -93,6 +101,18 @@ def merge_frames(
     return joined.select(*[pick(c) for c in columns])
 
 
+def _split_join(left: DataFrame, right: DataFrame, same: Column, keys: Sequence[str]) -> DataFrame:
+    """The rows of a full join, as a left join and the right rows without a match.
+
+    AQE splits a join only where both sides come straight from a shuffle. The hash beside the
+    keys gives the right side one of its own, behind its dedup window.
+    """
+    hashed = F.xxhash64(*["t_" + k for k in keys]) == F.xxhash64(*["s_" + k for k in keys])
+    known = left.select(*["t_" + k for k in keys]).distinct()
+    new = right.join(known, same, "left_anti")
+    return left.join(right, same & hashed, "left").unionByName(new, allowMissingColumns=True)
+
+
 def _shared(guard: str | None, target: DataFrame, source: DataFrame) -> str | None:
     """The guard column if both sides have it."""
     return guard if guard in target.columns and guard in source.columns else None

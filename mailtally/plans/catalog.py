@@ -3,6 +3,7 @@
 from mailtally.plans import (  # noqa: F401
     flagship,
     queries_extract,
+    queries_landing,
     queries_messages,
     queries_recon,
     queries_sinks,

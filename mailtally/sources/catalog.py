@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from mailtally.operators.profile import null_profile
 
@@ -60,3 +61,77 @@ def file_audit(df: DataFrame) -> DataFrame:
         F.max("arrived_at").alias("arrived_at"),
         F.lit("LOADED").alias("bronze_status"),
     )
+
+
+BROKEN = "_broken_record"
+
+
+def file_arrivals(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "json",
+    **options: str,
+) -> DataFrame:
+    """One row per file below a folder, whether it could be read or not.
+
+    The listing is joined with what a full read finds: ``rows``, ``blank_rows`` (all values
+    null) and ``broken_rows`` (JSON and CSV records that do not fit the schema). A file is
+    FAILED, with a ``reason``, if it is empty, gives no record (also if it cannot be read at
+    all) or holds broken records; else LOADED. Every column is read, since only that shows
+    that a file can be. A compressed text that is cut short counts with the rows before the cut.
+
+    Scans leave out files of no bytes, so names come from the listing, which the driver holds
+    for any scan of the folder. Empty files have no ``arrived_at``.
+    """
+    texts = fmt in ("json", "csv")
+    wanted = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())]) if texts else schema
+    read = spark.read.format(fmt).options(**options).option("recursiveFileLookup", "true")
+    found = (
+        read.schema(wanted)
+        .option("ignoreCorruptFiles", "true")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BROKEN)
+        .load(path)
+    )
+    whole = F.col(BROKEN).isNull() if texts else F.lit(True)
+    some = F.lit(False)
+    for field in schema.fields:
+        some = some | F.col(f"`{field.name}`").isNotNull()
+    # the kind needs all columns: a value that is not read cannot break its record
+    kind = F.when(~whole, "broken").when(~some, "blank").otherwise("full")
+    kinds = found.groupBy(F.col("_metadata.file_path").alias("_file"), kind.alias("_kind")).count()
+    of_kind = lambda k: F.sum(F.when(F.col("_kind") == k, F.col("count")).otherwise(0))
+    counts = kinds.groupBy("_file").agg(
+        (of_kind("full") + of_kind("blank")).alias("_rows"),
+        of_kind("blank").alias("_blank"),
+        of_kind("broken").alias("_broken"),
+    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    sizes = files.select(
+        F.col("_metadata.file_path").alias("_listed"),
+        F.col("_metadata.file_size").alias("_size"),
+        F.col("_metadata.file_modification_time").alias("arrived_at"),
+    )
+    names = spark.createDataFrame([(f,) for f in files.inputFiles()], "input_file_name string")
+    # the two write an empty authority differently: file:/a and file:///a
+    place = lambda c: F.regexp_replace(c, "^([^:/]+):/+", "$1:/")
+    listed = names.join(sizes, place("input_file_name") == place("_listed"), "left").withColumn(
+        "file_size", F.coalesce("_size", F.lit(0))
+    )
+    number = lambda c: F.coalesce(F.col(c), F.lit(0))
+    reason = (
+        F.when(F.col("file_size") == 0, "empty file")
+        .when(number("_rows") + number("_broken") == 0, "no readable record")
+        .when(number("_broken") > 0, F.concat(number("_broken").cast("string"), F.lit(" broken records")))
+    )
+    return listed.join(counts, F.col("_listed") == F.col("_file"), "left").select(
+        "input_file_name",
+        "file_size",
+        "arrived_at",
+        number("_rows").alias("rows"),
+        number("_blank").alias("blank_rows"),
+        number("_broken").alias("broken_rows"),
+        F.when(reason.isNull(), "LOADED").otherwise("FAILED").alias("bronze_status"),
+        reason.alias("reason"),
+    )

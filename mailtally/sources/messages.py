@@ -70,17 +70,56 @@ def latest_n(
     return first_n_per_key(messages, [per], order, n)
 
 
-def since(messages: DataFrame, ts: str | datetime, col: str = "received_ts") -> DataFrame:
-    """Messages received at or after a time; the literal reaches the scan."""
+def add_time_part(
+    df: DataFrame, col: str = "received_ts", part: str = "received_part", unit: str = "month"
+) -> DataFrame:
+    """The first day of the ``unit`` (day, week, month, quarter, year) of a time, to store by."""
+    return df.withColumn(part, _time_part(F.col(col), unit))
+
+
+def _time_part(time: Column, unit: str) -> Column:
+    day = time.cast("date")
+    return day if unit == "day" else F.trunc(day, unit)
+
+
+def _not_before(
+    messages: DataFrame, bound: Column, col: str, part: str | None, unit: str
+) -> DataFrame:
+    """``col >= bound``, and the same of the stored part: a literal that prunes folders.
+
+    The part's bound lies a day earlier, as writers and readers may be in different time zones.
+    """
+    kept = messages.filter(F.col(col) >= bound)
+    if part is None:
+        return kept
+    return kept.filter(F.col(part) >= _time_part(F.date_sub(bound.cast("date"), 1), unit))
+
+
+def since(
+    messages: DataFrame,
+    ts: str | datetime,
+    col: str = "received_ts",
+    part: str | None = None,
+    unit: str = "month",
+) -> DataFrame:
+    """Messages received at or after a time; the literal reaches the scan.
+
+    ``part`` names the partition column made by :func:`add_time_part`, if they are stored by
+    it: then only the folders from the time's own on are opened.
+    """
     dtype = messages.schema[col].dataType
-    return messages.filter(F.col(col) >= F.lit(ts).cast(dtype))
+    return _not_before(messages, F.lit(ts).cast(dtype), col, part, unit)
 
 
 def days_back(
-    messages: DataFrame, days: int, as_of: str | datetime, col: str = "received_ts"
+    messages: DataFrame,
+    days: int,
+    as_of: str | datetime,
+    col: str = "received_ts",
+    part: str | None = None,
+    unit: str = "month",
 ) -> DataFrame:
-    """Messages of the last ``days`` days before ``as_of``."""
+    """Messages of the last ``days`` days before ``as_of``; ``part`` as in :func:`since`."""
     dtype = messages.schema[col].dataType
-    return messages.filter(
-        F.col(col) >= F.lit(as_of).cast(dtype) - F.make_interval(days=F.lit(days))
-    )
+    bound = F.lit(as_of).cast(dtype) - F.make_interval(days=F.lit(days))
+    return _not_before(messages, bound, col, part, unit)
