@@ -32,6 +32,7 @@ from mailtally.plans.registry import fresh_table, query
 from mailtally.schemas import STATE
 from mailtally.session import scratch_path
 from mailtally.sources.messages import standardize, stream_messages
+from mailtally.streaming import corrections
 from mailtally.streaming import intake as stream
 
 AS_OF = fx.AS_OF_ORDERS
@@ -490,6 +491,40 @@ def m_late_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table).select(*SAVED_COLUMNS)
 
 
+def _corrected(spark: SparkSession, sf: str, parts: list, days: int) -> DataFrame:
+    """The notices of each part in a run of their own, through the state of merge keys."""
+    path, table, offsets = scratch_path(spark, "corr-in"), fresh_table("corrected"), scratch_path(spark, "offsets")
+    mails = kv(spark, sf)
+    rules = [_with_keys(r, ("customer_code", "payment_due_label")) for r in kv_rules()]
+    for part in parts:
+        fx.payloads(mails.filter(part)).write.mode("append").json(path)
+        flat = standardize(stream_messages(spark, path))
+        stream.drain(
+            corrections.correction_stream(
+                flat, rules, table, offsets, days=days, as_of=AS_OF, label_mode="normalized"
+            )
+        )
+    return spark.table(table).select(*SAVED_COLUMNS)
+
+
+@query(LATEST_SQL.replace("FROM rec", "FROM rec WHERE k % 17 <> 0"))
+def m_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``m_late_upsert``, with the newest record of each key in state and a look-back that
+    holds all: what the table holds in the end is the same."""
+    odd = F.regexp_extract("id", r"(\d+)$", 1).cast("long") % 2 == 1
+    return _corrected(spark, sf, [~odd, odd], days=36500)
+
+
+@query(
+    LATEST_SQL.replace("rec AS (", "w AS (SELECT max(ts) - INTERVAL 7 DAYS AS b FROM kv WHERE k % 2 = 0),\nrec AS (", 1)
+    .replace("FROM rec", "FROM rec, w WHERE k % 17 <> 0 AND (k % 2 = 0 OR ts > b)")
+)
+def m_corrections_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Corrections of a second run that lie behind the look-back of the first are ignored."""
+    odd = F.regexp_extract("id", r"(\d+)$", 1).cast("long") % 2 == 1
+    return _corrected(spark, sf, [~odd, odd], days=7)
+
+
 @query(
     f"""
 WITH {KV}, w AS (SELECT max(ts) - INTERVAL 7 DAYS AS b FROM kv WHERE ts < TIMESTAMP '2000-01-01')
