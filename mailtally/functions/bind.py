@@ -9,6 +9,7 @@ for generators repeat their input, so values used more than once are bound to a
 from __future__ import annotations
 
 import itertools
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,6 +24,12 @@ def quote(value: str | None) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
 
 
+def constant(value: object, kind: str) -> str:
+    """SQL of a nested constant. As JSON it is one literal, which the optimizer reads once; large
+    constants written out are slow to parse."""
+    return f"from_json({quote(json.dumps({'v': value}, ensure_ascii=False))}, 'v {kind}').v"
+
+
 def variable(stem: str = "v") -> str:
     """A lambda variable name that no enclosing lambda uses."""
     return f"{stem}_{next(_numbers)}"

@@ -6,15 +6,27 @@ subject filter runs first, so that bodies of messages without a rule are never p
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterable
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailtally.functions.bind import inline_rows, non_empty, present, quote
+from mailtally.functions.bind import (
+    constant,
+    each,
+    inline_rows,
+    non_empty,
+    only,
+    present,
+    quote,
+    variable,
+)
 from mailtally.functions.html import (
     TABLES as TABLES_TYPE,
 )
 from mailtally.functions.html import drop_spacer_tables, html_body, html_tables, html_to_text
+from mailtally.functions.literals import folded_sql, keys_of, trie_pattern
 from mailtally.functions.regex import java_pattern
 from mailtally.functions.text import lines_of
 from mailtally.operators.latest import newest_copy
@@ -29,6 +41,11 @@ from mailtally.operators.strategies import (
 from mailtally.sources.rules import Rule
 
 
+#: Lists from this length on are searched by the literals of their patterns, of which one that
+#: more rules need than this says too little.
+INDEX_FROM, MOST_SHARERS = 32, 16
+
+
 def match_sql(rule: Rule, subject: str = "subject", sender: str = "email_sender") -> str:
     """Subject search, plus the sender if the rule names one."""
     hit = f"{subject} RLIKE {quote(java_pattern(rule.subject_regex))}"
@@ -37,20 +54,73 @@ def match_sql(rule: Rule, subject: str = "subject", sender: str = "email_sender"
     return hit
 
 
+def any_match_sql(rules: list[Rule]) -> str:
+    """Whether any of the rules matches."""
+    if len(rules) < INDEX_FROM:
+        return " OR ".join(map(match_sql, rules)) or "false"
+    return f"size({hits_sql(rules)}) > 0"
+
+
+def hits_sql(rules: list[Rule], subject: str = "subject", sender: str = "email_sender") -> str:
+    """The places, in this list, of the rules that match, in ascending order.
+
+    Short lists are tried one by one. In long ones the subject is searched once for literals
+    that the patterns need, and only rules of which one is found are tried; rules without such
+    a literal, or with one that many rules need, are tried one by one still.
+    """
+
+    def one_by_one(places: Iterable[int]) -> str:
+        hits = ", ".join(
+            f"CASE WHEN {match_sql(rules[i], subject, sender)} THEN {i} END" for i in places
+        )
+        return present(f"array({hits})") if hits else "CAST(array() AS array<int>)"
+
+    if len(rules) < INDEX_FROM:
+        return one_by_one(range(len(rules)))
+    keys = keys_of([r.subject_regex for r in rules], MOST_SHARERS)
+    if not keys:
+        return one_by_one(range(len(rules)))
+    indexed = {i for places in keys.values() for i in places}
+    slots: list[list[dict]] = [[] for _ in keys]
+    for key, places in keys.items():
+        slots[zlib.crc32(key.encode()) % len(slots)].append({"key": key, "places": places})
+    tests = [
+        {"pattern": java_pattern(r.subject_regex), "sender": r.sender_email} if i in indexed else None
+        for i, r in enumerate(rules)
+    ]
+    slot = constant(slots, "array<array<struct<key:string,places:array<int>>>>")
+    test = constant(tests, "array<struct<pattern:string,sender:string>>")
+    found = f"array_distinct(regexp_extract_all({folded_sql(subject)}, {quote(trie_pattern(keys))}, 1))"
+
+    def places_of(key: str) -> str:
+        at = f"CAST(crc32(CAST({key} AS BINARY)) % {len(slots)} AS INT)"
+        return f"flatten({each(only(f'get({slot}, {at})', lambda e: f'{e}.key = {key}'), lambda e: f'{e}.places')})"
+
+    def holds(i: str) -> str:
+        t = variable("t")
+        own = f"({t}.sender IS NULL OR {sender} <=> {t}.sender) AND regexp_instr({subject}, {t}.pattern) > 0"
+        return f"exists(array(get({test}, {i})), {t} -> {own})"
+
+    candidates = f"array_distinct(flatten({each(found, places_of)}))"
+    rest = one_by_one(i for i in range(len(rules)) if i not in indexed)
+    empty = "CAST(array() AS array<int>)"
+    return f"array_sort(concat(coalesce({only(candidates, holds)}, {empty}), {rest}))"
+
+
 def matching(messages: DataFrame, rules: list[Rule]) -> DataFrame:
     """Messages that at least one rule matches."""
     if not rules:
         return messages.limit(0)
-    return messages.filter(" OR ".join(map(match_sql, rules)))
+    return messages.filter(any_match_sql(rules))
 
 
 def matched_rules(messages: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per message and matching rule, without parsing: rule_order, rule_name."""
-    structs = ", ".join(
-        f"CASE WHEN {match_sql(r)} THEN named_struct('rule_order', {r.order}, 'rule_name', {quote(r.name)}) END"
-        for r in rules
+    table = constant(
+        [{"rule_order": r.order, "rule_name": r.name} for r in rules],
+        "array<struct<rule_order:int,rule_name:string>>",
     )
-    hits = F.expr(present(f"array({structs})"))
+    hits = F.expr(each(hits_sql(rules), lambda i: f"get({table}, {i})"))
     return inline_rows(messages, hits, "rule_name", "*")
 
 
@@ -95,7 +165,7 @@ def _records(rules: list[Rule], first: bool, strict_sign: bool, label_mode: str)
     for built_in, group in groupby(rules, is_built_in):
         some = list(group)
         if built_in:
-            parts.append(F.expr(rule_list(body, some, list(map(match_sql, some)), first)))
+            parts.append(F.expr(rule_list(body, some, hits_sql(some), first)))
         else:
             parts += [F.when(F.expr(match_sql(r)), apply_strategy(body, r)) for r in some]
     if first:
@@ -112,7 +182,7 @@ def extract_every(
     As ``extract_first``, with ``conversation_id``, ``matched`` and ``parse_failed``. Bodies
     of messages that no rule matches are not handed to the parser.
     """
-    hit = F.expr(" OR ".join(map(match_sql, rules)) if rules else "false")
+    hit = F.expr(any_match_sql(rules))
     marked = messages.withColumn("matched", F.coalesce(hit, F.lit(False)))
     marked = marked.withColumn("html_body", F.when(F.col("matched"), F.col("html_body")))
     parsed = parse_bodies(marked, rules)

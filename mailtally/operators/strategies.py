@@ -13,7 +13,7 @@ from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, functions as F
 
-from mailtally.functions.bind import each, last, let, only, present, quote, variable
+from mailtally.functions.bind import constant, each, last, let, only, present, quote, variable
 from mailtally.functions.money import yen_sql
 from mailtally.functions.regex import has_groups, java_pattern
 from mailtally.functions.text import (
@@ -67,32 +67,37 @@ class RuleSql:
 
 def literals(rule: Rule) -> RuleSql:
     """A rule as literals: patterns are compiled once per task."""
-    # A code pattern of a table rule may hold groups of its own, which the text search refuses.
-    near = "" if has_groups(rule.code_regex) else near_code_pattern(rule.code_regex, rule.whole_code)
-    return RuleSql(
-        name=quote(rule.name),
-        near_code=quote(near),
-        code_label=quote(java_pattern(rule.code_regex)),
-        code_cell=quote(java_pattern(rule.code_regex, ignore_case=False)),
-        amount_label=quote(java_pattern(rule.amount_regex)),
-        amount_cell=quote(java_pattern(rule.amount_regex, ignore_case=False)),
-        code_table=str(rule.code_table or 0),
-        amount_table=str(rule.amount_table or 0),
-        prefix=quote(rule.prefix_code),
-        currency=quote(rule.currency),
-        default_label=quote(rule.default_label),
-    )
+    values = rule_values(rule)
+    return RuleSql(**{p: str(values[p]) if isinstance(values[p], int) else quote(values[p]) for p in _parts()})
 
 
 def _parts() -> list[str]:
     return [f.name for f in fields(RuleSql) if f.name != "hit"]
 
 
-def rule_struct(rule: Rule) -> str:
-    """A rule as a constant struct, with the kind of extraction it needs."""
-    parts = literals(rule)
-    listed = ", ".join(f"'{p}', {getattr(parts, p)}" for p in _parts())
-    return f"named_struct('kind', {quote(_kind(rule))}, {listed})"
+def rule_values(rule: Rule) -> dict[str, object]:
+    """The parts of a rule as values of a constant struct, with the kind of extraction it needs."""
+    # A code pattern of a table rule may hold groups of its own, which the text search refuses.
+    near = "" if has_groups(rule.code_regex) else near_code_pattern(rule.code_regex, rule.whole_code)
+    return {
+        "kind": _kind(rule),
+        "name": rule.name,
+        "near_code": near,
+        "code_label": java_pattern(rule.code_regex),
+        "code_cell": java_pattern(rule.code_regex, ignore_case=False),
+        "amount_label": java_pattern(rule.amount_regex),
+        "amount_cell": java_pattern(rule.amount_regex, ignore_case=False),
+        "code_table": rule.code_table or 0,
+        "amount_table": rule.amount_table or 0,
+        "prefix": rule.prefix_code,
+        "currency": rule.currency,
+        "default_label": rule.default_label,
+    }
+
+
+RULE_KIND = ",".join(
+    f"{p}:{'int' if p in ('code_table', 'amount_table') else 'string'}" for p in ["kind", *_parts()]
+)
 
 
 def _search(value: str, pattern: str) -> str:
@@ -307,16 +312,15 @@ def _kind(rule: Rule) -> str | None:
     return _KINDS.get(rule.strategy)
 
 
-def rule_list(body: Body, rules: list[Rule], matches: list[str], first: bool) -> str:
+def rule_list(body: Body, rules: list[Rule], hits: str, first: bool) -> str:
     """SQL of the records of the matching rules, in rule order.
 
-    ``matches`` are the rules' match conditions, with literal patterns. The extraction is in
+    ``hits`` is SQL of the places of those that match. The extraction is in
     the plan once per kind, over the constant structs of the rules that match. With
     ``first`` the fold stops extracting once a rule has yielded something.
     """
-    table = f"array({', '.join(rule_struct(r) for r in rules)})"
-    hits = ", ".join(f"CASE WHEN {m} THEN {i} END" for i, m in enumerate(matches))
-    matched = each(present(f"array({hits})"), lambda i: f"get({table}, {i})")
+    table = constant([rule_values(r) for r in rules], f"array<struct<{RULE_KIND}>>")
+    matched = each(hits, lambda i: f"get({table}, {i})")
     kinds = dict.fromkeys(_kind(rule) for rule in rules)
     empty = f"CAST(array() AS {EXTRACTS})"
 
