@@ -13,15 +13,20 @@ Defined cases: equal times are decided by the larger message id; of copies of on
 first counts. Records without a time, or with a null in a merge key, go through as they are, as
 in ``upsert_all``, and leave no state. Records of one key meet in one task, batch by batch; their
 number is bounded by the source's limit for a micro-batch (``maxFilesPerTrigger``).
+
+The state function is called once for each key, and each column costs it time in every call. So a
+record goes through it as one text.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -31,7 +36,9 @@ from mailtally.operators.upsert import key_groups, upsert_grouped
 from mailtally.sources.rules import Rule
 from mailtally.streaming.intake import batch_stream
 
-KEY, MOMENT, TIE = "_key", "_moment", "_tie"
+KEY, RECORD = "_key", "_record"
+#: Begins the keys of records that take no part; merge keys are JSON objects.
+FREE = "-"
 STATE = "moment long, id string"
 
 
@@ -47,31 +54,60 @@ def merge_key(rules: list[Rule]) -> Column:
     return found
 
 
+def packed(records: DataFrame) -> Column:
+    """A record as one text. Times are whole microseconds, which JSON would cut."""
+    return F.to_json(
+        F.struct(
+            *[
+                (F.unix_micros(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)).alias(f.name)
+                for f in records.schema.fields
+            ]
+        )
+    )
+
+
+def unpacked(stored: DataFrame, schema: T.StructType) -> DataFrame:
+    """The records of ``packed`` texts."""
+    times = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampType)]
+    kinds = T.StructType(
+        [T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in schema.fields]
+    )
+    rows = stored.select(F.from_json(RECORD, kinds, {"mode": "FAILFAST"}).alias(RECORD))
+    return rows.select(
+        *[
+            (F.timestamp_micros(F.col(f"{RECORD}.{c}")) if c in times else F.col(f"{RECORD}.{c}")).alias(c)
+            for c in schema.names
+        ]
+    )
+
+
 def newest_of_key(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Gives on a key's newest record if it is newer than the one in state."""
+    """Gives on a key's newest record if it is newer than the one in state.
+
+    There are about as many calls as records, most with one row, so a frame has few columns
+    and a row is handed on without a copy.
+    """
     if state.hasTimedOut:
         state.remove()
         return
+    if key[0].startswith(FREE):
+        yield from frames
+        return
     best = tuple(state.get) if state.exists else None
     winner = None
     for pdf in frames:
-        free = pdf[MOMENT].isna()
-        if free.any():
-            yield pdf[free].drop(columns=[KEY, MOMENT])
-        timed = pdf[~free]
-        if timed.empty:
-            continue
-        order = timed.assign(**{TIE: timed["email_unique_id"].fillna("")})
-        # descending and stable: the first of equal ones comes first
-        at = order.sort_values([MOMENT, TIE], ascending=False, kind="stable").index[0]
-        place = (int(order.at[at, MOMENT]), order.at[at, TIE])
-        if best is None or place > best:
-            best, winner = place, timed.loc[[at]]
+        for at, text in enumerate(pdf[RECORD].tolist()):
+            record = json.loads(text)
+            place = record["received_ts"], record.get("email_unique_id", "")
+            # the first of equal ones stays
+            if best is None or place > best:
+                best, winner = place, (pdf, at)
     if best is None:
         return
     if winner is not None:
+        pdf, at = winner
         state.update(best)
-        yield winner.drop(columns=[KEY, MOMENT])
+        yield pdf if len(pdf) == 1 else pdf.iloc[[at]]
     # the first millisecond at which the watermark is past the record's time
     state.setTimeoutTimestamp(max(best[0] // 1000, state.getCurrentWatermarkMs()) + 1)
 
@@ -85,20 +121,21 @@ def winners(records: DataFrame, rules: list[Rule]) -> DataFrame:
     content = F.sha2(F.to_json(F.struct(*records.columns)), 256)
     key = merge_key(rules)
     held = key.isNotNull() & F.col("received_ts").isNotNull()
-    keyed = records.withColumns(
-        {
-            # a record that takes no part has a key of its own, so that such ones do not meet
-            KEY: F.when(held, key).otherwise(F.concat(F.lit("-"), content)),
-            MOMENT: F.when(held, F.unix_micros("received_ts")),
-        }
+    keyed = records.select(
+        # a record that takes no part has a key of its own, so that such ones do not meet
+        F.when(held, key).otherwise(F.concat(F.lit(FREE), content)).alias(KEY),
+        packed(records).alias(RECORD),
+        # for the watermark; the state function does not read it
+        "received_ts",
     )
-    return keyed.groupBy(KEY).applyInPandasWithState(
+    found = keyed.groupBy(KEY).applyInPandasWithState(
         newest_of_key,
-        outputStructType=records.schema,
+        outputStructType=keyed.schema,
         stateStructType=STATE,
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
+    return unpacked(found, records.schema)
 
 
 def with_look_back(messages: DataFrame, days: int = LOOK_BACK_DAYS) -> DataFrame:

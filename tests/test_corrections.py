@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from dataclasses import replace
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +107,27 @@ def test_late_ones_are_ignored_and_state_expires(spark, run):
 def test_a_hot_key_comes_as_one_winner(run):
     rows = [note("hot", f"m{i:05}", "2024-01-01 08:00:00", float(i)) for i in range(5000)]
     assert run(*rows) == [("hot", "m04999", 4999.0)]
+
+
+def test_records_pass_the_state_as_one_text(spark, tmp_path):
+    kinds = f"{FIELDS}, received_ts timestamp"
+    records = spark.readStream.schema(kinds).json(str(tmp_path))
+    won = corrections.winners(corrections.with_look_back(records, 7), RULES)
+    assert won.schema == records.schema
+    plan = won._jdf.queryExecution().analyzed().toString()
+    given = re.search(r"newest_of_key\(([^)]*)\)", plan).group(1)
+    names = [x.split("#")[0].strip() for x in given.split(",")]
+    assert names == ["_key", "_record", "received_ts"]
+
+
+def test_packed_records_come_back_whole(spark):
+    rows = [
+        (1, 'a "b"\n\\c\u3000\u00e9', float("inf"), dt.datetime(2024, 1, 1, 8, 0, 0, 123456), None),
+        (2, "", -0.1, dt.datetime(1969, 12, 31, 23, 59, 59, 999999), Decimal("12.340")),
+        (None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "n long, s string, d double, received_ts timestamp, x decimal(9,3)")
+    text = df.select(corrections.packed(df).alias(corrections.RECORD))
+    back = corrections.unpacked(text, df.schema)
+    assert back.schema == df.schema
+    assert back.collect() == df.collect()
