@@ -294,3 +294,11 @@ def test_vectors_of_any_size(spark):
     unit = np.array([x / np.linalg.norm(x) for x in unit])
     links = (unit @ unit.T >= 0.93).sum(1) - 1
     assert got == dict(enumerate(links.tolist())) and links.sum() > 40
+
+
+def test_prefixes_and_sketches_are_stored_once(spark):
+    """They do not compress, so the rows beside the texts have none."""
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, None)], "doc_id long, text string")
+    rows, named = shingle_sets._named(docs, 5, 0.8)
+    assert rows.columns == ["doc", "row", "set"]
+    assert rows.count() == 3 and named.count() == 2
