@@ -9,7 +9,7 @@ from typing import Any
 import yaml
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailtally.functions.html import html_body, html_tables, html_to_text
+from mailtally.functions.html import ROW, explode_rows, html_body, html_tables, html_to_text
 from mailtally.functions.regex import group_index, java_pattern
 from mailtally.operators.gates import by_sender, by_subject
 
@@ -167,7 +167,8 @@ def map_columns(
     headers = table_headers(F.col(tables), header_row)
     rows = F.filter(F.col(tables), lambda r: r["row_index"] > header_row)
     rest = [c for c in messages.columns if c != tables]
-    exploded = messages.select(*rest, headers.alias("_headers"), F.inline(rows))
+    exploded = explode_rows(messages, rows, *rest, headers.alias("_headers"))
+    exploded = exploded.select(*rest, "_headers", f"{ROW}.*")
     row_headers = F.col("_headers")[F.col("table_index")]
 
     def cell(header: str) -> Column:
