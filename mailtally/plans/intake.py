@@ -90,14 +90,20 @@ def table_intake(
 
 
 def template_intake(
-    messages: DataFrame, template: Template, types: dict[str, str] | None = None, as_of: str | None = None
+    messages: DataFrame,
+    template: Template,
+    types: dict[str, str] | None = None,
+    as_of: str | None = None,
+    run: RunFolder | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Declared intake: filter, metadata, table rows, types, lineage. Rows and audit log.
 
-    Each body is read once, whatever the number of extractors. With table extraction off,
-    messages give one row each, of metadata alone.
+    Each of the two reads a body once, whatever the number of extractors. With ``run``, what
+    the bodies hold is written there and both come from it, so that they are read once in all.
+    With table extraction off, messages give one row each, of metadata alone.
     """
     read = read_once(select_messages(messages, template), template.extractors)
+    read = run.keep(read.drop("html_body"), "read") if run else read
     mapping = template.column_mapping if template.tables_enabled else {}
     if template.tables_enabled:
         rows = map_columns(read.drop("html_body"), mapping, template.header_row)
@@ -121,14 +127,35 @@ def save_template_intake(
 
     The template's save mode holds for the data, the log is always appended to.
     """
+    _known_mode(template)
+    with RunFolder(rows.sparkSession, "template") as run:
+        return _store(run.keep(rows, "rows"), run.keep(log, "log"), template, tz, as_of)
+
+
+def run_template_intake(
+    messages: DataFrame,
+    template: Template,
+    types: dict[str, str] | None = None,
+    tz: str = "Asia/Tokyo",
+    as_of: str | None = None,
+) -> int:
+    """``template_intake`` and ``save_template_intake`` in one run that reads the bodies once."""
+    _known_mode(template)
+    with RunFolder(messages.sparkSession, "template") as run:
+        rows, log = template_intake(messages, template, types, as_of, run)
+        return _store(rows, log, template, tz, as_of)
+
+
+def _known_mode(template: Template) -> None:
     if template.save_mode not in ("append", "overwrite"):
         raise ValueError(f"unknown save mode {template.save_mode!r}")
-    with RunFolder(rows.sparkSession, "template") as run:
-        kept, logged = run.keep(rows, "rows"), run.keep(log, "log")
-        replace = template.save_mode == "overwrite"
-        saved = append(kept, template.data_table, tz, as_of, evolve=True, overwrite=replace)
-        append(logged, template.audit_table, tz, as_of, evolve=True)
-        return saved
+
+
+def _store(rows: DataFrame, log: DataFrame, template: Template, tz: str, as_of: str | None) -> int:
+    replace = template.save_mode == "overwrite"
+    saved = append(rows, template.data_table, tz, as_of, evolve=True, overwrite=replace)
+    append(log, template.audit_table, tz, as_of, evolve=True)
+    return saved
 
 
 def medallion(spark: SparkSession, landing: str, rules: list[Rule], label_mode: str = "normalized") -> DataFrame:
@@ -150,6 +177,7 @@ def medallion(spark: SparkSession, landing: str, rules: list[Rule], label_mode:
 __all__ = [
     "intake_summary",
     "medallion",
+    "run_template_intake",
     "save_template_intake",
     "scheduled_intake",
     "table_intake",

@@ -21,9 +21,8 @@ from mailtally.operators.templates import (
 from mailtally.plans import fixtures as fx
 from mailtally.plans.intake import (
     medallion,
-    save_template_intake,
+    run_template_intake,
     scheduled_intake,
-    template_intake,
 )
 from mailtally.plans.oracle import KV, RECORDS, REPORT
 from mailtally.plans.queries_extract import META_REGEX, meta, report_tables
@@ -209,8 +208,7 @@ def k_template(spark: SparkSession, sf: str) -> DataFrame:
     names = {"data_table": fresh_table("data"), "audit_table": fresh_table("log")}
     template = load_template({**TEMPLATE, "sink": names})
     reports = fx.emails_report(fx.dealt(fx.table(spark, sf, "events")))
-    rows, log = template_intake(reports, template, {"amount": "decimal(18,2)"}, fx.AS_OF_EVENTS)
-    save_template_intake(rows, log, template, as_of=fx.AS_OF_EVENTS)
+    run_template_intake(reports, template, {"amount": "decimal(18,2)"}, as_of=fx.AS_OF_EVENTS)
     return spark.table(template.data_table).select(
         "email_message_id", "kind", "row_index", "subject_text", "sender_text", "amount",
         "schema_mismatch",

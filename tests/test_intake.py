@@ -2,6 +2,7 @@
 
 import json
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,11 @@ from pyspark.sql.types import StructType
 
 from mailtally.functions.text import DEFAULT_CODE_REGEX
 from mailtally.operators import gates, routing, strategies, templates
-from mailtally.plans import fixtures as fx
+from mailtally.plans import fixtures as fx, intake
 from mailtally.plans.intake import table_intake, template_intake
+from mailtally.plans.registry import fresh_table
 from mailtally.schemas import MESSAGE
+from mailtally.session import RunFolder
 from mailtally.sources import attachments, messages as msg
 from mailtally.sources.rules import load_rules, rules_frame, select_rules
 
@@ -389,3 +392,26 @@ def test_three_hundred_rules(spark, sf):
     df = fx.emails_kv(fx.table(spark, sf, "orders"))
     few = routing.route_first(df, load_rules(fx.KV_RULES))
     assert Counter(routing.route_first(df, rules).collect()) == Counter(few.collect())
+
+
+def test_template_run_reads_bodies_once_in_all(spark, sf, plan):
+    """Rows and log of one run come from what was read; the tables hold what two passes give."""
+    reports = fx.emails_report(fx.table(spark, sf, "events"))
+    stored = []
+    for at_once in (True, False):
+        names = {"data_table": fresh_table("d"), "audit_table": fresh_table("a")}
+        template = replace(templates.load_template(TEMPLATE), **names)
+        if at_once:
+            intake.run_template_intake(reports, template, as_of="2024-01-31 00:00:00")
+        else:
+            rows, log = template_intake(reports, template, as_of="2024-01-31 00:00:00")
+            intake.save_template_intake(rows, log, template, as_of="2024-01-31 00:00:00")
+        stored.append([spark.table(t) for t in names.values()])
+    for one, two in zip(*stored):
+        assert one.columns == two.columns and one.count() == two.count() > 0
+        assert one.exceptAll(two).isEmpty()
+    with RunFolder(spark, "template") as run:
+        for frame in template_intake(reports, template, run=run):
+            assert "ArrowEvalPython" not in plan(frame)
+    with pytest.raises(ValueError, match="save mode"):
+        intake.run_template_intake(reports, replace(template, save_mode="merge"))
