@@ -383,11 +383,14 @@ def m_stream_intake(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {KV} SELECT id, received_at FROM kv")
 def m_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Every message lands twice in one run; one copy of each comes out."""
+    """Every message lands twice in one run; one copy of each comes out.
+
+    The payloads land compressed, in a file per core: what is written is mostly they.
+    """
     path = scratch_path(spark, "twice")
     payload = fx.payloads(kv(spark, sf))
-    payload.write.json(path)
-    payload.write.mode("append").json(path)
+    for _ in range(2):
+        payload.write.mode("append").json(path, compression="gzip")
     flat = stream.dedup_stream(standardize(stream_messages(spark, path)))
     out = scratch_path(spark, "dedup-out")
     stream.drain(stream.append_stream(flat.select("id", "received_at", "received_ts"), out, scratch_path(spark, "offsets")))

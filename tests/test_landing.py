@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailtally.operators import latest, profile, statistics, upsert
+from mailtally.plans import queries_sinks
 from mailtally.plans.catalog import QUERIES
 from mailtally.session import RunFolder
 from mailtally.sources import catalog, messages
@@ -179,3 +180,13 @@ def test_a_hot_key_of_the_target_is_split(spark):
 def test_queries_of_landing_folders_do_not_use_python(spark, sf, plan):
     for name in ("w_resend_burst", "j_match_hot", "l_lineage_order"):
         assert "Python" not in plan(QUERIES[name](spark, sf))
+
+
+def test_messages_of_the_dedup_stream_land_compressed(spark, sf, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries_sinks, "scratch_path", lambda _, name: str(tmp_path / name))
+    found = queries_sinks.m_stream_dedup(spark, sf)
+    landed = [f for f in (tmp_path / "twice").iterdir() if f.name.startswith("part-")]
+    assert landed and all(f.name.endswith(".json.gz") for f in landed)
+    orders = spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert spark.read.json(str(tmp_path / "twice")).count() == 2 * orders
+    assert found.count() == found.distinct().count() == orders
