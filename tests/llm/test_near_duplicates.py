@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -302,3 +303,16 @@ def test_prefixes_and_sketches_are_stored_once(spark):
     rows, named = shingle_sets._named(docs, 5, 0.8)
     assert rows.columns == ["doc", "row", "set"]
     assert rows.count() == 3 and named.count() == 2
+
+
+def test_tokens_of_a_batch_come_in_parts(monkeypatch):
+    """A batch is as large as the session lets it be; what is made of it is bounded, and whole."""
+    monkeypatch.setattr(shingle_sets, "PART", 800)
+    rng = np.random.default_rng(3)
+    prefixes = [rng.integers(0, 1 << 62, n) for n in [*range(40), 500, 0, 0, 3]]
+    batch = pd.DataFrame({"set": np.arange(44), "n": np.arange(44) * 3, "prefix": [x.tobytes() for x in prefixes]})
+    parts = list(shingle_sets.tokens([batch, batch.iloc[:0], batch.iloc[40:42]]))
+    assert len(parts) > 5 and sorted(map(len, parts))[-3] < 2 * 100
+    got = pd.concat(parts).to_numpy().tolist()
+    rows = [*range(44), 40, 41]
+    assert got == [[t, i, i * 3 << 32 | at] for i in rows for at, t in enumerate(prefixes[i].tolist())]
