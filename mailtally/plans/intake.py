@@ -69,7 +69,7 @@ def scheduled_intake(
         extracts = newest_extract(extract_every(fresh, rules, label_mode=label_mode))
         extracts = run.keep(extracts, "extracts")
         timed = extracts.filter(F.col("received_ts").isNotNull())
-        saved = upsert_grouped(explode_records(timed), rules, table, tz, as_of)
+        saved = upsert_grouped(explode_records(timed), rules, table, tz, as_of, stored=True)
         if audit_table:
             append(audit_extracts(extracts, as_of=as_of), audit_table, tz, as_of)
         if state_table:

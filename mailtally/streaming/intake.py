@@ -142,7 +142,7 @@ def intake_stream(
             extracts = newest_extract(extract_every(batch, rules, label_mode=label_mode))
             extracts = run.keep(extracts, "extracts")
             timed = extracts.filter(F.col("received_ts").isNotNull())
-            upsert_grouped(explode_records(timed), rules, table, tz, as_of, **(store or {}))
+            upsert_grouped(explode_records(timed), rules, table, tz, as_of, stored=True, **(store or {}))
             log = stamp(audit_extracts(extracts, as_of=as_of), tz, as_of)
             replace_batch(log, audit_table, name, number)
             state = run.keep(stamp(state_row(extracts, pipeline, before, as_of), tz, as_of), "state")

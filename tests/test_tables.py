@@ -12,7 +12,7 @@ from mailtally.plans.catalog import QUERIES
 from mailtally.plans.intake import scheduled_intake
 from mailtally.plans.queries_messages import kv, kv_rules
 from mailtally.plans.registry import fresh_table
-from mailtally.session import shared_dir
+from mailtally.session import RunFolder, shared_dir
 from mailtally.sources.messages import standardize, stream_messages
 from mailtally.streaming import intake as stream
 
@@ -104,6 +104,25 @@ def test_scheduled_intake_twice_changes_nothing(spark, sf):
     assert statuses == {"SUCCESS", "NO_TABLE_FOUND"}
 
 
+def test_an_intake_writes_its_records_once(spark, sf, tmp_path, monkeypatch):
+    """They are in the file of the extracts; the upsert reads them there."""
+    kept = []
+    keep = RunFolder.keep
+    monkeypatch.setattr(RunFolder, "keep", lambda run, df, name: (kept.append(name), keep(run, df, name))[1])
+    mails = kv(spark, sf)
+    batch = [fresh_table(x) for x in ("t", "log", "state")]
+    assert scheduled_intake(spark, mails, kv_rules(), *batch, as_of=T1, label_mode="normalized") > 0
+    once = ["extracts", *[f"source-{i}" for i in range(len(upsert.key_groups(kv_rules())))], "state"]
+    assert kept == once
+    kept.clear()
+    names, path = [fresh_table(x) for x in ("s", "log", "state")], str(tmp_path / "in")
+    fx.payloads(mails).repartition(2).write.json(path)
+    flat = standardize(stream_messages(spark, path))
+    offsets = str(tmp_path / "offsets")
+    stream.drain(stream.intake_stream(flat, kv_rules(), *names, offsets, as_of=T1, label_mode="normalized"))
+    assert kept == once
+
+
 def test_stream_equals_batch(spark, sf):
     standard = Counter(QUERIES["s_message_scan"](spark, sf).collect())
     assert Counter(QUERIES["m_stream_intake"](spark, sf).collect()) == standard
