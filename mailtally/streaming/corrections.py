@@ -14,8 +14,11 @@ first counts. Records without a time, or with a null in a merge key, go through
 in ``upsert_all``, and leave no state. Records of one key meet in one task, batch by batch; their
 number is bounded by the source's limit for a micro-batch (``maxFilesPerTrigger``).
 
-The state function is called once for each key, and each column costs it time in every call. So a
-record goes through it as one text.
+The state function is called once for each group, and each column costs it time in every call. So
+a record goes through it as one text, and ``correction_stream`` groups by slots of merge keys and not
+by keys: a slot's state holds the time and id of each of its keys, and a batch has as many calls as
+slots at most, however many keys it has. A slot's state is written anew when a record of one of its
+keys comes. Winners are the same for any number of slots; a stream keeps the number it began with.
 """
 
 from __future__ import annotations
@@ -36,10 +39,13 @@ from mailtally.operators.upsert import key_groups, upsert_grouped
 from mailtally.sources.rules import Rule
 from mailtally.streaming.intake import batch_stream
 
-KEY, RECORD = "_key", "_record"
+KEY, RECORD, SLOT = "_key", "_record", "_slot"
 #: Begins the keys of records that take no part; merge keys are JSON objects.
 FREE = "-"
 STATE = "moment long, id string"
+SLOT_STATE = "keys array<string>, moments array<long>, ids array<string>"
+#: Slots of a stream: at some millions of keys inside the look-back, each holds a thousand.
+SLOTS = 4096
 
 
 def merge_key(rules: list[Rule]) -> Column:
@@ -112,11 +118,48 @@ def newest_of_key(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState)
     state.setTimeoutTimestamp(max(best[0] // 1000, state.getCurrentWatermarkMs()) + 1)
 
 
-def winners(records: DataFrame, rules: list[Rule]) -> DataFrame:
+def newest_of_slot(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """``newest_of_key`` for all keys of a slot in one call."""
+    best: dict[str, tuple[int, str]] = {}
+    if state.exists:
+        keys, moments, ids = state.get
+        best = dict(zip(keys, zip(moments, ids, strict=True), strict=True))
+    won: dict[str, str] = {}
+    if not state.hasTimedOut:
+        for pdf in frames:
+            free = []
+            for name, text in zip(pdf[KEY].tolist(), pdf[RECORD].tolist(), strict=True):
+                if name.startswith(FREE):
+                    free.append(text)
+                    continue
+                record = json.loads(text)
+                place = record["received_ts"], record.get("email_unique_id", "")
+                # the first of equal ones stays
+                if name not in best or place > best[name]:
+                    best[name], won[name] = place, text
+            if free:
+                yield pd.DataFrame({RECORD: free})
+        if won:
+            yield pd.DataFrame({RECORD: list(won.values())})
+    watermark = state.getCurrentWatermarkMs()
+    # without those that the watermark has passed: no record up to it comes in from now on
+    held = {name: place for name, place in best.items() if place[0] > watermark * 1000 or watermark <= 0}
+    if held:
+        moments, ids = zip(*held.values(), strict=True)
+        if won or len(held) < len(best):
+            state.update((list(held), list(moments), list(ids)))
+        # the first millisecond at which the watermark is past one of them
+        state.setTimeoutTimestamp(max(min(moments) // 1000, watermark) + 1)
+    elif state.exists:
+        state.remove()
+
+
+def winners(records: DataFrame, rules: list[Rule], slots: int | None = None) -> DataFrame:
     """The records of a stream that are, when they come, the newest of their merge key.
 
     ``records`` come from ``route_first`` over messages with a watermark on ``received_ts``
-    (``with_look_back``).
+    (``with_look_back``). With ``slots``, keys are dealt to so many, and each slot's keys share
+    a call of the state function and a row of the state; without, each key has its own.
     """
     content = F.sha2(F.to_json(F.struct(*records.columns)), 256)
     key = merge_key(rules)
@@ -128,10 +171,15 @@ def winners(records: DataFrame, rules: list[Rule]) -> DataFrame:
         # for the watermark; the state function does not read it
         "received_ts",
     )
-    found = keyed.groupBy(KEY).applyInPandasWithState(
-        newest_of_key,
-        outputStructType=keyed.schema,
-        stateStructType=STATE,
+    if slots:
+        keyed = keyed.withColumn(SLOT, F.pmod(F.xxhash64(KEY), F.lit(slots)))
+        group, newest, out, kept = SLOT, newest_of_slot, f"{RECORD} string", SLOT_STATE
+    else:
+        group, newest, out, kept = KEY, newest_of_key, keyed.schema, STATE
+    found = keyed.groupBy(group).applyInPandasWithState(
+        newest,
+        outputStructType=out,
+        stateStructType=kept,
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
@@ -153,14 +201,16 @@ def correction_stream(
     as_of: str | None = None,
     trigger: dict[str, Any] | None = None,
     store: dict[str, Any] | None = None,
+    slots: int | None = SLOTS,
     **route: Any,
 ) -> StreamingQuery:
     """Route a stream and upsert only the records that won their merge key.
 
     Records behind the look-back are ignored. A replayed micro-batch starts from the state
     before it and so gives the same winners; the upsert is by key and changes nothing then.
+    ``slots`` is as in ``winners``; it belongs to the checkpoint, as the merge keys do.
     """
-    won = winners(route_first(with_look_back(messages, days), rules, **route), rules)
+    won = winners(route_first(with_look_back(messages, days), rules, **route), rules, slots)
 
     def each(batch: DataFrame, _: int) -> None:
         upsert_grouped(batch, rules, table, tz, as_of, **(store or {}))

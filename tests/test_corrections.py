@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import inspect
+import random
 import re
 from dataclasses import replace
 from decimal import Decimal
@@ -10,6 +12,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from mailtally.plans.registry import fresh_table
 from mailtally.sources.rules import load_rules
 from mailtally.streaming import corrections
 from mailtally.streaming.intake import batch_stream, drain
@@ -131,3 +134,72 @@ def test_packed_records_come_back_whole(spark):
     back = corrections.unpacked(text, df.schema)
     assert back.schema == df.schema
     assert back.collect() == df.collect()
+
+
+def in_slots(spark, folder, slots, batches, days=7):
+    """What goes on of each batch, and the state's rows after it, with keys dealt to slots."""
+    inbox, offsets, out = str(folder / "in"), str(folder / "offsets"), []
+    for rows in batches:
+        spark.createDataFrame(rows, FIELDS).coalesce(1).write.mode("append").json(inbox)
+        records = spark.readStream.schema(FIELDS).json(inbox)
+        timed = records.withColumn("received_ts", F.to_timestamp("received_at"))
+        won = corrections.winners(corrections.with_look_back(timed, days), RULES, slots)
+        assert won.schema == timed.schema
+        got = []
+        drain(batch_stream(won, lambda batch, _: got.extend(batch.collect()), offsets))  # noqa: B023
+        out.append((sorted(map(str, got)), spark.read.format("statestore").load(offsets).collect()))
+    return out
+
+
+def test_slots_give_the_winners_of_keys(spark, tmp_path):
+    """Old and new, late and expired ones, copies, ones without id, key or time, in any order."""
+    rng = random.Random(7)
+    batches = []
+    for first, last in ((1, 9), (3, 12), (8, 28), (8, 28)):
+        rows = [
+            note(f"k{rng.randrange(25)}", f"m{rng.randrange(40):02}", f"2024-01-{rng.randint(first, last):02} 08:00:0{rng.randrange(3)}",
+                 float(i), rng.choice(["One", "Two"]), rng.choice("xy"))
+            for i in range(150)
+        ]
+        rows += [note("k1", None, f"2024-01-{last:02} 08:00:00", 900.0), note(None, "m1", f"2024-01-{last:02} 08:00:00", 901.0)]
+        rows += [note("k2", "m2", None, 902.0), note("old", "m3", "1969-12-30 08:00:00", 903.0)]
+        batches.append(rows)
+    want = in_slots(spark, tmp_path / "keys", None, batches)
+    got = in_slots(spark, tmp_path / "slots", 3, batches)
+    assert [x for x, _ in got] == [x for x, _ in want]
+    assert [len(x) for x, _ in want] > [30, 10, 30, 1]
+    for (_, slots), (_, keys) in zip(got, want, strict=True):
+        assert len(slots) <= 3 < len(keys)
+        assert {k for r in slots for k in r.value["groupState"]["keys"]} <= {r.key["_key"] for r in keys}
+
+
+def test_keys_of_a_slot_expire_one_by_one(spark, tmp_path):
+    batches = [
+        [note("a", "m1", "2024-01-01 08:00:00"), note("b", "m2", "2024-01-15 08:00:00")],
+        [note("c", "m3", "2024-01-20 08:00:00")],
+        [note("c", "m4", "2024-02-20 08:00:00", None)],
+        [note(None, "m5", "2024-03-20 08:00:00")],
+    ]
+    states = [rows for _, rows in in_slots(spark, tmp_path, 1, batches)]
+    held = [sorted(re.findall('"customer_code":"(.)"', str(rows))) for rows in states]
+    assert held == [["b"], ["b", "c"], ["c"], []]
+
+
+def test_the_stream_groups_by_slots(spark, tmp_path):
+    """The state function is called for slots, however many keys there are."""
+    inbox, offsets, table = str(tmp_path / "in"), str(tmp_path / "offsets"), fresh_table("slots")
+    rules = load_rules({"customers": {"One": {"subject_regex": "one", "params": {"code_regex": "code", "amount_regex": "due"}}}})
+    body = F.format_string("<p>code: %05d</p><table><tr><td>due</td><td>%d</td></tr></table>", "id", "id")
+    spark.range(100, 300).select(
+        F.format_string("m%05d", "id").alias("id"), F.lit("one").alias("subject"), F.lit("a@b.example").alias("email_sender"),
+        F.lit("2024-01-01T08:00:00Z").alias("received_at"), body.alias("html_body"), F.lit("c").alias("conversation_id"),
+        F.lit("x").alias("sender_name"), F.lit(False).alias("has_attachments"), F.lit(False).alias("is_read"),
+    ).write.json(inbox)
+    flat = spark.readStream.schema(spark.read.json(inbox).schema).json(inbox)
+    flat = flat.withColumn("received_ts", F.to_timestamp("received_at"))
+    drain(corrections.correction_stream(flat, rules, table, offsets, slots=5, label_mode="normalized"))
+    assert spark.table(table).count() == 200
+    rows = spark.read.format("statestore").load(offsets).collect()
+    assert sorted(r.key["_slot"] for r in rows) == [0, 1, 2, 3, 4]
+    assert sum(len(r.value["groupState"]["keys"]) for r in rows) == 200
+    assert corrections.SLOTS and inspect.signature(corrections.correction_stream).parameters["slots"].default == corrections.SLOTS
