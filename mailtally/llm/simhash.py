@@ -34,20 +34,24 @@ PARTS, PART_BITS = 4, 16
 BASE = PART_BITS + 1
 
 
-def simhash(text: str | None, words: int) -> int:
-    """Fingerprint as a signed 64-bit number."""
+def word_hashes(text: str | None, words: int) -> np.ndarray:
+    """The hashes of a text's word shingles, in their order; repeats stay."""
     split = (text or "").encode("utf-8", "replace").lower().split()
     if not split:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(split)
     ends = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)) + 1)
     starts = np.concatenate([[0], ends[:-1]])
     k = min(words, len(split))
     cuts = zip(starts[: len(split) - k + 1].tolist(), (ends[k - 1 :] - 1).tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(joined[a:b], SEED) for a, b in cuts), np.uint64, len(split) - k + 1
     )
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have, as a signed 64-bit number."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
         part = hashes[at : at + 65536].astype(">u8").view(np.uint8)
@@ -55,6 +59,11 @@ def simhash(text: str | None, words: int) -> int:
     return int(np.packbits(2 * ones > len(hashes)).view(">i8")[0])
 
 
+def simhash(text: str | None, words: int) -> int:
+    """Fingerprint as a signed 64-bit number."""
+    return majority(word_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     """(doc_id, fp) for every row."""
 

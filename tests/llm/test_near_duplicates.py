@@ -316,3 +316,46 @@ def test_tokens_of_a_batch_come_in_parts(monkeypatch):
     got = pd.concat(parts).to_numpy().tolist()
     rows = [*range(44), 40, 41]
     assert got == [[t, i, i * 3 << 32 | at] for i in rows for at, t in enumerate(prefixes[i].tolist())]
+
+
+def test_pipeline_links_by_fingerprints_too(spark):
+    """Copies below the cut whose fingerprints are within four bits are one group, as are those
+    at the cut with fingerprints further apart; all others stay."""
+    rng = random.Random(12)
+
+    def mark(words):
+        if not words:
+            return 0
+        hashes = [xxhash.xxh64(" ".join(words[i : i + 5]).encode(), seed=42).intdigest() for i in range(max(1, len(words) - 4))]
+        return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+    texts = [[], ["one"], ["one", "two"]]
+    for n in (100, 240, 500):
+        for _ in range(3):
+            base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            texts.append(base)
+            for changes in [*range(1, 4), *[n * 3 // 100 + 1] * 15]:
+                copy = list(base)
+                for at in rng.sample(range(n), changes):
+                    copy[at] = f"x{rng.randrange(10**6)}"
+                texts.append(copy)
+    # the same set of shingles, unlike numbers of them: one set with two fingerprints
+    ring = [f"r{i}" for i in range(40)]
+    texts += [ring * 2 + ring[:4], ring * 2 + ring[:30], ring[:20] * 9]
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    fps = [mark(t) for t in texts]
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    near = lambda i, j: bin(fps[i] ^ fps[j]).count("1") <= 4
+    by_sets = closure(len(texts), alike)
+    root = closure(len(texts), lambda i, j: alike(i, j) or near(i, j))
+    assert len(set(root)) <= len(set(by_sets)) - 3 and len(set(root)) <= len(set(closure(len(texts), near))) - 3
+    docs = spark.createDataFrame(
+        [(i, " ".join(t) or None, "en", "s", 0) for i, t in enumerate(texts)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    ).repartition(5)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(root))
+    got = {r.doc_id: r.component_id for r in shingle_sets.near_duplicates(docs, radius=4).collect()}
+    assert got == dict(enumerate(root))
+    got = {r.doc_id: r.component_id for r in shingle_sets.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(by_sets))
